@@ -42,9 +42,7 @@ def load_folder(
             )
         )
 
-    staged_at = session.scratch_path(spark, "staged")
-    conformed(raw, versions).write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
+    staged = session.stored(conformed(raw, versions), "staged")
     checks.require(staged_checks(staged))
 
     pending = load.pending_days(staged, load.read_table(spark, root, "ledger"))
@@ -58,7 +56,7 @@ def load_folder(
 
 def staged_checks(staged: DataFrame) -> DataFrame:
     dim_time, dim_location = star.time_dimension(staged), star.location_dimension(staged)
-    return checks.quality_checks(staged.select(*checks.FACT_KEYS), dim_time, dim_location)
+    return checks.quality_checks(staged, dim_time, dim_location)
 
 
 def open_star(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -91,9 +89,7 @@ def train_star(
     spark: SparkSession, root: str, path: str, year: int | None = None, buckets: int | None = None, **forest
 ) -> tuple[PipelineModel, DataFrame]:
     """Train on the earlier part, score the later part, save the model."""
-    staged_at = session.scratch_path(spark, "features")
-    training_rows(spark, root, year, buckets).write.parquet(staged_at)
-    split = series.chrono_split(spark.read.parquet(staged_at))
+    split = series.chrono_split(session.stored(training_rows(spark, root, year, buckets), "features"))
     fitted = model.train(split.where(~F.col("is_test")), **forest)
     model.save(fitted, path)
     return fitted, model.evaluate(model.predict(fitted, split.where("is_test")))

@@ -302,18 +302,20 @@ advice as (
               else {_advice(fv.TRANSPORT_CLEAR)} end from summary)
 select a.sector as sector, a.icon as icon, a.status as status, a.action as action, a.detail as detail from advice""",
         "quality_checks": f"""with {W},
+times as (select distinct {time_key('time')} as id, time from w),
+places as (select distinct latitude, longitude from w),
 bad as (
   select 'fact_not_empty' as "check", (count(*) = 0)::bigint as bad_rows from w
   union all select 'fact_null_keys', count(*) filter (time is null or latitude is null or longitude is null) from w
   union all select 'fact_unique_keys', count(*) - (select count(*) from (select distinct {AT} from w)) from w
-  union all select 'dim_time_unique_keys',
-    count(*) - count(distinct {time_key('time')}) from (select distinct time from w)
-  union all select 'dim_location_unique_keys',
-    count(*) - (select count(*) from (select distinct latitude, longitude from w))
-    from (select distinct latitude, longitude from w)
-  union all select 'fact_time_known', count(*) from w where time not in (select time from w)
-  union all select 'fact_location_known', count(*) from w
-    anti join (select distinct latitude, longitude from w) using (latitude, longitude))
+  union all select 'dim_time_not_empty', (count(*) = 0)::bigint from times
+  union all select 'dim_time_null_keys', count(*) filter (id is null) from times
+  union all select 'dim_time_unique_keys', count(*) - count(distinct id) from times
+  union all select 'dim_location_not_empty', (count(*) = 0)::bigint from places
+  union all select 'dim_location_null_keys', count(*) filter (latitude is null or longitude is null) from places
+  union all select 'dim_location_unique_keys', count(*) - count(distinct (latitude, longitude)) from places
+  union all select 'fact_time_known', count(*) from w where {time_key('time')} not in (select id from times)
+  union all select 'fact_location_known', count(*) from w anti join places using (latitude, longitude))
 select "check", bad_rows, bad_rows = 0 as passed from bad""",
     }
     for grain in ("year", "month", "day"):
