@@ -142,12 +142,15 @@ _FACT_COLUMNS = (
 
 def _star(spark, sf):
     """Facts and dimensions. The dimensions come from the distinct keys of the source, so that
-    they do not wait for the aggregation that the facts need; they are written once, since they
-    are counted before they are joined."""
+    they do not wait for the aggregation that the facts need."""
     keys = binding.keys(spark, sf)
-    times = session.stored(star.time_dimension(keys), "dim_time")
-    places = session.stored(star.location_dimension(keys), "dim_location")
-    return _observed(spark, sf).select(*_FACT_COLUMNS), times, places
+    return _observed(spark, sf).select(*_FACT_COLUMNS), star.time_dimension(keys), star.location_dimension(keys)
+
+
+def _stored_star(spark, sf):
+    """The same with the dimensions written once, for queries that read them more than once."""
+    facts, times, places = _star(spark, sf)
+    return facts, session.stored(times, "dim_time"), session.stored(places, "dim_location")
 
 
 def fact_build(spark, sf):
@@ -164,15 +167,16 @@ def dim_location(spark, sf):
 
 def fact_time_join(spark, sf):
     facts, times, _ = _star(spark, sf)
+    times = session.stored(times, "dim_time")
     return star.with_time(facts, times).drop("location_id")
 
 
 def weather_full(spark, sf):
-    return star.weather_full(*_star(spark, sf)).drop("location_id")
+    return star.weather_full(*_stored_star(spark, sf)).drop("location_id")
 
 
 def quality_checks(spark, sf):
-    facts, times, places = _star(spark, sf)
+    facts, times, places = _stored_star(spark, sf)
     return checks.quality_checks(facts, times, places)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -36,9 +37,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
-    own = tempfile.mkdtemp(prefix="hourgrid-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return _own_folder()
+
+
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="hourgrid-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
