@@ -55,10 +55,14 @@ def hash_bucket(keys: Sequence[Column], buckets: int, portable: bool = False) ->
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Correlation that is null, not an error, for a constant column or no rows."""
+    """Correlation that is null, not an error, for a constant column or no rows.
+
+    A constant is told by its range: merging partial variances leaves a rounding rest above zero.
+    """
     paired = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(paired, x)) * F.stddev_pop(F.when(paired, y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    px, py = F.when(paired, x), F.when(paired, y)
+    varies = (F.min(px) < F.max(px)) & (F.min(py) < F.max(py))
+    return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(px) * F.stddev_pop(py)))
 
 
 def number_text(value: Column) -> Column:
