@@ -20,12 +20,13 @@ def train(
     trees: int = fv.TREES,
     depth: int = fv.TREE_DEPTH,
     seed: int = fv.SEED,
-    histogram_mb: int = 2048,
+    histogram_mb: int = 1024,
 ) -> PipelineModel:
     """Fit the forest on all rows of ``df``. No rows is an error.
 
     ``histogram_mb`` bounds the statistics one pass may hold; more memory means that more tree
-    nodes are split per pass over the data, hence fewer passes.
+    nodes are split per pass over the data, hence fewer passes. Each row remembers its node, so
+    that deep trees are not walked from the root in every pass.
     """
     if df.isEmpty():
         raise ValueError("no rows to train on")
@@ -38,6 +39,7 @@ def train(
         seed=seed,
         featureSubsetStrategy="all",
         maxMemoryInMB=histogram_mb,
+        cacheNodeIds=True,
     )
     return Pipeline(stages=[assembler, forest]).fit(df)
 

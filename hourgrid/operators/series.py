@@ -22,6 +22,11 @@ def in_time_order(df: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     return df.orderBy(*order)
 
 
+def preview(df: DataFrame, rows: int = 5, order: Sequence[str] = ORDER) -> DataFrame:
+    """The first rows in time order, for a look at the data."""
+    return df.orderBy(*order).limit(rows)
+
+
 def hash_sample(
     df: DataFrame, keys: Sequence[str], buckets: int = fv.SAMPLE_BUCKETS, portable: bool = False
 ) -> DataFrame:
@@ -90,7 +95,8 @@ def latest_hours_per_location(
 
 
 def first_slice(df: DataFrame, rows: int = fv.SLICE_ROWS, order: Sequence[str] = ORDER) -> DataFrame:
-    return df.orderBy(*order).limit(rows)
+    """The first ``rows`` points of the test part, to compare with their predictions."""
+    return preview(df, rows, order)
 
 
 def forecast_frame(latest: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:

@@ -45,10 +45,10 @@ def fact(df: DataFrame) -> DataFrame:
 def join_dimension(facts: DataFrame, dim: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Inner join to a dimension, broadcast only when it was counted to be small enough.
 
-    The count stops at the limit. A larger dimension is left to a shuffled join, where adaptive
-    execution splits hot keys.
+    Of a stored dimension the count reads file footers. A larger dimension is left to a shuffled
+    join, where adaptive execution splits hot keys.
     """
-    if dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if dim.count() <= broadcast_rows:
         dim = F.broadcast(dim)
     return facts.join(dim, key, "inner")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -14,39 +14,44 @@ from hourgrid.operators import checks, clean, conform, load, model, series, star
 from hourgrid.sources import streams
 
 
+def cleaned(raw: Mapping[str, DataFrame], versions: bool = False) -> dict[str, DataFrame]:
+    return {s: clean.clean_stream(df, schemas.stream_measures(s), versions) for s, df in raw.items()}
+
+
 def conformed(raw: Mapping[str, DataFrame], versions: bool = False) -> DataFrame:
     """Raw streams to joined, converted rows."""
-    cleaned = {s: clean.clean_stream(df, schemas.stream_measures(s), versions) for s, df in raw.items()}
-    return conform.convert_units(conform.join_streams(cleaned))
+    return conform.convert_units(conform.join_streams(cleaned(raw, versions)))
 
 
-def load_folder(
-    spark: SparkSession, folder: str, root: str, versions: bool = False, max_lost: int | None = None
+def load_folders(
+    spark: SparkSession,
+    raw_root: str,
+    folders: Iterable[str],
+    root: str,
+    versions: bool = False,
+    max_lost: int | None = None,
+    may_be_empty: bool = False,
 ) -> dict:
-    """Load one folder of raw streams into the star below ``root``; returns rows written per table.
+    """Load folders of raw streams into the star below ``root``; returns rows written per table.
 
-    Days that the ledger lists are passed over. The joined rows are written once to the shared
-    folder, and dimensions, facts and checks read them from there, so the join runs once and a
-    lost executor repeats a read instead of the join. A failed check stops the run before the
-    star is touched, and the ledger is written last.
+    One folder is a daily load, a list of months is a backfill: either way each stream is one
+    scan. Days that the ledger lists are passed over. The joined rows are written once to the
+    shared folder, and dimensions, facts and checks read them from there, so the join runs once
+    and a lost executor repeats a read instead of the join. A failed check stops the run before
+    the star is touched, and the ledger is written last.
+
+    ``max_lost`` bounds the cells per stream that the join may lose. With ``may_be_empty`` no
+    complete day is not an error.
     """
-    raw = streams.scan_day(spark, folder)
+    raw = streams.scan_folders(spark, raw_root, folders)
     if max_lost is not None:
-        cleaned = {s: clean.clean_stream(df, schemas.stream_measures(s), versions) for s, df in raw.items()}
-        lost = conform.join_coverage(cleaned)
-        checks.require(
-            lost.select(
-                F.concat(F.lit("join_coverage_"), "stream").alias("check"),
-                F.col("lost").alias("bad_rows"),
-                (F.col("lost") <= max_lost).alias("passed"),
-            )
-        )
-
+        checks.require(coverage_checks(raw, versions, max_lost))
     staged = session.stored(conformed(raw, versions), "staged")
-    checks.require(staged_checks(staged))
+    found = staged_checks(staged)
+    checks.require(found.where("check not like '%not_empty'") if may_be_empty else found)
 
     pending = load.pending_days(staged, load.read_table(spark, root, "ledger"))
-    # One row per calendar day of the folder, hence the broadcast.
+    # One row per calendar day of the folders, hence the broadcast.
     todo = staged.join(F.broadcast(pending), F.to_date(staged["time"]) == pending["day"], "left_semi")
     facts = star.fact(todo)
     written = load.load_star(spark, root, facts, star.time_dimension(todo), star.location_dimension(todo))
@@ -54,6 +59,15 @@ def load_folder(
     return written
 
 
+def coverage_checks(raw: Mapping[str, DataFrame], versions: bool, max_lost: int) -> DataFrame:
+    lost = conform.join_coverage(cleaned(raw, versions))
+    return lost.select(
+        F.concat(F.lit("join_coverage_"), "stream").alias("check"),
+        F.col("lost").alias("bad_rows"),
+        (F.col("lost") <= max_lost).alias("passed"),
+    )
+
+
 def staged_checks(staged: DataFrame) -> DataFrame:
     dim_time, dim_location = star.time_dimension(staged), star.location_dimension(staged)
     return checks.quality_checks(staged, dim_time, dim_location)
@@ -95,7 +109,9 @@ def train_star(
     return fitted, model.evaluate(model.predict(fitted, split.where("is_test")))
 
 
-def run_daily(spark: SparkSession, folder: str, root: str, model_path: str, **forest) -> DataFrame:
-    """Load, then train. An error or a failed check in the load keeps training from running."""
-    load_folder(spark, folder, root)
+def run_daily(
+    spark: SparkSession, raw_root: str, folder: str, root: str, model_path: str, **forest
+) -> DataFrame:
+    """Load one folder, then train. An error or a failed check in the load keeps training from running."""
+    load_folders(spark, raw_root, [folder], root)
     return train_star(spark, root, model_path, **forest)[1]

@@ -177,7 +177,7 @@ def weather_full(spark, sf):
 
 def quality_checks(spark, sf):
     facts, times, places = _stored_star(spark, sf)
-    return checks.quality_checks(facts, times, places)
+    return checks.quality_checks(session.stored(facts.select(*checks.FACT_KEYS), "fact_keys"), times, places)
 
 
 # --- loads --------------------------------------------------------------------------------

@@ -19,14 +19,6 @@ def scan_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
-def scan_day(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The four streams of one day's or period's folder."""
-    return {
-        s: scan_stream(spark, f"{folder}/{fv.STREAM_FILE.format(stream=s)}", schemas.raw_stream(s))
-        for s in fv.STREAMS
-    }
-
-
 def scan_periods(
     spark: SparkSession, root: str, periods: Iterable[str], file_name: str, schema: T.StructType
 ) -> DataFrame:
@@ -36,10 +28,19 @@ def scan_periods(
     read by one job instead of a loop of jobs.
     """
     glob = f"{root}/{{{','.join(periods)}}}/{file_name}"
-    return spark.read.schema(schema).parquet(glob).withColumn("period", _folder_after(root))
+    return spark.read.schema(schema).parquet(glob).withColumn("period", folder_below(root))
+
+
+def scan_folders(spark: SparkSession, root: str, folders: Iterable[str]) -> dict[str, DataFrame]:
+    """The four streams of many day or period folders, one scan for each stream."""
+    names = list(folders)
+    return {
+        s: scan_periods(spark, root, names, fv.STREAM_FILE.format(stream=s), schemas.raw_stream(s)).drop("period")
+        for s in fv.STREAMS
+    }
 
 
-def _folder_after(root: str) -> Column:
+def folder_below(root: str) -> Column:
     """Name of the folder directly below ``root`` in the row's file path."""
     last = root.rstrip("/").rsplit("/", 1)[-1]
     return F.split(F.substring_index(F.col("_metadata.file_path"), f"/{last}/", -1), "/")[0]

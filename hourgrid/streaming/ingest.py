@@ -1,16 +1,19 @@
-"""Incremental ingest of new files into a fact table."""
+"""Incremental ingest of new files into a fact table or the star."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from hourgrid import schemas
 from hourgrid.operators import load
-from hourgrid.sources import tables
+from hourgrid.plans import daily
+from hourgrid.sources import streams, tables
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -61,3 +64,34 @@ def start_ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_star_ingest(
+    spark: SparkSession, raw_root: str, root: str, checkpoint: str, files_per_batch: int = 400, versions: bool = False
+) -> StreamingQuery:
+    """Load the folders in which files of any raw stream have arrived, then stop.
+
+    A day enters the star once all its streams are there: until then the join gives no rows, the
+    ledger does not list the day, and the next file to arrive in its folder tries it again.
+    """
+    at = [f for f in schemas.raw_stream("accum").fields if f.name in ("latitude", "longitude")]
+    arrivals = file_stream(spark, f"{raw_root}/*/*.parquet", T.StructType(at), files_per_batch)
+    arrivals = arrivals.select(streams.folder_below(raw_root).alias("folder"))
+
+    def load_batch(batch: DataFrame, _batch_id: int) -> None:
+        # At most one folder per file of the batch.
+        folders = [r["folder"] for r in batch.distinct().collect()]
+        if not folders:
+            return
+        try:
+            daily.load_folders(batch.sparkSession, raw_root, folders, root, versions, may_be_empty=True)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # none of the folders has all streams yet
+                raise
+
+    return (
+        arrivals.writeStream.foreachBatch(load_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

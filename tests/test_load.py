@@ -49,16 +49,16 @@ def test_created_tables_are_empty_and_typed(spark, star_root):
 def test_loading_twice_changes_nothing_and_recreating_empties(spark, star_root, tmp_path):
     day = dt.date(2024, 2, 29)
     write_day(spark, f"{tmp_path}/d", day)
-    assert daily.load_folder(spark, f"{tmp_path}/d", star_root) == {
+    assert daily.load_folders(spark, str(tmp_path), ["d"], star_root) == {
         "dim_location": 3, "dim_time": 24, "fact_weather": 72,
     }
     before = counts(spark, star_root)
     assert before == {"dim_time": 24, "dim_location": 3, "fact_weather": 72, "ledger": 1}
-    assert set(daily.load_folder(spark, f"{tmp_path}/d", star_root).values()) == {0}
+    assert set(daily.load_folders(spark, str(tmp_path), ["d"], star_root).values()) == {0}
     assert counts(spark, star_root) == before
     # Without the ledger the key comparison alone keeps the load from repeating rows.
     spark.createDataFrame([], schemas.LEDGER).write.mode("overwrite").parquet(f"{star_root}/ledger")
-    assert set(daily.load_folder(spark, f"{tmp_path}/d", star_root).values()) == {0}
+    assert set(daily.load_folders(spark, str(tmp_path), ["d"], star_root).values()) == {0}
     assert counts(spark, star_root) == before
     load.create_star(spark, star_root)
     assert set(counts(spark, star_root).values()) == {0}
@@ -67,8 +67,8 @@ def test_loading_twice_changes_nothing_and_recreating_empties(spark, star_root,
 def test_days_of_two_years_and_both_time_names(spark, star_root, tmp_path):
     write_day(spark, f"{tmp_path}/a", dt.date(2023, 12, 31))
     write_day(spark, f"{tmp_path}/b", dt.date(2024, 1, 1), time_name="valid_time")
-    daily.load_folder(spark, f"{tmp_path}/a", star_root)
-    daily.load_folder(spark, f"{tmp_path}/b", star_root)
+    daily.load_folders(spark, str(tmp_path), ["a"], star_root)
+    daily.load_folders(spark, str(tmp_path), ["b"], star_root)
     facts, times, places = daily.open_star(spark, star_root)
     assert (facts.count(), times.count(), places.count()) == (144, 48, 3)
     assert spark.table("weather_full").count() == 144
@@ -77,10 +77,19 @@ def test_days_of_two_years_and_both_time_names(spark, star_root, tmp_path):
     assert (last["day_of_week"], last["quarter"], last["hour"]) == (7, 4, 23)
 
 
+def test_backfill_loads_many_folders_at_once(spark, star_root, tmp_path):
+    for d in (1, 2, 3):
+        write_day(spark, f"{tmp_path}/2024_0{d}", dt.date(2024, d, 1), hours=2, skip=("avg",) if d == 2 else ())
+    written = daily.load_folders(spark, str(tmp_path), streams.month_periods([2024]), star_root)
+    assert written == {"dim_location": 3, "dim_time": 4, "fact_weather": 12}
+    done = [r["day"] for r in load.read_table(spark, star_root, "ledger").collect()]
+    assert sorted(done) == [dt.date(2024, 1, 1), dt.date(2024, 3, 1)]  # the month without a stream stays open
+
+
 def test_a_day_with_a_missing_stream_is_not_marked_done(spark, star_root, tmp_path):
     write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1), skip=("max",))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        daily.load_folder(spark, f"{tmp_path}/d", star_root)
+        daily.load_folders(spark, str(tmp_path), ["d"], star_root)
     assert set(counts(spark, star_root).values()) == {0}
 
 
@@ -88,28 +97,28 @@ def test_lost_cells_and_empty_joins_stop_the_load(spark, star_root, tmp_path):
     write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1), hours=4, skip=("avg",))
     write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1), hours=3, skip=("instant", "accum", "max"))
     with pytest.raises(checks.GateError, match="join_coverage_instant: 3 rows"):
-        daily.load_folder(spark, f"{tmp_path}/d", star_root, max_lost=0)
+        daily.load_folders(spark, str(tmp_path), ["d"], star_root, max_lost=0)
     write_day(spark, f"{tmp_path}/e", dt.date(2024, 1, 1), hours=0)
     with pytest.raises(checks.GateError, match="fact_not_empty"):
-        daily.load_folder(spark, f"{tmp_path}/e", star_root)
+        daily.load_folders(spark, str(tmp_path), ["e"], star_root)
     assert set(counts(spark, star_root).values()) == {0}
-    assert daily.load_folder(spark, f"{tmp_path}/d", star_root, max_lost=3)["fact_weather"] == 9
+    assert daily.load_folders(spark, str(tmp_path), ["d"], star_root, max_lost=3)["fact_weather"] == 9
 
 
 def test_daily_run_trains_only_after_a_good_load(spark, star_root, tmp_path):
     write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1))
-    got = daily.run_daily(spark, f"{tmp_path}/d", star_root, f"{tmp_path}/model", trees=2, depth=3).first()
+    got = daily.run_daily(spark, str(tmp_path), "d", star_root, f"{tmp_path}/model", trees=2, depth=3).first()
     assert got["rows"] == 15 and os.path.isdir(f"{tmp_path}/model")  # ceil(0.2 * 72)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        daily.run_daily(spark, f"{tmp_path}/absent", star_root, f"{tmp_path}/never")
+        daily.run_daily(spark, str(tmp_path), "absent", star_root, f"{tmp_path}/never")
     assert not os.path.exists(f"{tmp_path}/never")
 
 
 def test_training_rows_by_year_and_sample(spark, star_root, tmp_path):
     write_day(spark, f"{tmp_path}/a", dt.date(2023, 12, 31))
     write_day(spark, f"{tmp_path}/b", dt.date(2024, 1, 1), places=30)
-    daily.load_folder(spark, f"{tmp_path}/a", star_root)
-    daily.load_folder(spark, f"{tmp_path}/b", star_root)
+    daily.load_folders(spark, str(tmp_path), ["a"], star_root)
+    daily.load_folders(spark, str(tmp_path), ["b"], star_root)
     assert daily.training_rows(spark, star_root).count() == 72 + 720
     assert daily.training_rows(spark, star_root, year=2023).count() == 72
     sampled = daily.training_rows(spark, star_root, year=2024, buckets=20)
@@ -181,7 +190,7 @@ def test_pending_days_and_audit(spark):
 
 def test_stored_facts_are_pruned_by_folder_and_range(spark, star_root, tmp_path):
     write_day(spark, f"{tmp_path}/a", dt.date(2023, 12, 31))
-    daily.load_folder(spark, f"{tmp_path}/a", star_root)
+    daily.load_folders(spark, str(tmp_path), ["a"], star_root)
     facts, times, _ = daily.open_star(spark, star_root)
     plan = plan_of(analytics.drill_down(facts, "day", "avg", 2023, 2024, dim_time=times))
     assert "PartitionFilters: [isnotnull(year" in plan

@@ -2,8 +2,10 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from test_load import write_day
 
 from hourgrid.functions import calendar
+from hourgrid.operators import load
 from hourgrid.plans.registry import EVENT_FACTS, EVENTS
 from hourgrid.streaming import ingest
 
@@ -64,3 +66,19 @@ def test_an_empty_source_gives_an_empty_table(spark, tmp_path, run):
     land(spark, f"{tmp_path}/raw", "day1", 1, [])
     _, stored = run()
     assert stored.count() == 0
+
+
+def test_star_ingest_waits_for_all_streams_of_a_day(spark, tmp_path):
+    raw, root = f"{tmp_path}/raw", f"{tmp_path}/star"
+    load.create_star(spark, root)
+
+    def go():
+        ingest.start_star_ingest(spark, raw, root, f"{tmp_path}/ck", files_per_batch=3).awaitTermination()
+        return {t: load.read_table(spark, root, t).count() for t in load.TABLES}
+
+    write_day(spark, f"{raw}/2024-01-01", dt.date(2024, 1, 1), hours=3)
+    write_day(spark, f"{raw}/2024-01-02", dt.date(2024, 1, 2), hours=3, skip=("avg", "max"))
+    assert go() == {"dim_time": 3, "dim_location": 3, "fact_weather": 9, "ledger": 1}
+    assert go()["fact_weather"] == 9
+    write_day(spark, f"{raw}/2024-01-02", dt.date(2024, 1, 2), hours=3, skip=("instant", "accum"))
+    assert go() == {"dim_time": 6, "dim_location": 3, "fact_weather": 18, "ledger": 2}
