@@ -23,6 +23,8 @@ def metre_to_millimetre(metre: Column) -> Column:
 
 
 def wind_speed(u: Column, v: Column) -> Column:
+    """Squares are taken over doubles: the raw components are floats."""
+    u, v = u.cast("double"), v.cast("double")
     return F.round(F.sqrt(u * u + v * v), 2)
 
 

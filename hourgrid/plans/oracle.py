@@ -83,6 +83,22 @@ conformed as (
          tcc as cloud_cover, avg_sdswrf as solar_radiation
   from joined)"""
 )
+# The same over streams stored as floats.
+STORED = (
+    JOINED
+    + f""",
+stored as (
+  select {AT}, {time_key('time')} as time_id, time as timestamp,
+         {rounded('t2m::float::double - 273.15::double', 2)} as temperature_c,
+         {rounded('d2m::float::double - 273.15::double', 2)} as dewpoint_c,
+         {rounded('mx2t::float::double - 273.15::double', 2)} as max_temp_c,
+         {rounded('mn2t::float::double - 273.15::double', 2)} as min_temp_c,
+         {rounded('msl::float::double / 100', 2)} as pressure_hpa,
+         {rounded('tp::float::double * 1000', 4)}::float::double as precipitation_mm,
+         {rounded('sqrt(u10 * u10 + v10 * v10)', 2)} as wind_speed_ms,
+         tcc::float::double as cloud_cover, avg_sdswrf::float::double as solar_radiation
+  from joined)"""
+)
 MEASURES = "temperature_c, dewpoint_c, pressure_hpa, precipitation_mm, wind_speed_ms, cloud_cover, solar_radiation"
 FEATURES = "time, " + ", ".join([fv.TARGET, *fv.FEATURES])
 LATEST = W + f""",
@@ -280,6 +296,9 @@ select {AT}, temperature_c, prediction from scored order by time, latitude, long
         "drill_labels": """select o_orderkey, strftime(o_orderdate, '%Y') as year_label,
        strftime(o_orderdate, '%Y-%m') as month_label, strftime(o_orderdate, '%Y-%m-%d') as day_label from orders""",
         "time_key": f"select event_id, {time_key('ts')} as time_id from events",
+        "star_load": f"""with {STORED}
+select time_id, timestamp, year(time) as year, month(time) as month, day(time) as day, hour(time) as hour,
+       isodow(time) as day_of_week, latitude, longitude, max_temp_c, min_temp_c, {MEASURES} from stored""",
         "stream_ingest": f"select {time_key('ts')} as time_id, event_id, user_id, value from events",
         "forecast_frame": f"""with {LATEST}
 select {FEATURES}, step, newest + to_hours(step::integer) as forecast_time from frame""",

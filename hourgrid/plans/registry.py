@@ -13,6 +13,7 @@ from hourgrid import fixed_values as fv
 from hourgrid import session
 from hourgrid.functions import calendar, measures
 from hourgrid.operators import analytics, checks, clean, conform, decide, load, model, series, star
+from hourgrid.plans import daily
 from hourgrid.sources import binding, streams, tables
 from hourgrid.streaming import ingest
 
@@ -232,6 +233,21 @@ def pending_days(spark, sf):
     return load.pending_days(binding.keys(spark, sf), ledger)
 
 
+def star_load(spark, sf):
+    """The whole way: raw files as they arrive, scanned, cleaned, joined, checked, loaded into an
+    empty star, and read back through the view."""
+    path = session.scratch_path(spark, "star")
+    cells = session.stored(binding.cells(spark, sf), "cells")
+    for name, df in binding.streams_of(cells).items():
+        kept = [c if c in fv.JOIN_KEYS else F.col(c).cast("float").alias(c) for c in df.columns]
+        arrived = df.select(*kept).withColumnRenamed("time", "valid_time")
+        arrived.write.parquet(f"{path}/raw/all/{fv.STREAM_FILE.format(stream=name)}")
+    load.create_star(spark, f"{path}/tables")
+    daily.load_folders(spark, f"{path}/raw", ["all"], f"{path}/tables")
+    facts, times, places = daily.open_star(spark, f"{path}/tables")
+    return star.weather_full(facts.drop("year"), times, places).drop("location_id")
+
+
 def stream_ingest(spark, sf):
     """The event file or files as a stream, loaded twice; the second load must add nothing."""
     path = session.scratch_path(spark, "stream")
@@ -401,7 +417,7 @@ _PLAIN = (
     kpi, extreme_days, yearly_trend, temp_histogram, correlations, correlation_ranking,
     forecast_summary, eval_metrics, eval_extents, chrono_split, latest_168_rows,
     latest_168h_per_location, eval_slice, calendar_parts, drill_labels, time_key,
-    stream_ingest, rf_predictions, forecast_frame, forecast_band, recommendations, kpi_status,
+    star_load, stream_ingest, rf_predictions, forecast_frame, forecast_band, recommendations, kpi_status,
     quality_checks,
 )
 

@@ -73,7 +73,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_streams(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw streams; each lacks some cells, so that joining them loses rows."""
-    g = cells(spark, sf_dir)
+    return streams_of(cells(spark, sf_dir))
+
+
+def streams_of(g: DataFrame) -> dict[str, DataFrame]:
     q, pk = F.col("q"), F.col("pk")
     t2m = q * 1.25 - 25 + 273.15
     at = ["time", "latitude", "longitude"]
