@@ -65,7 +65,7 @@ def calendar_parts(ts: Column) -> list[Column]:
 def period_label(grain: str, year: Column, month: Column, date: Column) -> Column:
     """Chart label of a period: yyyy, yyyy-MM or yyyy-MM-dd."""
     if grain == "day":
-        return F.date_format(date, "yyyy-MM-dd")
+        return date.cast("string")
     if grain == "month":
         return F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
     return year.cast("string")

@@ -60,7 +60,8 @@ def backfill_scan(spark, sf):
     root = session.scratch_path(spark, "backfill")
     at = list(series.ORDER)
     rows = binding.observations(spark, sf).select(*at, "temperature_c")
-    months = tables.spread(rows, at).withColumn("period", F.date_format("time", "yyyy_MM"))
+    month = calendar.period_label("month", F.year("time"), F.month("time"), F.to_date("time"))
+    months = tables.spread(rows, at).withColumn("period", F.translate(month, "-", "_"))
     months.write.partitionBy("period").parquet(root)
     folders = [f"period={p}" for p in streams.month_periods(range(1992, 2003))]
     found = streams.scan_periods(spark, root, folders, "*.parquet", rows.schema)

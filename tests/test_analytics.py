@@ -126,6 +126,19 @@ def test_empty_input_gives_empty_results(obs):
     assert analytics.drill_down(empty, "month").collect() == []
 
 
+def test_an_hour_that_the_session_zone_skips_is_kept(spark, obs):
+    df = keyed(obs([("2024-03-10T02:30", 40.0, 70.0, 1.0, 0.0), ("2024-03-10T23:30", 40.0, 70.0, 3.0, 0.0)]))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for frame in (df, df.drop("time"), df.drop("time_id")):
+            assert [tuple(r) for r in analytics.drill_down(frame, "day").collect()] == [("2024-03-10", 2.0, 0.0)]
+        hours = star.time_dimension(df).orderBy("time_id")
+        assert [(r["time_id"], r["hour"]) for r in hours.collect()] == [(2024031002, 2), (2024031023, 23)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_last_year(spark):
     times = spark.createDataFrame([(2019,), (2021,)], "year int")
     assert analytics.last_year(times).first()["year"] == 2021
