@@ -90,7 +90,7 @@ def load_star(spark: SparkSession, root: str, facts: DataFrame, dim_time: DataFr
     written = {}
     for name, dim, key in (("dim_location", dim_location, "location_id"), ("dim_time", dim_time, "time_id")):
         fresh = unseen(dim, read_table(spark, root, name), [key])
-        written[name] = tables.write_batches(fresh, f"{root}/{name}")
+        written[name] = tables.append(fresh, f"{root}/{name}")
 
     low, high = facts.agg(F.min("time_id"), F.max("time_id")).first()
     if low is None:

@@ -66,8 +66,9 @@ def chrono_split(
 ) -> DataFrame:
     """Adds ``is_test``: the last ``ceil(test_share * n)`` rows in time order, no shuffling of rows.
 
-    ``order`` must identify a row, as the star's keys do. The rows are never sorted or numbered:
-    they are compared with the one key at which the cut falls, so the split is a map over the
+    ``order`` should identify a row, as the star's keys do; copies of the key at which the cut
+    falls stay together in the first part, so that no observation is on both sides. The rows are
+    never sorted or numbered: they are compared with that one key, so the split is a map over the
     input after three counting passes over the key columns.
     """
     if not 0 < test_share < 1:
@@ -88,7 +89,8 @@ def latest_hours_per_location(
     """The newest ``hours`` rows of each place.
 
     Spark limits each task's rows per place before the shuffle, so a place with a large share of
-    all rows sends ``hours`` rows per task and no more.
+    all rows sends ``hours`` rows per task and no more. It does so for up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) rows.
     """
     newest = Window.partitionBy(*place).orderBy(F.desc("time"))
     return df.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= hours).drop("_n")

@@ -38,8 +38,15 @@ def write_by_date(df: DataFrame, path: str, order: Sequence[str] = fv.JOIN_KEYS,
     return seen.get["rows"]
 
 
+def append(df: DataFrame, path: str) -> int:
+    """Append, every task on its own. Returns the rows written."""
+    rows, seen = counted(df)
+    rows.write.mode("append").parquet(path)
+    return seen.get["rows"]
+
+
 def write_batches(df: DataFrame, path: str, batch: int = fv.INSERT_BATCH) -> int:
-    """Append in files of at most ``batch`` rows, every task on its own. Returns the rows written."""
+    """The same in files of at most ``batch`` rows, for receivers that take small batches only."""
     rows, seen = counted(df)
     rows.write.mode("append").option("maxRecordsPerFile", batch).parquet(path)
     return seen.get["rows"]

@@ -36,7 +36,7 @@ def append_unseen(
     if low is None:
         return 0
     stored = spark.read.schema(schema).parquet(table).where(F.col(key).between(low, high))
-    return tables.write_batches(load.unseen(rows, stored, keys), table)
+    return tables.append(load.unseen(rows, stored, keys), table)
 
 
 def start_ingest(

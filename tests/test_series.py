@@ -36,6 +36,21 @@ def test_split_takes_the_last_rows_exactly(spark, rows, share):
     assert test == {(T0 + dt.timedelta(hours=h), y, x) for h, y, x in ordered[len(rows) - n_test :]}
 
 
+def test_split_keeps_copies_of_a_key_together_and_all_rows(spark):
+    rows = [(h, 40.0, 70.0) for h in range(10)] + [(7, 40.0, 70.0)] * 5
+    got = series.chrono_split(points(spark, rows)).collect()
+    assert len(got) == 15
+    sides = {}
+    for r in got:
+        sides.setdefault(r["time"], set()).add(r["is_test"])
+    assert all(len(s) == 1 for s in sides.values())
+    assert [t.hour for t, s in sorted(sides.items()) if s == {True}] == [8, 9]
+
+
+def test_preview(spark):
+    assert [r["time"].hour for r in series.preview(points(spark, [(h, 40.0, 70.0) for h in (9, 2, 5)]), 2).collect()] == [2, 5]
+
+
 def test_split_of_nothing(spark):
     assert series.chrono_split(points(spark, [])).collect() == []
     with pytest.raises(ValueError):
