@@ -35,8 +35,8 @@ def shingled(rows: DataFrame, key: str, words: int = WORDS) -> DataFrame:
     """
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+", " "))
     rows = rows.select(key, F.transform(F.split(plain, " "), lambda w: F.xxhash64(w)).alias("words"))
-    starts = F.sequence(F.lit(1), F.size("words") - (words - 1))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, words)))
+    starts = F.sequence(F.lit(0), F.size("words") - words)
+    runs = F.transform(starts, lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(words)]))
     none = F.array().cast("array<bigint>")
     return rows.select(key, F.when(F.size("words") >= words, runs).otherwise(none).alias("hashes"))
 
@@ -53,29 +53,30 @@ def item_minima(items: DataFrame, words: int = WORDS) -> DataFrame:
     out: nothing can be said of them.
     """
     own = shingled(items, "item_id", words).select("item_id", F.array_distinct("hashes").alias("own"))
-    own = own.where(F.size("own") > 0)
     # sizes 1 to 2 are the first class, then 3 to 4, 5 to 8, ...
     half = F.greatest(F.lit(1), F.pow(2, F.ceil(F.log2(F.size("own"))) - 1)).cast("int")
-    bands = own.select("item_id", "own", half.alias("half"), F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    bands = own.select("item_id", "own", half.alias("half"), F.explode_outer(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
     seed = _seed(F.col("band"))
-    least = F.array_min(F.transform("own", lambda h: h.bitwiseXOR(seed)))
+    least = F.array_min(F.transform("own", lambda h: h.bitwiseXOR(seed)))  # null without a shingle
     bands = bands.select("item_id", "own", "half", seed.alias("seed"), least.bitwiseXOR(seed).alias("hash"))
-    return bands.groupBy("item_id", "own", "half", "hash").agg(F.collect_list("seed").alias("seeds"))
+    return bands.where("hash is not null").groupBy("item_id", "own", "half", "hash").agg(F.collect_list("seed").alias("seeds"))
 
 
-def _agrees(hashes: Column) -> Column:
-    """Whether some window of the class around place ``at`` (from 0) has ``hash`` as its minimum in a band."""
-    half, at, own = F.col("half"), F.col("at"), F.col("hash")
-    first = F.floor(at / half).cast("int")
+def _agreeing(near: DataFrame) -> DataFrame:
+    """Rows for the windows around place ``at`` (from 0) that have ``hash`` as their minimum in a band.
 
-    def window_agrees(back: Column) -> Column:
-        window = F.slice(hashes, (first - back) * half + 1, 3 * half)
-        return (first >= back) & F.exists(
-            "seeds",
-            lambda s: F.array_min(F.transform(F.when(first >= back, window), lambda h: h.bitwiseXOR(s))) == own.bitwiseXOR(s),
-        )
+    Windows are rows before they are tested: a test on the joined row itself would become part of the join,
+    which would then make a row of each shingle of each document.
+    """
+    at_half = F.floor(F.col("at") / F.col("half")).cast("int")
+    back = F.explode(F.sequence(F.greatest(at_half - 2, F.lit(0)), at_half)).alias("first")
+    windows = near.select("doc_id", "item_id", "own", "hashes", "half", "hash", "seeds", back)
+    window = F.slice("hashes", F.col("first") * F.col("half") + 1, 3 * F.col("half"))
+
+    def is_least(seed: Column) -> Column:
+        return F.array_min(F.transform(window, lambda h: h.bitwiseXOR(seed))) == F.col("hash").bitwiseXOR(seed)
 
-    return F.exists(F.array(F.lit(0), F.lit(1), F.lit(2)), window_agrees)
+    return windows.where(F.exists("seeds", is_least))
 
 
 def contaminated(
@@ -102,8 +103,7 @@ def contaminated(
         places = held.select("row", F.posexplode_outer("hashes").alias("at", "hash"))
         near = places.join(minima, "hash").join(held, "row")
     shared, size = F.size(F.array_intersect("own", "hashes")), F.size("own")
-    near = near.where(_agrees(F.col("hashes")))
-    near = near.select("doc_id", "item_id", shared.cast("long").alias("n_shared"), size.cast("long").alias("n_item"))
+    near = _agreeing(near).select("doc_id", "item_id", shared.cast("long").alias("n_shared"), size.cast("long").alias("n_item"))
     found = near.where(F.col("n_shared") >= F.lit(containment) * F.col("n_item"))
     best = found.groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item"))
     return best.withColumn("containment", F.col("n_shared") / F.col("n_item"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import chat_format, decontaminate, packing, token_counts, topk, url_filter
+from hourgrid.llm import chat_format, decontaminate, ngram_join, packing, token_counts, topk, url_filter
 from hourgrid.llm.ship import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op6_url_filter(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"), page_outcomes(spark, sf))
 
 
+def op8_ngram_jaccard_join(spark, sf):
+    return ngram_join.near_groups(table(spark, sf, "documents"), words=4, num=85, den=100)
+
+
 def op9_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -73,4 +77,8 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _shipped(f) for f in (op2_token_counts, op4_decontamination, op5_chat_formatting, op6_url_filter, op9_packing, op10_exact_top_k)}
+    return {f.__name__: _shipped(f) for f in (op2_token_counts, op4_decontamination, op5_chat_formatting, op6_url_filter, op8_ngram_jaccard_join, op9_packing, op10_exact_top_k)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
