@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import chat_format, decontaminate, ngram_join, packing, token_counts, topk, url_filter
+from hourgrid.llm import (
+    chat_format,
+    decontaminate,
+    ngram_join,
+    packing,
+    quality_crf,
+    secret_scan,
+    token_counts,
+    topk,
+    toxicity,
+    url_filter,
+)
 from hourgrid.llm.ship import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +31,31 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _judged(scored: DataFrame, folds: int, fold: int) -> DataFrame:
+    held = quality_crf.held_out(F.col("doc_id"), folds, fold).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _learned_labels(spark, sf, label: str, folds: int, fold: int) -> DataFrame:
+    """Labels of the rows that may be learned from."""
+    labels = quality_crf.clear_labels(table(spark, sf, "labels"), label)
+    return labels.where(~quality_crf.held_out(F.col("doc_id"), folds, fold))
+
+
+def op1_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    scorer = toxicity.fit(docs, _learned_labels(spark, sf, "toxic", 5, 0))
+    return _judged(toxicity.score(docs, scorer), 5, 0)
+
+
 def op2_token_counts(spark, sf):
     return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_secret_scan(spark, sf):
+    return secret_scan.scan(table(spark, sf, "documents"))
+
+
 def op4_decontamination(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -53,6 +85,12 @@ def op6_url_filter(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"), page_outcomes(spark, sf))
 
 
+def op7_quality_classifier(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = quality_crf.fit(docs, _learned_labels(spark, sf, "quality", 3, 1))
+    return _judged(quality_crf.score(docs.select("doc_id", "text"), model), 3, 1)
+
+
 def op8_ngram_jaccard_join(spark, sf):
     return ngram_join.near_groups(table(spark, sf, "documents"), words=4, num=85, den=100)
 
@@ -77,7 +115,19 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _shipped(f) for f in (op2_token_counts, op4_decontamination, op5_chat_formatting, op6_url_filter, op8_ngram_jaccard_join, op9_packing, op10_exact_top_k)}
+    found = (
+        op1_toxicity,
+        op2_token_counts,
+        op3_secret_scan,
+        op4_decontamination,
+        op5_chat_formatting,
+        op6_url_filter,
+        op7_quality_classifier,
+        op8_ngram_jaccard_join,
+        op9_packing,
+        op10_exact_top_k,
+    )
+    return {f.__name__: _shipped(f) for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
