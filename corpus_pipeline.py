@@ -1,19 +1,78 @@
 """A cleaning pipeline for a text corpus: five stages, each written and read again by the next.
 
-quality classifier, n-gram Jaccard join, benchmark decontamination, secret scans, packing.
+The quality classifier drops what it rejects, the n-gram Jaccard join keeps one document of each group, benchmark
+decontamination drops documents that hold an item, the secret scan replaces what it finds, and packing cuts the rest
+into sequences. Every stage but the last returns the columns of its documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hourgrid.llm import decontaminate, ngram_join, packing, quality_crf, secret_scan
+from hourgrid.llm.ship import ship_package
+from hourgrid.session import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
-#: Stages that train a model have no SQL; tests compare each stage with a brute-force version.
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    ship_package(spark)
+    labels = quality_crf.clear_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
+    labels = labels.where(~quality_crf.held_out(F.col("doc_id"), 3, 1))
+    model = quality_crf.fit(docs, labels)
+    return quality_crf.score(docs, model).where("score >= 0.5").select(docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that is linked by sets of five-word shingles of similarity 0.8 or more.
+
+    The one with the least doc_id stays; rows without doc_id stay.
+    """
+    ship_package(spark)
+    groups = ngram_join.near_groups(docs, words=5, num=80, den=100)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    gone = decontaminate.contaminated(docs, items).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose secrets are replaced by a mark."""
+    ship_package(spark)
+    return secret_scan.redact(docs, secret_scan.scan(docs)).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, each a sequence."""
+    ship_package(spark)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secrets),
+    ("packing", pack),
+]
+#: The trained stages have no SQL; tests compare the stages with brute-force versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``; what one returns is written to the shared folder and read by the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
