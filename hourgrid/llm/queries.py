@@ -82,7 +82,8 @@ def page_outcomes(spark, sf):
 
 
 def op6_url_filter(spark, sf):
-    return url_filter.judge(table(spark, sf, "pages"), page_outcomes(spark, sf))
+    judged = url_filter.judge(table(spark, sf, "pages"), page_outcomes(spark, sf))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op7_quality_classifier(spark, sf):
@@ -129,6 +130,3 @@ def queries() -> dict[str, Query]:
     )
     return {f.__name__: _shipped(f) for f in found}
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
