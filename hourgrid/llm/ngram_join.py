@@ -3,12 +3,15 @@
 1. Documents with equal sets form a class; from here on a class is one document.
 2. Classes that share a shingle among their first ones, in one order for all, may be similar, others are not
    (prefix filter): with similarity s, sets of n shingles that share none among the first n - ceil(s n) + 1 of each
-   cannot be similar. Shingles that many documents hold come last in that order, so a passage that is repeated
-   everywhere brings nothing together by itself. What is connected in this way forms a block; no link leaves it.
-3. The classes of a block are joined by signature trees, walked in pairs (``signature_tree``). A block of more than
-   ``CHUNK`` classes is cut into chunks by size: first each chunk is joined with itself, then with the first one,
+   cannot be similar. Shingles that many documents hold come last in that order.
+3. The classes that share such a shingle form a list. Equal lists are taken once, and each is joined by a signature
+   tree of its classes' bitmaps, walked against itself (``signature_tree``): what bitmaps and sizes do not rule out is
+   connected. Lists longer than ``LIST``, which only copies have, are connected without a test. What is connected in
+   this way forms a block; no link leaves it.
+4. The classes of a block are joined exactly, by signature trees whose last step compares the sets. A block of more
+   than ``CHUNK`` classes is cut into chunks by size: first each chunk is joined with itself, then with the first one,
    and then any two chunks that still hold several components between them.
-4. The links' components are found by label propagation.
+5. The links' components are found by label propagation.
 
 Only connections are asked for, so documents that are connected already need not be compared, which keeps the
 work for a group of copies in proportion to its size.
@@ -26,14 +29,15 @@ from pyspark.sql import functions as F
 
 from hourgrid.llm.components import components
 from hourgrid.llm.shingle_sets import shingle_set
-from hourgrid.llm.signature_tree import Join
+from hourgrid.llm.signature_tree import Join, bitmap, exact
 from hourgrid.session import stored
 
 #: Shingles counted at a time, documents that make one frequent, and how many frequent ones are kept at most:
 #: they only set the order of the prefix filter, which finds every link in any order.
-COUNTED, FREQUENT, MOST_FREQUENT = 2_000_000, 48, 200_000
-CHUNK = 2000
-LISTS = pa.list_(pa.int64())
+COUNTED, FREQUENT, MOST_FREQUENT = 2_000_000, 8, 200_000
+LIST, CHUNK = 256, 2000
+#: Up to so many members of blocks are broadcast to the scan that makes their sets; more are joined by shuffle.
+BROADCAST_MEMBERS = 200_000
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
@@ -90,121 +94,163 @@ def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
 def _sets(words: int, num: int, den: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, first = [], [], []
+            sizes, keys, first, bits = [], [], [], []
             for text in _texts(batch, "text"):
                 tokens = shingle_set(text, words)
                 sizes.append(len(tokens))
                 keys.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+                bits.append(bitmap(tokens).tobytes())
                 if len(tokens):
                     last = np.isin(tokens, frequent, assume_unique=True) if len(frequent) else np.zeros(len(tokens), bool)
                     ordered = np.concatenate((tokens[~last], tokens[last]))
                     first.append(ordered[: prefix_length(len(tokens), num, den)])
                 else:
                     first.append(tokens)
+            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary()), _lists(first)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(first)],
-                ["doc_id", "text_hash", "n", "key", "first"],
+                [batch.column("doc_id"), batch.column("text_hash"), *made], ["doc_id", "text_hash", "n", "key", "bits", "first"]
             )
 
     return run
 
 
+def _candidates(num: int, den: int):
+    """Edges among the classes of each list that sizes and bitmaps do not rule out; rows come list by list."""
+
+    def edges(rows: list[tuple]) -> list[tuple[int, int]]:
+        rows.sort(key=lambda r: (r[1], r[0]))
+        join = Join([np.frombuffer(r[2], np.uint64) for r in rows], [r[1] for r in rows], num, den, lambda a, b: True)
+        join.within(join.tree(list(range(len(rows)))))
+        return [(rows[i][0], rows[r][0]) for i, r in enumerate(join.labels()) if i != r]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+        for batch in batches:
+            out = []
+            for which, *row in zip(*(batch.column(c).to_pylist() for c in ("list", "class", "n", "bits")), strict=True):
+                if which != now and rows:
+                    out += edges(rows)
+                    rows = []
+                now = which
+                rows.append(tuple(row))
+            yield _edges(out)
+        if rows:
+            yield _edges(edges(rows))
+
+    return run
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
 def _whole_sets(words: int):
+    """Sets of the classes' texts, once for each class that a task sees."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            new = []
+            for i, c in enumerate(batch.column("class").to_pylist()):
+                if c not in seen:
+                    seen.add(c)
+                    new.append(i)
+            batch = batch.take(pa.array(new, pa.int64()))
             sets = [shingle_set(text, words) for text in _texts(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("class"), batch.column("block"), batch.column("chunk"), _lists(sets)], ["class", "block", "chunk", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class"), batch.column("block"), batch.column("chunk"), _lists(sets)], ["class", "block", "chunk", "tokens"]
+            )
 
     return run
 
 
 def _join(num: int, den: int):
-    """Joins the rows of each task (block, one, two): within a chunk, or between two chunks."""
+    """Links found by each task (block, one, two): within a chunk, or between two chunks."""
 
-    def task(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        classes, chunks = [r[0] for r in rows], [r[1] for r in rows]
-        join = Join([r[3] for r in rows], num, den, [r[2] for r in rows])
+    def links(rows: list[tuple]) -> list[tuple[int, int]]:
+        classes, chunks, sets = [r[0] for r in rows], [r[1] for r in rows], [r[3] for r in rows]
+        join = Join([bitmap(s) for s in sets], [len(s) for s in sets], num, den, exact(sets, num, den), [r[2] for r in rows])
         sides = [[i for i, c in enumerate(chunks) if c == chunk] for chunk in sorted(set(chunks))]
-        trees = [join.tree(side) for side in sides]
+        trees = [join.tree(side, lambda d: (tuple(sets[d][:2]), len(sets[d]))) for side in sides]
         if len(trees) == 1:
             join.within(trees[0])
         else:
             join.between(*trees)
-        label = join.labels()
-        links = [(c, classes[x]) for c, x in zip(classes, label, strict=True) if classes[x] != c]
-        return [a for a, _ in links], [b for _, b in links]
+        return [(c, classes[r]) for c, r in zip(classes, join.labels(), strict=True) if classes[r] != c]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
-
-        def links() -> pa.RecordBatch:
-            a, b = task(rows)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
         for batch in batches:
             tasks = zip(*(batch.column(c).to_pylist() for c in ("block", "one", "two")), strict=True)
             cells = zip(*(batch.column(c).to_pylist() for c in ("class", "chunk", "component")), strict=True)
-            tokens = batch.column("tokens")
+            tokens, out = batch.column("tokens"), []
             for i, (which, cell) in enumerate(zip(tasks, cells, strict=True)):
                 if which != now and rows:
-                    yield links()
+                    out += links(rows)
                     rows = []
                 now = which
                 rows.append((*cell, tokens[i].values.to_numpy()))
+            yield _edges(out)
         if rows:
-            yield links()
+            yield _edges(links(rows))
 
     return run
 
 
-def _pairs_joined(members: DataFrame, pairs: DataFrame, label: DataFrame | None, num: int, den: int) -> DataFrame:
-    """Links found for each of ``pairs`` (block, one, two) of chunks, from ``members`` with their token sets."""
-    if label is None:
-        rows = members.withColumn("component", F.col("class"))
-    else:
-        known = label.select(F.col("node").alias("class"), "component")
-        rows = members.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    sides = pairs.select("block", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("chunk"))
-    rows = rows.join(sides, ["block", "chunk"]).repartition("block", "one", "two")
-    rows = rows.sortWithinPartitions("block", "one", "two").select("block", "one", "two", "class", "chunk", "component", "tokens")
+def _tasks_joined(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Links found by the tasks (block, one, two) of ``rows``, which have class, chunk, component and tokens."""
+    rows = rows.select("block", "one", "two", "class", "chunk", "component", "tokens")
+    rows = rows.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two")
     return rows.mapInArrow(_join(num, den), "a long, b long")
 
 
-def _linked(docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """``node`` and ``component`` of the classes that are linked with others."""
+def _blocks(classes: DataFrame, num: int, den: int) -> DataFrame:
+    """``node`` and ``component``: the block of each class that may be linked with another."""
     postings = classes.select("class", F.explode("first").alias("token"))
-    meet = postings.withColumn("pivot", F.min("class").over(Window.partitionBy("token")))
-    blocks = components(meet.where("pivot <> class").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct())
+    of_token = Window.partitionBy("token")
+    held = postings.withColumns({"held": F.count("*").over(of_token), "pivot": F.min("class").over(of_token)}).where("held > 1")
+    held = stored(held, "postings")
+    lists = held.where(F.col("held") <= LIST).groupBy("token").agg(F.sort_array(F.collect_list("class")).alias("classes"))
+    lists = lists.select("classes").distinct().select(F.monotonically_increasing_id().alias("list"), "classes")
+    rows = lists.select("list", F.explode("classes").alias("class")).join(classes.select("class", "n", "bits"), "class")
+    rows = rows.repartition("list").sortWithinPartitions("list").select("list", "class", "n", "bits")
+    near = rows.mapInArrow(_candidates(num, den), "a long, b long")
+    long_lists = held.where((F.col("held") > LIST) & (F.col("pivot") < F.col("class")))
+    return components(near.unionByName(long_lists.select(F.col("pivot").alias("a"), F.col("class").alias("b"))).distinct())
+
 
-    # chunks of a block by size: no block is larger than its chunk times the number of its chunks
-    members = blocks.select(F.col("node").alias("class"), F.col("component").alias("block"))
-    members = members.join(classes.select("class", "n", "rep_id", "rep_hash"), "class")
+def _linked(docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``node`` and ``component`` of the classes that are linked with others."""
+    blocks = _blocks(classes, num, den).select(F.col("node").alias("class"), F.col("component").alias("block"))
+    members = blocks.join(classes.select("class", "n", "rep_id", "rep_hash"), "class")
     by_size = Window.partitionBy("block").orderBy("n", "class")
     members = members.withColumn("chunk", F.floor((F.row_number().over(by_size) - 1) / CHUNK))
     members = stored(members, "members")
 
-    # the texts of the members, one for each class, and their whole sets
-    texts = docs.select("doc_id", "text", "text_hash").join(
-        members.select("class", "block", "chunk", F.col("rep_id"), F.col("rep_hash")),
-        F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")),
-    )
-    sets = texts.select("class", "block", "chunk", "text").mapInArrow(
-        _whole_sets(words), "class long, block long, chunk long, tokens array<long>"
-    )
-    sets = stored(sets.dropDuplicates(["class"]), "sets")
-
+    def sets_of(some: DataFrame) -> DataFrame:
+        """The texts of members, one for each class, as whole sets."""
+        some = some.select("class", "block", "chunk", "rep_id", "rep_hash")
+        if some.count() <= BROADCAST_MEMBERS:
+            some = F.broadcast(some)
+        same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash"))
+        texts = docs.select("doc_id", "text", "text_hash").join(some, same)
+        schema = "class long, block long, chunk long, tokens array<long>"
+        return texts.select("class", "block", "chunk", "text").mapInArrow(_whole_sets(words), schema)
+
+    alone = sets_of(members).withColumns({"one": F.col("chunk"), "two": F.col("chunk"), "component": F.col("class")})
+    links = stored(_tasks_joined(alone, num, den), "links")
+    label = components(links)
     chunks = members.groupBy("block", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    alone = chunks.select("block", F.col("chunk").alias("one"), F.col("chunk").alias("two"))
-    links = stored(_pairs_joined(sets, alone, None, num, den), "links")
-    cut = chunks.where("chunk > 0").select("block").distinct()
+    cut = stored(chunks.where("chunk > 0").select("block").distinct(), "cut")
     if cut.isEmpty():
-        return components(links)
+        return label
 
+    members = members.join(cut, "block")
+    sets = stored(sets_of(members), "sets")
     chunks = stored(chunks.join(cut, "block"), "chunks")
-    right = chunks.select("block", F.col("chunk").alias("two"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    right = chunks.select("block", F.col("chunk").alias("two"), F.col("low").alias("low2"))
     near = (F.col("one") < F.col("two")) & (F.col("high") * den >= F.col("low2") * num)
     pairs = chunks.withColumnRenamed("chunk", "one").join(right, "block").where(near).select("block", "one", "two")
-    label = components(links)
     for some in (F.col("one") == 0, F.col("one") > 0):
         known = label.select(F.col("node").alias("class"), "component")
         held = members.join(known, "class", "left").select("block", "chunk", F.coalesce("component", "class").alias("component"))
@@ -213,8 +259,9 @@ def _linked(docs: DataFrame, classes: DataFrame, words: int, num: int, den: int)
         two = spans.select("block", F.col("chunk").alias("two"), F.col("least").alias("l2"), F.col("most").alias("m2"))
         several = F.greatest("m1", "m2") > F.least("l1", "l2")
         left = pairs.where(some).join(one, ["block", "one"]).join(two, ["block", "two"]).where(several).select("block", "one", "two")
-        more = stored(_pairs_joined(sets, left, label, num, den), "links")
-        links = stored(links.unionByName(more), "links")
+        sides = left.select("block", "one", "two", F.explode(F.array("one", "two")).alias("chunk"))
+        rows = sets.join(known, "class", "left").withColumn("component", F.coalesce("component", "class")).join(sides, ["block", "chunk"])
+        links = stored(links.unionByName(_tasks_joined(rows, num, den)), "links")
         label = components(links)
     return label
 
@@ -230,14 +277,14 @@ def near_groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     frequent = frequent_shingles(docs, words)
-    schema = "doc_id long, text_hash long, n long, key binary, first array<long>"
+    schema = "doc_id long, text_hash long, n long, key binary, bits binary, first array<long>"
     sets = stored(docs.mapInArrow(_sets(words, num, den, frequent), schema), "prefixes")
-    least = F.min(F.struct("doc_id", "text_hash"))
+    rep = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     classes = sets.where("n > 0").groupBy("key", "n").agg(
-        least.alias("rep"), F.min("doc_id").alias("least_id"), F.any_value("first").alias("first")
+        rep.alias("rep"), F.min("doc_id").alias("least_id"), F.any_value("first").alias("first"), F.any_value("bits").alias("bits")
     )
     classes = classes.select(
-        F.monotonically_increasing_id().alias("class"), "key", "n", "least_id", "first",
+        F.monotonically_increasing_id().alias("class"), "key", "n", "least_id", "first", "bits",
         F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"),
     )
     classes = stored(classes, "classes")

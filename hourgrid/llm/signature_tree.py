@@ -2,15 +2,30 @@
 
 Two trees are walked together from the roots. A pair of nodes is given up when its sizes cannot reach the
 similarity, when its bitmaps leave less overlap than the least that the sizes ask for, or when all its
-documents are connected already. Documents that are left meet in pairs and are compared exactly.
+documents are connected already. Documents that are left meet in pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
-FANOUT = 8
-LEAST_BITS, MOST_BITS = 512, 1 << 16
+FANOUT, LEAF = 8, 16
+LEAST_BITS, MOST_BITS = 256, 1 << 16
+
+
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Bitmap of token hashes by their last bits, four bits a token or more, up to ``MOST_BITS``."""
+    n_bits = min(max(LEAST_BITS, 1 << (4 * len(tokens)).bit_length()), MOST_BITS)
+    marks = np.zeros(n_bits, np.uint8)
+    marks[tokens & (n_bits - 1)] = 1
+    return np.packbits(marks).view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap of the same tokens with ``words`` words of 64 bits."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words)) if len(bits) > words else bits
 
 
 class Forest:
@@ -32,12 +47,16 @@ class Forest:
 
 
 class Node:
-    """A document, or up to ``FANOUT`` nodes: bitmap, range of sizes, and the most tokens that share bits."""
+    """Up to ``FANOUT`` nodes, or up to ``LEAF`` documents.
 
-    __slots__ = ("bits", "children", "doc", "excess", "high", "low", "one")
+    ``excess`` is the most tokens of a document that share a bit with another of its own; ``one`` tells that all
+    documents below are known to be connected.
+    """
 
-    def __init__(self, children: list[Node], doc: int = -1):
-        self.children, self.doc, self.one = children, doc, doc >= 0
+    __slots__ = ("bits", "children", "docs", "excess", "high", "low", "one")
+
+    def __init__(self, children: list[Node], docs: list[int]):
+        self.children, self.docs, self.one = children, docs, len(docs) == 1
         if children:
             self.bits = np.bitwise_or.reduce([c.bits for c in children])
             self.low, self.high = min(c.low for c in children), max(c.high for c in children)
@@ -45,47 +64,49 @@ class Node:
 
 
 class Join:
-    """Finds the connections among documents given as ascending arrays of token hashes.
+    """Connects documents whose Jaccard similarity may be ``num`` / ``den`` or more, as ``similar`` finds it.
 
-    ``num`` / ``den`` is the least Jaccard similarity. ``linked`` may hold a label for each document: equal labels
-    are connected from the start.
+    A document has a bitmap and a size. ``similar`` gets two documents that sizes and bitmaps do not rule out and
+    that are not connected yet. ``linked`` may hold a label for each: equal labels are connected from the start.
     """
 
-    def __init__(self, sets: list[np.ndarray], num: int, den: int, linked: list | None = None):
-        self.sets, self.num, self.den = sets, num, den
-        self.forest = Forest(len(sets))
+    def __init__(
+        self, bits: list[np.ndarray], sizes: list[int], num: int, den: int, similar: Callable[[int, int], bool], linked: list | None = None
+    ):
+        words = max(min(map(len, bits)), max(map(len, bits)) // 8) if bits else 1
+        rows = [folded(b, words) for b in bits]
+        self.sizes = np.array(sizes, np.int64)
+        self.excess = self.sizes - [int(np.bitwise_count(b).sum()) for b in rows]
+        # a shorter bitmap, repeated, has every bit that a longer one of the same tokens could have
+        self.bits = np.stack([np.tile(b, words // len(b)) for b in rows]) if rows else np.empty((0, 1), np.uint64)
+        self.num, self.den, self.similar = num, den, similar
+        self.forest = Forest(len(sizes))
         first: dict = {}
         for i, label in enumerate(linked or []):
             self.forest.join(first.setdefault(label, i), i)
-        largest = max((len(s) for s in sets), default=1)
-        self.n_bits = min(max(LEAST_BITS, 1 << (4 * largest - 1).bit_length()), MOST_BITS)
 
-    def tree(self, docs: list[int]) -> Node:
-        """A tree over ``docs``: those that begin with the same least tokens lie next to each other."""
-        level = [self._leaf(d) for d in sorted(docs, key=lambda d: (tuple(self.sets[d][:2]), len(self.sets[d])))]
+    def tree(self, docs: list[int], order: Callable[[int], object] | None = None) -> Node:
+        """A tree over ``docs`` as ``order`` sorts them, so that alike documents lie next to each other."""
+        docs = sorted(docs, key=order) if order else docs
+        level = [self._leaf(docs[i : i + LEAF]) for i in range(0, len(docs), LEAF)]
         while len(level) > 1:
-            level = [Node(level[i : i + FANOUT]) for i in range(0, len(level), FANOUT)]
+            level = [Node(level[i : i + FANOUT], []) for i in range(0, len(level), FANOUT)]
         return level[0]
 
-    def _leaf(self, doc: int) -> Node:
-        node, tokens = Node([], doc), self.sets[doc]
-        marks = np.zeros(self.n_bits, np.uint8)
-        marks[tokens & (self.n_bits - 1)] = 1
-        node.bits = np.packbits(marks).view(np.uint64)
-        node.low = node.high = len(tokens)
-        node.excess = len(tokens) - int(marks.sum())
+    def _leaf(self, docs: list[int]) -> Node:
+        node = Node([], docs)
+        node.bits = np.bitwise_or.reduce(self.bits[docs])
+        node.low, node.high = int(self.sizes[docs].min()), int(self.sizes[docs].max())
+        node.excess = int(self.excess[docs].max())
         return node
 
     def _label(self, node: Node) -> int | None:
         """The label of all documents below, or None if they have several. Once one, they stay one."""
-        if node.doc >= 0:
-            return self.forest.find(node.doc)
         if node.one:
-            below = node
-            while below.children:
-                below = below.children[0]
-            return self.forest.find(below.doc)
-        labels = {self._label(c) for c in node.children}
+            while node.children:
+                node = node.children[0]
+            return self.forest.find(node.docs[0])
+        labels = {self._label(c) for c in node.children} if node.children else {self.forest.find(d) for d in node.docs}
         if len(labels) == 1 and None not in labels:
             node.one = True
             return labels.pop()
@@ -97,22 +118,28 @@ class Join:
         if den * a.high < num * b.low or den * b.high < num * a.low:
             return False
         least = -(-num * (a.low + b.low) // (num + den))  # overlap that similar sets of these sizes need
-        room = int(np.bitwise_count(a.bits & b.bits).sum()) + min(a.excess, b.excess)
-        return room >= least
-
-    def _similar(self, a: int, b: int) -> bool:
-        x, y = self.sets[a], self.sets[b]
-        if len(x) > len(y):
-            x, y = y, x
-        at = np.searchsorted(y, x)
-        at[at == len(y)] = 0
-        shared = int((y[at] == x).sum())
-        return self.den * shared >= self.num * (len(x) + len(y) - shared)
+        return int(np.bitwise_count(a.bits & b.bits).sum()) + min(a.excess, b.excess) >= least
+
+    def _pairs(self, a: list[int], b: list[int]) -> np.ndarray:
+        """Places of the pairs that sizes and bitmaps do not rule out."""
+        n, m = self.sizes[a][:, None], self.sizes[b][None, :]
+        shared = np.bitwise_count(self.bits[a][:, None, :] & self.bits[b][None, :, :]).sum(-1, dtype=np.int64)
+        room = shared + np.minimum(self.excess[a][:, None], self.excess[b][None, :])
+        near = self.den * np.minimum(n, m) >= self.num * np.maximum(n, m)
+        return np.argwhere(near & ((self.num + self.den) * room >= self.num * (n + m)))
+
+    def _meet(self, a: list[int], b: list[int], same: bool) -> None:
+        for i, j in self._pairs(a, b):
+            x, y = a[i], b[j]
+            if (not same or i < j) and self.forest.find(x) != self.forest.find(y) and self.similar(x, y):
+                self.forest.join(x, y)
 
     def within(self, node: Node) -> None:
         """Connects the documents below ``node``."""
         if self._label(node) is not None:
             return
+        if node.docs:
+            self._meet(node.docs, node.docs, True)
         for c in node.children:
             self.within(c)
         for i, a in enumerate(node.children):
@@ -124,10 +151,9 @@ class Join:
         label = self._label(a)
         if (label is not None and label == self._label(b)) or not self._fits(a, b):
             return
-        if a.doc >= 0 and b.doc >= 0:
-            if self._similar(a.doc, b.doc):
-                self.forest.join(a.doc, b.doc)
-        elif b.doc >= 0 or (a.doc < 0 and len(a.children) >= len(b.children)):
+        if a.docs and b.docs:
+            self._meet(a.docs, b.docs, False)
+        elif b.docs or (a.children and len(a.children) >= len(b.children)):
             for c in a.children:
                 self.between(c, b)
         else:
@@ -135,4 +161,19 @@ class Join:
                 self.between(a, c)
 
     def labels(self) -> list[int]:
-        return [self.forest.find(i) for i in range(len(self.sets))]
+        return [self.forest.find(i) for i in range(len(self.sizes))]
+
+
+def exact(sets: list[np.ndarray], num: int, den: int) -> Callable[[int, int], bool]:
+    """Whether two of ``sets``, ascending and distinct, have the similarity."""
+
+    def similar(a: int, b: int) -> bool:
+        x, y = sets[a], sets[b]
+        if len(x) > len(y):
+            x, y = y, x
+        at = np.searchsorted(y, x)
+        at[at == len(y)] = 0
+        shared = int((y[at] == x).sum())
+        return den * shared >= num * (len(x) + len(y) - shared)
+
+    return similar
