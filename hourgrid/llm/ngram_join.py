@@ -34,7 +34,7 @@ from hourgrid.session import stored
 
 #: Shingles counted at a time, documents that make one frequent, and how many frequent ones are kept at most:
 #: they only set the order of the prefix filter, which finds every link in any order.
-COUNTED, FREQUENT, MOST_FREQUENT = 2_000_000, 8, 200_000
+COUNTED, FREQUENT, MOST_FREQUENT = 8_000_000, 4, 1_000_000
 LIST, CHUNK = 256, 2000
 #: Up to so many members of blocks are broadcast to the scan that makes their sets; more are joined by shuffle.
 BROADCAST_MEMBERS = 200_000
@@ -92,6 +92,13 @@ def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _sets(words: int, num: int, den: int, frequent: np.ndarray):
+    def among(tokens: np.ndarray) -> np.ndarray:
+        if not len(frequent):
+            return np.zeros(len(tokens), bool)
+        at = np.searchsorted(frequent, tokens)
+        at[at == len(frequent)] = 0
+        return frequent[at] == tokens
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, first, bits = [], [], [], []
@@ -101,7 +108,7 @@ def _sets(words: int, num: int, den: int, frequent: np.ndarray):
                 keys.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                 bits.append(bitmap(tokens).tobytes())
                 if len(tokens):
-                    last = np.isin(tokens, frequent, assume_unique=True) if len(frequent) else np.zeros(len(tokens), bool)
+                    last = among(tokens)
                     ordered = np.concatenate((tokens[~last], tokens[last]))
                     first.append(ordered[: prefix_length(len(tokens), num, den)])
                 else:
