@@ -1,6 +1,6 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are those whose share among toxic training examples is clearly above that among the others; their document
+Terms are words and their beginnings of four and five letters, as far as their share among toxic training examples is clearly above that among the others; their document
 frequencies are counted over all documents. The examples, a bounded sample of the labelled documents (``SAMPLE``), are
 held in an inverted index whose postings lie in blocks of examples; for each term and block the greatest weight is
 known. A search takes the blocks by their upper bound and ends when no further block can reach the k-th best
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from hourgrid.session import stored
 #: At most so many examples of each label, terms, and neighbours; a term is in so many toxic examples at least, its
 #: share there stands out by so many standard deviations and is so many times that among the others.
 SAMPLE, TERMS, NEIGHBOURS = 2000, 512, 25
-LEAST_DOCS, LEAST_Z, LEAST_RATIO = 5, 5.0, 3.0
+LEAST_DOCS, LEAST_Z, LEAST_RATIO = 4, 5.0, 3.0
 BLOCK = 64
 #: Weight of the vote "not toxic" that is always there.
 DOUBT = 0.5
@@ -37,21 +37,48 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def terms_of(word: str) -> tuple[str, ...]:
+    """A word, and its beginnings, marked by a star."""
+    return (word, f"{word[:4]}*", f"{word[:5]}*") if len(word) > 5 else (word,)
+
+
+class Known:
+    """Finds the terms of a vocabulary in texts."""
+
+    def __init__(self, terms: Iterable[str]):
+        self.terms = set(terms)
+        self.begins = {n: {t[:-1] for t in self.terms if t[-1] == "*" and len(t) == n + 1} for n in (4, 5)}
+
+    def words(self, words: set[str]) -> set[str]:
+        """Those of ``words`` that have a term of the vocabulary."""
+        four, five, whole = self.begins[4], self.begins[5], self.terms
+        return {w for w in words if w in whole or (len(w) > 5 and (w[:4] in four or w[:5] in five))}
+
+    def counts(self, text: str | None) -> dict[str, int]:
+        words, found = words_of(text), {}
+        if own := self.words(set(words)):
+            for w, n in Counter(w for w in words if w in own).items():
+                for t in terms_of(w):
+                    if t in self.terms:
+                        found[t] = found.get(t, 0) + n
+        return found
+
+
+def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [sorted(set(words_of(t.as_py()))) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.list_(pa.string()))], ["doc_id", "label", "words"])
+        sets = [sorted({t for w in set(words_of(text.as_py())) for t in terms_of(w)}) for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.list_(pa.string()))], ["doc_id", "label", "terms"])
 
 
-def example_words(drawn: DataFrame) -> DataFrame:
-    """Distinct words of the examples (doc_id, label, text), one row for texts that are nearly the same.
+def example_terms(drawn: DataFrame) -> DataFrame:
+    """Distinct terms of the examples (doc_id, label, text), one row for texts that are nearly the same.
 
-    Copies of one text would make all its words look like signs of its label. Texts with the same four least
-    word hashes count as copies.
+    Copies of one text would make all its terms look like signs of its label. Texts with the same four least
+    term hashes count as copies.
     """
-    rows = drawn.select("doc_id", "label", "text").mapInArrow(_distinct_words, "doc_id long, label int, words array<string>")
-    least = F.slice(F.array_sort(F.transform("words", lambda w: F.xxhash64(w))), 1, 4)
-    return rows.withColumn("least", least).dropDuplicates(["label", "least"]).select("doc_id", "label", "words")
+    rows = drawn.select("doc_id", "label", "text").mapInArrow(_distinct_terms, "doc_id long, label int, terms array<string>")
+    least = F.slice(F.array_sort(F.transform("terms", lambda t: F.xxhash64(t))), 1, 4)
+    return rows.withColumn("least", least).dropDuplicates(["label", "least"]).select("doc_id", "label", "terms")
 
 
 def signs(rows: DataFrame, most: int = TERMS) -> list[str]:
@@ -60,7 +87,7 @@ def signs(rows: DataFrame, most: int = TERMS) -> list[str]:
     if not n.get(0) or not n.get(1):
         return []
     in_1, in_0 = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
-    found = rows.select("label", F.explode("words").alias("term")).groupBy("term").agg(in_1.alias("a"), in_0.alias("b"))
+    found = rows.select("label", F.explode("terms").alias("term")).groupBy("term").agg(in_1.alias("a"), in_0.alias("b"))
     share_1, share_0 = F.col("a") / n[1], F.col("b") / n[0]
     share = (F.col("a") + F.col("b")) / (n[0] + n[1])
     z = (share_1 - share_0) / F.sqrt(share * (1 - share) * (1 / n[1] + 1 / n[0]))
@@ -71,10 +98,10 @@ def signs(rows: DataFrame, most: int = TERMS) -> list[str]:
 
 def _frequencies(terms: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, counts, n = set(terms), Counter(), 0
+        known, counts, n = Known(terms), Counter(), 0
         for batch in batches:
             for text in batch.column("text"):
-                counts.update(wanted.intersection(words_of(text.as_py())))
+                counts.update(known.counts(text.as_py()).keys())
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array([*counts, None], pa.string()), pa.array([*counts.values(), n], pa.int64())], ["term", "n"])
 
@@ -92,9 +119,9 @@ def inverse_frequencies(docs: DataFrame, terms: list[str]) -> dict[str, float]:
 class Index:
     """Examples as unit vectors, searched block by block."""
 
-    def __init__(self, idf: dict[str, float], ids: list[int], labels: list[int], words: list[list[str]]):
+    def __init__(self, idf: dict[str, float], ids: list[int], labels: list[int], counts: list[dict[str, int]]):
         self.idf = idf
-        rows = [(i, y, self.vector(Counter(w))) for i, y, w in zip(ids, labels, words, strict=True)]
+        rows = [(i, y, self.vector(c)) for i, y, c in zip(ids, labels, counts, strict=True)]
         # alike examples lie in one block, so that bounds are tight
         rows = sorted((r for r in rows if r[2]), key=lambda r: (sorted(r[2], key=lambda t: (-r[2][t], t)), r[0]))
         self.ids = np.array([r[0] for r in rows], np.int64)
@@ -147,6 +174,7 @@ class Scorer:
 
     def __init__(self, index: Index | None, slope: float, offset: float, k: int = NEIGHBOURS):
         self.index, self.slope, self.offset, self.k = index, slope, offset, k
+        self.known = Known(index.idf if index else ())
 
     @staticmethod
     def vote(found: list[tuple[float, int, int]]) -> float:
@@ -155,11 +183,8 @@ class Scorer:
     def neighbours(self, text: str | None) -> list[tuple[float, int, int]]:
         if self.index is None:
             return []
-        words = words_of(text)
-        known = self.index.idf.keys() & set(words)
-        if not known:
-            return []
-        return self.index.search(self.index.vector(Counter(w for w in words if w in known)), self.k)
+        counts = self.known.counts(text)
+        return self.index.search(self.index.vector(counts), self.k) if counts else []
 
     def score(self, found: list[tuple[float, int, int]]) -> float:
         return float(1 / (1 + np.exp(-(self.slope * self.vote(found) + self.offset))))
@@ -172,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, k: int = NEIGH
     of label 1.
     """
     drawn, counts = sampled(docs, labels, sample)
-    rows = stored(example_words(drawn), "examples")
+    rows = stored(example_terms(drawn), "examples")
     n1, n = counts.get(1, 0), sum(counts.values())
     base = float(np.log((n1 + 1) / (n - n1 + 1)))
     terms = signs(rows)
@@ -180,12 +205,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, k: int = NEIGH
         return Scorer(None, 0.0, base, k)
     held = rows.select("doc_id", "label").orderBy("doc_id").collect()
     # the examples' own term counts: the few terms make this small
-    texts = drawn.select("doc_id", "label", "text").mapInArrow(_term_counts(terms), "doc_id long, terms array<string>")
-    tf = {r["doc_id"]: r["terms"] for r in texts.join(F.broadcast(rows.select("doc_id")), "doc_id").collect()}
-    index = Index(
-        inverse_frequencies(docs, terms), [r["doc_id"] for r in held], [r["label"] for r in held], [tf[r["doc_id"]] for r in held]
-    )
-    found = [index.search(index.vector(Counter(tf[r["doc_id"]])), k, r["doc_id"]) for r in held]
+    texts = drawn.join(F.broadcast(rows.select("doc_id")), "doc_id").select("doc_id", "text")
+    texts = texts.mapInArrow(_term_counts(terms), "doc_id long, terms array<string>, times array<int>")
+    counts_of = {r["doc_id"]: dict(zip(r["terms"], r["times"], strict=True)) for r in texts.collect()}
+    ids, tf = [r["doc_id"] for r in held], [counts_of[r["doc_id"]] for r in held]
+    index = Index(inverse_frequencies(docs, terms), ids, [r["label"] for r in held], tf)
+    found = [index.search(index.vector(c), k, i) for i, c in zip(ids, tf, strict=True)]
     votes = np.array([Scorer.vote(f) for f in found])
     y = np.array([r["label"] for r in held], float)
     drawn_of = np.array([max((y == v).sum(), 1) for v in (0, 1)])
@@ -196,10 +221,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, k: int = NEIGH
 
 def _term_counts(terms: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = set(terms)
+        known = Known(terms)
         for batch in batches:
-            lists = [[w for w in words_of(t.as_py()) if w in wanted] for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lists, pa.list_(pa.string()))], ["doc_id", "terms"])
+            counts = [known.counts(t.as_py()) for t in batch.column("text")]
+            names = pa.array([list(c) for c in counts], pa.list_(pa.string()))
+            times = pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, times], ["doc_id", "terms", "times"])
 
     return run
 
