@@ -1,17 +1,20 @@
 """Token counts: pieces are counted once for each distinct pre-token.
 
-Each task cuts its documents into pre-tokens and writes, for each chunk of documents, one row for each
-distinct pre-token with the documents that hold it and how often. The distinct pre-tokens of the whole
-corpus are encoded once; their piece counts are joined to the rows of the chunks and summed for each
-document. No ids are kept. A frequent pre-token has one row a chunk, so it is combined before it is
-shuffled, and a join partition that it makes large can be split.
+Each task cuts its documents into pre-tokens and folds a chunk of documents at a time into the frequencies of
+each distinct pre-token in each document. The frequencies are dealt out by the hash of the pre-token, packed, one
+row for each chunk and bucket. There, all chunks meet that hold a pre-token: it is encoded once, its number of pieces
+is joined to the frequencies, and each chunk gets a sum for each of its documents, which a last step adds up. No
+ids are kept. A frequent pre-token is one entry a chunk, however often it occurs.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,84 +22,124 @@ from pyspark.sql import functions as F
 from hourgrid.llm import pretokens
 from hourgrid.session import stored
 
-CHUNK_POSTINGS = 400_000
-CHUNK = "chunk long, piece string, at array<int>, times array<int>, doc_id array<long>, n_bytes array<long>"
+#: Pre-tokens of a chunk, counted with repetitions.
+CHUNK = 2_000_000
+#: Pre-tokens whose counts a task remembers.
+MEMO_ENTRIES = 400_000
+#: A bucket's frequencies; bucket -1 describes the chunk's documents.
+BUCKET = "bucket int, chunk long, packed binary"
+
+
+def _packed(*arrays: np.ndarray, text: bytes = b"") -> bytes:
+    head = np.array([len(a) for a in arrays], "<u4").tobytes()
+    return zstandard.compress(head + b"".join(a.tobytes() for a in arrays) + text, 1)
+
+
+def _unpacked(packed: bytes, *kinds: str) -> tuple[list[np.ndarray], bytes]:
+    raw = zstandard.decompress(packed)
+    at, out = 4 * len(kinds), []
+    for kind, n in zip(kinds, np.frombuffer(raw, "<u4", len(kinds)), strict=True):
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += out[-1].nbytes
+    return out, raw[at:]
 
 
 class _Chunk:
-    """Postings of some documents, turned into rows when there are enough of them."""
+    """Documents and their pre-tokens, as numbers in the order of first use."""
 
     def __init__(self):
-        self.at: dict[str, list[int]] = {}
-        self.times: dict[str, list[int]] = {}
-        self.doc_id: list[int | None] = []
-        self.n_bytes: list[int] = []
+        self.number: dict[str, int] = {}
+        self.docs: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, doc_id: int | None, text: str, pieces: list[str]) -> None:
-        n = len(self.doc_id)
-        self.doc_id.append(doc_id)
-        self.n_bytes.append(len(text.encode()))
-        seen: dict[str, int] = {}
-        for p in pieces:
-            seen[p] = seen.get(p, 0) + 1
-        for p, times in seen.items():
-            if p in self.at:
-                self.at[p].append(n)
-                self.times[p].append(times)
-            else:
-                self.at[p] = [n]
-                self.times[p] = [times]
-        self.size += len(seen) + 1
-
-    def rows(self, chunk: int) -> pa.RecordBatch:
-        names = list(self.at)
-        here = pa.array([*self.at.values(), list(range(len(self.doc_id)))], pa.list_(pa.int32()))
-        none: list = [None] * len(names)
-        return pa.RecordBatch.from_pydict(
-            {
-                "chunk": pa.array([chunk] * (len(names) + 1), pa.int64()),
-                "piece": pa.array([*names, None], pa.string()),
-                "at": here,
-                "times": pa.array([*self.times.values(), None], pa.list_(pa.int32())),
-                "doc_id": pa.array([*none, self.doc_id], pa.list_(pa.int64())),
-                "n_bytes": pa.array([*none, self.n_bytes], pa.list_(pa.int64())),
-            }
-        )
-
-
-def _cut(path: str):
+    def add(self, pieces: list[str]) -> None:
+        number = self.number
+        self.docs.append(np.fromiter((number.setdefault(p, len(number)) for p in pieces), np.uint32, len(pieces)))
+        self.size += len(pieces) + 1
+
+    def rows(self, buckets: int) -> Iterator[tuple[int, bytes]]:
+        """For each bucket its pre-tokens, with their documents and how often each holds them."""
+        names = [p.encode() for p in self.number]
+        place = np.repeat(np.arange(len(self.docs), dtype=np.uint64), [len(d) for d in self.docs])
+        keys = np.concatenate(self.docs).astype(np.uint64) << np.uint64(32) | place
+        keys, times = np.unique(keys, return_counts=True)
+        piece = (keys >> np.uint64(32)).astype(np.int64)
+        bucket = np.fromiter((zlib.crc32(n) % buckets for n in names), np.int64, len(names))
+        order = np.argsort(bucket[piece], kind="stable")
+        piece, at, times = piece[order], (keys[order] & np.uint64(2**32 - 1)).astype("<u4"), times[order].astype("<u4")
+        ends = np.searchsorted(bucket[piece], np.arange(buckets), side="right")
+        for b, (start, end) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+            if end > start:
+                own, held = np.unique(piece[start:end], return_counts=True)
+                texts = [names[p] for p in own]
+                sizes = np.array([len(t) for t in texts], "<u4")
+                yield b, _packed(sizes, held.astype("<u4"), at[start:end], times[start:end], text=b"".join(texts))
+
+
+def _cut(path: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, chunk = pretokens.cutter(path), _Chunk()
+        doc_ids: list[int | None] = []
+        n_bytes: list[int] = []
         number = TaskContext.get().partitionId() << 32
+
+        def rows() -> pa.RecordBatch:
+            known = np.array([d is not None for d in doc_ids], "<i8")
+            about = _packed(known, np.array([d or 0 for d in doc_ids], "<i8"), np.array(n_bytes, "<i8"))
+            made = [(-1, about), *(chunk.rows(buckets) if chunk.number else ())]
+            b, packed = zip(*made, strict=True)
+            chunks = pa.array([number] * len(made), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), chunks, pa.array(packed, pa.binary())], ["bucket", "chunk", "packed"])
+
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
                 special, pieces = cut.cut(text)
-                chunk.add(doc_id, text, pieces + special)
-                if chunk.size >= CHUNK_POSTINGS:
-                    yield chunk.rows(number)
-                    chunk, number = _Chunk(), number + 1
-        if chunk.doc_id:
-            yield chunk.rows(number)
+                doc_ids.append(doc_id)
+                n_bytes.append(len(text.encode()))
+                chunk.add(pieces + special)
+                if chunk.size >= CHUNK:
+                    yield rows()
+                    chunk, doc_ids, n_bytes, number = _Chunk(), [], [], number + 1
+        if doc_ids:
+            yield rows()
 
     return run
 
 
 def _count(path: str):
+    """Sums for the documents of each chunk, from the buckets of a task; rows come bucket by bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = pretokens.cutter(path)
+        cut, now, counts = pretokens.cutter(path), None, {}
         for batch in batches:
-            counts = [len(ids) for ids in cut.encode(batch.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(counts, pa.int64())], ["piece", "n"])
+            for i in range(batch.num_rows):
+                bucket, chunk = batch.column("bucket")[i].as_py(), batch.column("chunk")[i]
+                if bucket != now or len(counts) > MEMO_ENTRIES:
+                    now, counts = bucket, {}
+                (sizes, held, at, times), text = _unpacked(batch.column("packed")[i].as_py(), "<u4", "<u4", "<u4", "<u4")
+                ends = np.cumsum(sizes)
+                pieces = [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                new = [p for p in pieces if p not in counts]
+                counts.update(zip(new, map(len, cut.encode([p.decode() for p in new])), strict=True))
+                n = np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces))
+                sums = np.bincount(at, times * np.repeat(n, held)).astype(np.int64)
+                docs = np.flatnonzero(sums)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk.as_py()] * len(docs), pa.int64()), pa.array(docs, pa.int32()), pa.array(sums[docs])], ["chunk", "at", "tokens"]
+                )
 
     return run
 
 
-def piece_counts(pieces: DataFrame, path: str) -> DataFrame:
-    """``piece`` and ``n``, its number of tokens, for each distinct non-null ``piece``."""
-    distinct = pieces.where("piece is not null").select("piece").distinct()
-    return distinct.mapInArrow(_count(path), "piece string, n long")
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            (known, doc_ids, n_bytes), _ = _unpacked(batch.column("packed")[i].as_py(), "<i8", "<i8", "<i8")
+            ids = pa.array(doc_ids, pa.int64(), mask=known == 0)
+            chunk = pa.array([batch.column("chunk")[i].as_py()] * len(ids), pa.int64())
+            place = pa.array(np.arange(len(ids), dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([chunk, place, ids, pa.array(n_bytes)], ["chunk", "at", "doc_id", "n_bytes"])
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
@@ -106,22 +149,19 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     are told apart by their place. Special strings in a text are one token each, as the library's default
     has it. Other columns are ignored.
     """
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(path), CHUNK)
+    spark = docs.sparkSession
+    # as many buckets as a shuffle has partitions, so that a bucket's distinct pre-tokens fit into a task
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(path, buckets), BUCKET)
     chunks = stored(cut, "pretokens")
-    counts = piece_counts(chunks, path)
-    held = chunks.where("piece is not null").select("chunk", "piece", "at", "times").join(counts, "piece")
-    tokens = held.select("chunk", "n", F.explode(F.arrays_zip("at", "times")).alias("x")).select(
-        "chunk",
-        F.col("x.at").alias("at"),
-        F.lit(None).cast("long").alias("doc_id"),
-        F.lit(None).cast("long").alias("n_bytes"),
-        (F.col("x.times") * F.col("n")).alias("tokens"),
+    held = chunks.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket")
+    tokens = held.mapInArrow(_count(path), "chunk long, at int, tokens long")
+    of_docs = chunks.where("bucket < 0").mapInArrow(_describe, "chunk long, at int, doc_id long, n_bytes long")
+    none = F.lit(None).cast("long")
+    parts = tokens.select("chunk", "at", none.alias("doc_id"), none.alias("n_bytes"), "tokens").unionByName(
+        of_docs.withColumn("tokens", F.lit(0).cast("long"))
     )
-    of_docs = chunks.where("piece is null").select("chunk", F.explode(F.arrays_zip("at", "doc_id", "n_bytes")).alias("x"))
-    of_docs = of_docs.select("chunk", "x.at", "x.doc_id", "x.n_bytes", F.lit(0).cast("long").alias("tokens"))
-    sums = (
-        tokens.unionByName(of_docs)
-        .groupBy("chunk", "at")
-        .agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens"))
+    sums = parts.groupBy("chunk", "at").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens")
     )
     return sums.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

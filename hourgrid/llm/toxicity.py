@@ -26,9 +26,11 @@ from hourgrid.session import stored
 #: share there stands out by so many standard deviations and is so many times that among the others.
 SAMPLE, TERMS, NEIGHBOURS = 2000, 512, 25
 LEAST_DOCS, LEAST_Z, LEAST_RATIO = 4, 5.0, 3.0
-BLOCK = 64
-#: Weight of the vote "not toxic" that is always there.
-DOUBT = 0.5
+BLOCK = 128
+#: Weight of the dimension that all texts share, and of the vote "not toxic" that is always there.
+COMMON, DOUBT = 8.0, 0.5
+#: Sets of known terms whose neighbours a task remembers.
+MEMO_ENTRIES = 50_000
 WORD = re.compile(r"\w+")
 EVIDENCE = "array<struct<doc_id:bigint,cosine:double,label:int>>"
 
@@ -117,13 +119,17 @@ def inverse_frequencies(docs: DataFrame, terms: list[str]) -> dict[str, float]:
 
 
 class Index:
-    """Examples as unit vectors, searched block by block."""
+    """Examples as unit vectors, searched block by block.
+
+    All vectors share one more dimension of weight ``COMMON``, for the words that every text has: without it a
+    text with a single known term would be as near to an example as a text full of them.
+    """
 
     def __init__(self, idf: dict[str, float], ids: list[int], labels: list[int], counts: list[dict[str, int]]):
         self.idf = idf
         rows = [(i, y, self.vector(c)) for i, y, c in zip(ids, labels, counts, strict=True)]
         # alike examples lie in one block, so that bounds are tight
-        rows = sorted((r for r in rows if r[2]), key=lambda r: (sorted(r[2], key=lambda t: (-r[2][t], t)), r[0]))
+        rows.sort(key=lambda r: (sorted(r[2], key=lambda t: (-r[2][t], t)), r[0]))
         self.ids = np.array([r[0] for r in rows], np.int64)
         self.labels = np.array([r[1] for r in rows], np.int64)
         self.n_blocks = -(-len(rows) // BLOCK)
@@ -141,32 +147,35 @@ class Index:
             self.most[t] = most
 
     def vector(self, counts: dict[str, int]) -> dict[str, float]:
-        """Unit vector of the known terms among ``counts``; empty if there are none."""
-        v = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items() if t in self.idf}
+        """Unit vector of the known terms among ``counts``; the shared dimension is the term ''."""
+        v = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items() if t in self.idf} | {"": COMMON}
         norm = np.sqrt(sum(w * w for w in v.values()))
         return {t: w / norm for t, w in v.items()}
 
     def search(self, vector: dict[str, float], k: int, without: int | None = None) -> list[tuple[float, int, int]]:
-        """The ``k`` greatest cosines above 0 as (cosine, id, label), ties to the smaller id."""
+        """The ``k`` greatest cosines as (cosine, id, label), ties to the smaller id."""
         terms = [(w, t) for t, w in vector.items() if t in self.postings]
         if not terms:
             return []
         bounds = sum(w * self.most[t] for w, t in terms)
-        best: list[tuple[float, int, int]] = []
+        best, at = np.empty(0), np.empty(0, np.intp)
         for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < best[-1][0] - 1e-12):
+            least = best[-1] if len(best) == k else -1.0
+            if bounds[block] < least - 1e-9:
                 break
-            scores = np.zeros(BLOCK)
+            first = block * BLOCK
+            scores = np.zeros(min(BLOCK, len(self.ids) - first))
             for w, t in terms:
-                places, weights, at = self.postings[t]
-                a, b = at[block], at[block + 1]
-                scores[places[a:b] - block * BLOCK] += w * weights[a:b]
-            for i in np.flatnonzero(scores > 0):
-                place = block * BLOCK + i
-                if self.ids[place] != without:
-                    best.append((round(float(scores[i]), 12), int(self.ids[place]), int(self.labels[place])))
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+                places, weights, starts = self.postings[t]
+                a, b = starts[block], starts[block + 1]
+                scores[places[a:b] - first] += w * weights[a:b]
+            near = np.flatnonzero(scores >= least - 1e-9)
+            if without is not None:
+                near = near[self.ids[first + near] != without]
+            best, at = np.concatenate((best, np.round(scores[near], 12))), np.concatenate((at, first + near))
+            order = np.lexsort((self.ids[at], -best))[:k]
+            best, at = best[order], at[order]
+        return list(zip(best.tolist(), self.ids[at].tolist(), self.labels[at].tolist(), strict=True))
 
 
 class Scorer:
@@ -175,6 +184,7 @@ class Scorer:
     def __init__(self, index: Index | None, slope: float, offset: float, k: int = NEIGHBOURS):
         self.index, self.slope, self.offset, self.k = index, slope, offset, k
         self.known = Known(index.idf if index else ())
+        self.memo: dict[frozenset, list[tuple[float, int, int]]] = {}
 
     @staticmethod
     def vote(found: list[tuple[float, int, int]]) -> float:
@@ -184,7 +194,12 @@ class Scorer:
         if self.index is None:
             return []
         counts = self.known.counts(text)
-        return self.index.search(self.index.vector(counts), self.k) if counts else []
+        key = frozenset(counts.items())
+        if key not in self.memo:  # most texts have no known term, and so the same neighbours
+            if len(self.memo) >= MEMO_ENTRIES:
+                self.memo.clear()
+            self.memo[key] = self.index.search(self.index.vector(counts), self.k)
+        return self.memo[key]
 
     def score(self, found: list[tuple[float, int, int]]) -> float:
         return float(1 / (1 + np.exp(-(self.slope * self.vote(found) + self.offset))))
@@ -258,8 +273,8 @@ def _score(scorer: Scorer, evidence: int):
 def score(docs: DataFrame, scorer: Scorer, evidence: int = 5) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, score, evidence (the nearest examples).
 
-    The score depends on ``text`` alone. A null or empty text, and any without a known term, has no neighbour and
-    the score of a vote of 0. Null or repeated ids are kept; other columns are ignored.
+    The score depends on ``text`` alone. A null or empty text, and any without a known term, is nearest to the examples
+    without one, and has their score. Null or repeated ids are kept; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_score(scorer, evidence), f"doc_id long, score double, evidence {EVIDENCE}")

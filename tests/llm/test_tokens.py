@@ -39,6 +39,12 @@ def test_pieces_give_the_ids_of_the_whole_text(path, text):
     assert sorted(special + pieces) == sorted(cut.in_order(text or ""))
 
 
+def test_words_are_encoded_together():
+    cut = pretokens.cutter(WORDS)
+    pieces = list(dict.fromkeys(p for t in ODD for p in cut.pieces(t or "")))
+    assert [x.tolist() for x in cut.encode_words(pieces)] == cut.encode(pieces) and cut.encode_words([]) == []
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_characters_held_to_be_safe_are_cut_alike(path):
     cut = pretokens.cutter(path)
@@ -60,7 +66,24 @@ def test_counts_of_odd_texts(documents, clashing):
     assert token_counts.token_counts(documents([]), BYTES).count() == 0
 
 
-def test_chunks_are_summed(documents, monkeypatch):
+def test_a_chunk_is_unpacked_as_it_was_packed():
+    chunk = token_counts._Chunk()
+    texts = [["a", "b", "a"], [], ["é", "b", "b", "b"]]
+    for t in texts:
+        chunk.add(t)
+    found = {}
+    for bucket, packed in chunk.rows(3):
+        (sizes, held, at, times), text = token_counts._unpacked(packed, *["<u4"] * 4)
+        ends, k = np.cumsum(sizes), 0
+        for a, b, n in zip([0, *ends[:-1]], ends, held, strict=True):
+            assert zlib.crc32(text[a:b]) % 3 == bucket
+            for _ in range(n):
+                found[text[a:b].decode(), int(at[k])] = int(times[k])
+                k += 1
+    assert found == {("a", 0): 2, ("b", 0): 1, ("é", 2): 1, ("b", 2): 3}
+
+
+def test_chunks_are_summed(documents):
     rows = [(i, "the cat " * (i % 7)) for i in range(200)]
     got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(documents(rows).repartition(5), BYTES).collect()}
     assert got == {i: len(whole(BYTES, t)) for i, t in rows}
@@ -115,7 +138,7 @@ def test_memo_is_emptied_when_full(monkeypatch):
     memo = packing._Memo(pretokens.cutter(WORDS))
     for text in ("a b c", "d e f g h", "a d"):
         pieces = text.split()
-        memo.learn(pieces)
+        memo.learn(set(pieces))
         assert b"".join(memo[p] for p in pieces) == np.array(whole(WORDS, text), "<u4").tobytes()
 
 
