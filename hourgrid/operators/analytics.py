@@ -181,12 +181,12 @@ def correlation_ranking(row: DataFrame) -> DataFrame:
 def drill_arguments(
     group_by: str = "year",
     agg_func: str = "avg",
-    start_year: int | str = fv.DRILL_START_YEAR,
-    end_year: int | str = fv.DRILL_END_YEAR,
-) -> tuple[str, str, int, int]:
-    """Checked arguments: an unknown grain means year, an unknown function means avg."""
-    start, end = int(start_year), int(end_year)
-    if start > end:
+    start_year: int | str | None = fv.DRILL_START_YEAR,
+    end_year: int | str | None = fv.DRILL_END_YEAR,
+) -> tuple[str, str, int | None, int | None]:
+    """Checked arguments: an unknown grain means year, an unknown function means avg, no year means all."""
+    start, end = (None if y is None else int(y) for y in (start_year, end_year))
+    if start is not None and end is not None and start > end:
         raise ValueError(f"start year {start} is after end year {end}")
     agg_func = agg_func.lower()
     return (
@@ -201,11 +201,14 @@ def drill_down(
     obs: DataFrame,
     group_by: str = "year",
     agg_func: str = "avg",
-    start_year: int | str = fv.DRILL_START_YEAR,
-    end_year: int | str = fv.DRILL_END_YEAR,
+    start_year: int | str | None = fv.DRILL_START_YEAR,
+    end_year: int | str | None = fv.DRILL_END_YEAR,
     dim_time: DataFrame | None = None,
 ) -> DataFrame:
-    """Temperature and precipitation per period. Under avg, precipitation is summed."""
+    """Temperature and precipitation per period of the years given, or of all years with None.
+
+    Under avg, precipitation is summed.
+    """
     grain, func, start, end = drill_arguments(group_by, agg_func, start_year, end_year)
     keys = {"year": ["year"], "month": ["year", "month"], "day": ["year", "month", "date"]}[grain]
     periods = day_profile(obs, dim_time, start, end).groupBy(*keys).agg(*_fold())

@@ -19,10 +19,18 @@ def flatten_grid(
     """One row per grid cell from rows that hold a whole grid.
 
     ``axes`` are array columns, slowest first; each variable is an array in row-major order over
-    them. The position in the array gives every axis value by arithmetic, so nothing is joined.
+    them; one of another length is an error. The position in the array gives every axis value by
+    arithmetic, so nothing is joined.
     """
+    cells_of_axes = reduce(lambda a, b: a * b, [F.size(a) for a in axes], F.lit(1))
+
+    def fitting(name: str) -> Column:
+        size = F.size(name)
+        wrong = F.raise_error(F.format_string(f"{name}: %d values for a grid of %d cells", size, cells_of_axes))
+        return F.when(F.col(name).isNull() | (size == cells_of_axes), F.col(name)).otherwise(wrong)
+
     cells = df.select(
-        *keep, *axes, F.posexplode(F.arrays_zip(*[F.col(v).alias(v) for v in variables])).alias("_pos", "_cell")
+        *keep, *axes, F.posexplode(F.arrays_zip(*[fitting(v).alias(v) for v in variables])).alias("_pos", "_cell")
     )
 
     def axis_value(i: int) -> Column:
@@ -47,30 +55,33 @@ def _no_nan(df: DataFrame, name: str) -> Column:
 def merge_versions(
     df: DataFrame, keys: Sequence[str], variables: Sequence[str], version: str = "expver"
 ) -> DataFrame:
-    """Per cell and variable the preliminary version's value, else the final version's.
+    """Per cell and variable the preliminary version's value, else the final version's, else that of
+    a row without a version.
 
-    One aggregation with map-side combine in place of a full outer join of the two versions.
+    Each cell is decided by its own rows, so files with and without versions can be mixed. One
+    aggregation with map-side combine in place of a full outer join of the versions.
     """
-    picked = [(fv.PRELIMINARY_VERSION, "_first"), (fv.FINAL_VERSION, "_second")]
+    picked = [(fv.PRELIMINARY_VERSION, "_first"), (fv.FINAL_VERSION, "_second"), (None, "_third")]
+    known = F.col(version).isNull() | F.col(version).isin([v for v, _ in picked if v is not None])
     merged = (
-        df.where(F.col(version).isin([v for v, _ in picked]))
+        df.where(known)
         .groupBy(*keys)
         .agg(
             *[
-                F.max(F.when(F.col(version) == v, _no_nan(df, name))).alias(name + suffix)
+                F.max(F.when(F.col(version).eqNullSafe(v), _no_nan(df, name))).alias(name + suffix)
                 for name in variables
                 for v, suffix in picked
             ]
         )
     )
-    return merged.select(*keys, *[F.coalesce(n + "_first", n + "_second").alias(n) for n in variables])
+    return merged.select(*keys, *[F.coalesce(*[n + suffix for _, suffix in picked]).alias(n) for n in variables])
 
 
 def clean_stream(df: DataFrame, variables: Sequence[str], versions: bool = False) -> DataFrame:
     """Canonical stream: ``time, latitude, longitude`` and the variables, nothing else.
 
     ``valid_time`` becomes ``time``; auxiliary columns go; time gets microsecond precision without
-    a zone. With ``versions`` the rows carry two data versions per cell, which are merged first.
+    a zone. With ``versions`` cells may come in several data versions or in none, which are merged first.
     """
     if "valid_time" in df.columns:
         if "time" in df.columns:

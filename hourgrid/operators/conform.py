@@ -42,6 +42,22 @@ def convert_units(df: DataFrame) -> DataFrame:
     )
 
 
+def deliveries(streams: Mapping[str, DataFrame]) -> DataFrame:
+    """Per day what the streams hold: ``arrived`` rows, a ``print`` of their keys, ``most`` rows of a stream.
+
+    The print does not depend on the order of the rows. Rows without time are a day of their own, null.
+    """
+    stacked = reduce(
+        lambda a, b: a.unionByName(b), [streams[s].select(F.lit(s).alias("stream"), *fv.JOIN_KEYS) for s in fv.STREAMS]
+    )
+    per_stream = stacked.groupBy(F.to_date("time").alias("day"), "stream").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("stream", *fv.JOIN_KEYS)).alias("print")
+    )
+    return per_stream.groupBy("day").agg(
+        F.sum("n").alias("arrived"), F.bit_xor("print").alias("print"), F.max("n").alias("most")
+    )
+
+
 def join_coverage(streams: Mapping[str, DataFrame]) -> DataFrame:
     """Per stream: cells it has and cells the inner join loses.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourgrid import schemas
+from hourgrid import schemas, session
 from hourgrid.functions import calendar
 from hourgrid.operators import checks
 from hourgrid.sources import tables
@@ -80,6 +80,13 @@ def pending_days(df: DataFrame, ledger: DataFrame, time: str = "time") -> DataFr
     return days.join(ledger.select("day"), "day", "left_anti")
 
 
+def pending(delivered: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Deliveries (day, arrived, print) that the ledger does not list: a finished day for which other
+    rows arrive is pending again."""
+    same = [delivered[c].eqNullSafe(ledger[c]) for c in ("day", "arrived", "print")]
+    return delivered.join(ledger, reduce(lambda a, b: a & b, same), "left_anti")
+
+
 def load_star(spark: SparkSession, root: str, facts: DataFrame, dim_time: DataFrame, dim_location: DataFrame) -> dict:
     """Append what the star does not hold yet; returns the rows written per table.
 
@@ -98,7 +105,8 @@ def load_star(spark: SparkSession, root: str, facts: DataFrame, dim_time: DataFr
     stored = read_table(spark, root, "fact_weather").where(
         F.col("year").between(low // 1_000_000, high // 1_000_000) & F.col("time_id").between(low, high)
     )
-    fresh = unseen(facts, stored, checks.FACT_KEYS)
+    # Laying out by ranges reads its input twice.
+    fresh = session.stored(unseen(facts, stored, checks.FACT_KEYS), "fresh")
     order = list(checks.FACT_KEYS)
     laid_out = tables.spread(fresh, order).withColumn("year", calendar.year_of_key(F.col("time_id")))
     rows, seen = tables.counted(schemas.conform_to(laid_out, schemas.FACT_WEATHER_STORED))
@@ -106,8 +114,6 @@ def load_star(spark: SparkSession, root: str, facts: DataFrame, dim_time: DataFr
     return written | {"fact_weather": seen.get["rows"]}
 
 
-def mark_done(spark: SparkSession, root: str, facts: DataFrame) -> None:
-    """Enter the days of ``facts`` into the ledger, after their load."""
-    days = facts.groupBy(calendar.date_of_key(F.col("time_id")).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
-    known = read_table(spark, root, "ledger")
-    schemas.conform_to(unseen(days, known, ["day"]), schemas.LEDGER).write.mode("append").parquet(f"{root}/ledger")
+def mark_done(days: DataFrame, root: str) -> None:
+    """Enter deliveries (day, rows, arrived, print) into the ledger, after their load."""
+    schemas.conform_to(days, schemas.LEDGER).write.mode("append").parquet(f"{root}/ledger")

@@ -11,6 +11,8 @@ from hourgrid import fixed_values as fv
 from hourgrid.functions import calendar, measures
 
 ORDER = ("time", "latitude", "longitude")
+# Default of spark.sql.optimizer.windowGroupLimitThreshold.
+GROUP_LIMIT = 1000
 
 
 def ml_features(weather: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -37,13 +39,18 @@ def hash_sample(
 def _split_point(df: DataFrame, order: Sequence[str], test_share: float) -> DataFrame:
     """The last key of the first part, as one row.
 
-    Found from counts: first the hour in which the cut falls, then the latitude within that hour,
-    then the longitude. Each step counts with map-side combine and keeps one row per distinct
-    hour, latitude or longitude, so no step holds the rows of an hour, however many there are.
+    Found from counts, from coarse to fine: the year in which the cut falls, the day in that year, the
+    minute in that day, the time in that minute, then the latitude and the longitude. Each step counts
+    with map-side combine and keeps one row per distinct value within the one before, so no step holds
+    the rows of an hour, or all the hours of all years, however many there are.
     """
+    time = order[0]
+    coarse = {f"_{unit}": F.date_trunc(unit, time) for unit in ("year", "day", "minute")}
+    df = df.select(*order).withColumns(coarse if df.schema[time].dataType.typeName().startswith("timestamp") else {})
+    keys = [c for c in df.columns if c not in order] + list(order)
     cut = None
-    for i, key in enumerate(order):
-        prefix = list(order[:i])
+    for i, key in enumerate(keys):
+        prefix = keys[:i]
         if cut is None:
             counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
             total = F.sum("n").over(Window.partitionBy())
@@ -89,10 +96,19 @@ def latest_hours_per_location(
     """The newest ``hours`` rows of each place.
 
     Spark limits each task's rows per place before the shuffle, so a place with a large share of
-    all rows sends ``hours`` rows per task and no more. It does so for up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) rows.
+    all rows sends ``hours`` rows per task and no more. Beyond ``GROUP_LIMIT`` rows, where Spark does
+    not, each place is cut down to its newest days first.
     """
     newest = Window.partitionBy(*place).orderBy(F.desc("time"))
+    if hours > GROUP_LIMIT:
+        # Beyond Spark's limit a place would go to one task whole: first the day of each place from
+        # which on it has enough rows, one row per place and day, then only the rows since then.
+        day = F.to_date("time")
+        days = df.groupBy(*place, day.alias("_day")).agg(F.count(F.lit(1)).alias("_rows"))
+        later = Window.partitionBy(*place).orderBy(F.desc("_day"))
+        days = days.withColumn("_before", F.sum("_rows").over(later) - F.col("_rows")).where(F.col("_before") < hours)
+        since = days.groupBy(*place).agg(F.min("_day").alias("_since"))
+        df = df.join(since, list(place)).where(F.to_date("time") >= F.col("_since")).drop("_since")
     return df.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= hours).drop("_n")
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourgrid import fixed_values as fv
 from hourgrid import schemas, session
 from hourgrid.functions import calendar
-from hourgrid.operators import checks, clean, conform, load, model, series, star
+from hourgrid.operators import checks, clean, conform, decide, load, model, series, star
 from hourgrid.sources import streams
 
 
@@ -18,59 +19,98 @@ def cleaned(raw: Mapping[str, DataFrame], versions: bool = False) -> dict[str, D
     return {s: clean.clean_stream(df, schemas.stream_measures(s), versions) for s, df in raw.items()}
 
 
-def conformed(raw: Mapping[str, DataFrame], versions: bool = False) -> DataFrame:
-    """Raw streams to joined, converted rows."""
-    return conform.convert_units(conform.join_streams(cleaned(raw, versions)))
-
-
 def load_folders(
     spark: SparkSession,
     raw_root: str,
     folders: Iterable[str],
     root: str,
     versions: bool = False,
-    max_lost: int | None = None,
-    may_be_empty: bool = False,
+    max_lost: int | None = 0,
+    may_wait: bool = False,
 ) -> dict:
     """Load folders of raw streams into the star below ``root``; returns rows written per table.
 
     One folder is a daily load, a list of months is a backfill: either way each stream is one
-    scan. Days that the ledger lists are passed over. The joined rows are written once to the
-    shared folder, and dimensions, facts and checks read them from there, so the join runs once
-    and a lost executor repeats a read instead of the join. A failed check stops the run before
-    the star is touched, and the ledger is written last.
-
-    ``max_lost`` bounds the cells per stream that the join may lose. With ``may_be_empty`` no
-    complete day is not an error.
+    scan. The ledger lists the deliveries of each day by their rows and a print of their keys; what
+    it lists is passed over before anything is joined, and a day for which other rows arrive is
+    loaded again, which adds what it lacks. The joined rows are written once to the shared folder
+    for as long as the load runs.
+
+    A day may lose ``max_lost`` cells of a stream in the join, none by default and any number with
+    None, and may hold no key twice. Days that fail stay pending and do not keep the others from being
+    loaded; they are an error at the end, unless they ``may_wait`` for what is still to arrive. The
+    stored facts of the load are checked against the stored dimensions, and the ledger is written last.
     """
-    raw = streams.scan_folders(spark, raw_root, folders)
+    with session.job_scratch(spark):
+        return _load(spark, cleaned(streams.scan_folders(spark, raw_root, folders), versions), root, max_lost, may_wait)
+
+
+def _load(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, max_lost: int | None, may_wait: bool) -> dict:
+    nothing = {"dim_location": 0, "dim_time": 0, "fact_weather": 0}
+    found = conform.deliveries(raw)
+    delivered = session.stored(load.pending(found, load.read_table(spark, root, "ledger")), "deliveries")
+    if delivered.isEmpty():
+        if not may_wait and found.isEmpty():
+            raise checks.GateError("fact_not_empty: 1 rows")
+        return nothing
+    days = delivered.where("day is not null").select("day")
+
+    # One row for each day of the folders: a calendar, counted all the same before it is broadcast.
+    def of_days(rows: DataFrame, some: DataFrame) -> DataFrame:
+        day = F.broadcast(some) if some.count() <= star.BROADCAST_ROWS else some
+        return rows.join(day, F.to_date(rows["time"]) == day["day"], "left_semi")
+
+    joined = conform.join_streams({s: of_days(df, days) for s, df in raw.items()})
+    staged = session.stored(conform.convert_units(joined), "staged")
+    state = session.stored(day_state(staged, delivered), "days")
+    good = F.col("twice") == 0
     if max_lost is not None:
-        checks.require(coverage_checks(raw, versions, max_lost))
-    staged = session.stored(conformed(raw, versions), "staged")
-    found = staged_checks(staged)
-    checks.require(found.where("check not like '%not_empty'") if may_be_empty else found)
-
-    pending = load.pending_days(staged, load.read_table(spark, root, "ledger"))
-    # One row per calendar day of the folders, hence the broadcast.
-    todo = staged.join(F.broadcast(pending), F.to_date(staged["time"]) == pending["day"], "left_semi")
+        good &= F.col("lost") <= max_lost
+    done = state.where(good & (F.col("rows") > 0))
+    todo = of_days(staged, done.select("day"))
     facts = star.fact(todo)
     written = load.load_star(spark, root, facts, star.time_dimension(todo), star.location_dimension(todo))
-    load.mark_done(spark, root, facts)
+    checks.require(stored_checks(spark, root, done))
+    load.mark_done(done, root)
+    if not may_wait:
+        checks.require(failed_days(state.where(~good)))
     return written
 
 
-def coverage_checks(raw: Mapping[str, DataFrame], versions: bool, max_lost: int) -> DataFrame:
-    lost = conform.join_coverage(cleaned(raw, versions))
-    return lost.select(
-        F.concat(F.lit("join_coverage_"), "stream").alias("check"),
-        F.col("lost").alias("bad_rows"),
-        (F.col("lost") <= max_lost).alias("passed"),
+def day_state(staged: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Each delivery (day, arrived, print) with its joined ``rows``, keys that come ``twice``, and cells ``lost``."""
+    cells = staged.groupBy("time_id", "location_id").agg(F.count(F.lit(1)).alias("n"))
+    days = cells.groupBy(calendar.date_of_key(F.col("time_id")).alias("day")).agg(
+        F.count(F.lit(1)).alias("cells"), F.sum(F.col("n") - 1).alias("twice")
     )
+    state = delivered.join(days, "day", "left").fillna(0, ["cells", "twice"])
+    lost = F.greatest(F.col("most") - F.col("cells"), F.lit(0))
+    return state.select("day", F.col("cells").alias("rows"), "arrived", "print", "twice", lost.alias("lost"))
 
 
-def staged_checks(staged: DataFrame) -> DataFrame:
-    dim_time, dim_location = star.time_dimension(staged), star.location_dimension(staged)
-    return checks.quality_checks(staged, dim_time, dim_location)
+def failed_days(failed: DataFrame) -> DataFrame:
+    """The failed days as checks: cells that the join lost, and keys that come twice."""
+    totals = failed.agg(
+        F.coalesce(F.sum("lost"), F.lit(0)).alias("lost"),
+        F.coalesce(F.sum("twice"), F.lit(0)).alias("twice"),
+        F.concat_ws(" ", F.sort_array(F.collect_set(F.coalesce(F.col("day").cast("string"), F.lit("no time"))))).alias("days"),
+    )
+    found = [("fact_unique_keys", "twice"), ("join_coverage", "lost")]
+    rows = [F.struct(F.concat(F.lit(f"{n} on "), "days").alias("check"), F.col(c).alias("bad_rows")) for n, c in found]
+    return totals.select(F.inline(F.array(*rows))).withColumn("passed", F.col("bad_rows") == 0)
+
+
+def stored_checks(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
+    """Facts of the days, as stored, whose hour or place the stored dimensions lack."""
+    facts, dim_time, dim_location = (load.read_table(spark, root, t) for t in ("fact_weather", "dim_time", "dim_location"))
+    first, last = days.agg(F.min("day"), F.max("day")).first()
+    if first is not None:
+        low, high = (int(d.strftime("%Y%m%d")) * 100 for d in (first, last))
+        facts = facts.where(F.col("year").between(first.year, last.year) & F.col("time_id").between(low, high + 23))
+    found = checks.orphans(facts, dim_time, "time_id", "fact_time_known").unionByName(
+        checks.orphans(facts, dim_location, "location_id", "fact_location_known")
+    )
+    return found.withColumn("passed", F.col("bad_rows") == 0)
 
 
 def open_star(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -86,7 +126,12 @@ def open_star(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, Dat
 
 
 def training_rows(
-    spark: SparkSession, root: str, year: int | None = None, buckets: int | None = None
+    spark: SparkSession,
+    root: str,
+    year: int | None = None,
+    buckets: int | None = None,
+    sample_keys: Sequence[str] = checks.FACT_KEYS,
+    portable: bool = False,
 ) -> DataFrame:
     """Feature rows of the star, of one year and sampled by key if asked; both filters run on the
     facts, before the joins."""
@@ -94,7 +139,7 @@ def training_rows(
     if year is not None:
         facts = facts.where((F.col("year") == year) & calendar.key_in_years(F.col("time_id"), year, year))
     if buckets is not None:
-        facts = series.hash_sample(facts, checks.FACT_KEYS, buckets)
+        facts = series.hash_sample(facts, sample_keys, buckets, portable)
     weather = star.weather_full(facts.drop("year"), dim_time, dim_location)
     return series.ml_features(weather.withColumnRenamed("timestamp", "time"), keep=["time"])
 
@@ -110,8 +155,42 @@ def train_star(
 
 
 def run_daily(
-    spark: SparkSession, raw_root: str, folder: str, root: str, model_path: str, **forest
+    spark: SparkSession, raw_root: str, folder: str, root: str, model_path: str, max_lost: int | None = 0, **forest
 ) -> DataFrame:
     """Load one folder, then train. An error or a failed check in the load keeps training from running."""
-    load_folders(spark, raw_root, [folder], root)
+    load_folders(spark, raw_root, [folder], root, max_lost=max_lost)
     return train_star(spark, root, model_path, **forest)[1]
+
+
+def latest_window(spark: SparkSession, root: str, rows: int = fv.WINDOW_ROWS) -> DataFrame:
+    """The newest ``rows`` feature rows of the star, ties by place.
+
+    The newest hours come from the time dimension. Facts are counted from there backwards, by ever longer
+    spans, until there are enough; only their folders and row groups are read.
+    """
+    facts, dim_time, dim_location = open_star(spark, root)
+    newest = dim_time.agg(F.max("timestamp")).first()[0]
+    span, low = 24, None
+    while newest is not None:
+        first = dim_time.where(F.col("timestamp") > F.lit(newest) - calendar.hours(F.lit(span)))
+        low, earliest = first.agg(F.min("time_id")).first()[0], dim_time.agg(F.min("time_id")).first()[0]
+        facts_since = facts.where((F.col("year") >= low // 1_000_000) & (F.col("time_id") >= low))
+        if low == earliest or facts_since.join(dim_time.select("time_id"), "time_id", "left_semi").count() >= rows:
+            facts = facts_since
+            break
+        span *= 8
+    weather = star.weather_full(facts.drop("year"), dim_time, dim_location)
+    features = series.ml_features(weather.withColumnRenamed("timestamp", "time"), keep=["time"])
+    return series.latest_rows(features, rows)
+
+
+def forecast(spark: SparkSession, root: str, model_path: str) -> dict[str, DataFrame]:
+    """The saved model applied to the latest window: hours with their band, their summary, and the advice."""
+    frame = series.forecast_frame(latest_window(spark, root))
+    return serve(model.predict(model.load(model_path), frame))
+
+
+def serve(predicted: DataFrame) -> dict[str, DataFrame]:
+    """Band, summary and advice from a forecast frame with its ``prediction``."""
+    summary = decide.forecast_summary(predicted)
+    return {"hours": series.with_band(predicted), "summary": summary, "advice": decide.recommendations(summary)}

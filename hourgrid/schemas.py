@@ -80,7 +80,15 @@ FACT_WEATHER = T.StructType(
 # How fact_weather lies on disk: one folder per year, so that a year range skips folders.
 FACT_WEATHER_STORED = T.StructType(FACT_WEATHER.fields + [T.StructField("year", T.IntegerType())])
 
-LEDGER = T.StructType([T.StructField("day", T.DateType()), T.StructField("rows", T.LongType())])
+# One row for each delivery of a day: facts staged, raw rows over all streams, and a print of their keys.
+LEDGER = T.StructType(
+    [
+        T.StructField("day", T.DateType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("arrived", T.LongType()),
+        T.StructField("print", T.LongType()),
+    ]
+)
 
 
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,26 +28,42 @@ def local_session(cores: int | str = 8, app: str = "hourgrid", **conf: str) -> S
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach, as ``spark.checkpoint.dir`` names it.
+    """The folder all executors reach: ``spark.checkpoint.dir``, else what ``setCheckpointDir`` was given.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Without either it is an error, and so is a folder of one machine on a cluster of several.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
-    return _own_folder()
-
-
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="hourgrid-")
+    if named.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{named} lies on one machine: set spark.checkpoint.dir to a folder that all executors reach")
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; two calls never share one."""
-    return f"{shared_folder(spark)}/hourgrid/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/hourgrid/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    for job in _jobs:
+        job.append(path)
+    return path
+
+
+_jobs: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at the end what was stored inside: for jobs that hand no stored frame to their caller."""
+    made: list[str] = []
+    _jobs.append(made)
+    try:
+        yield
+    finally:
+        _jobs[:] = [j for j in _jobs if j is not made]
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in made:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

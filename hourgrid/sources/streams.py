@@ -40,6 +40,13 @@ def scan_folders(spark: SparkSession, root: str, folders: Iterable[str]) -> dict
     }
 
 
+def list_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders directly below ``root``, wherever Spark can list it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
 def folder_below(root: str) -> Column:
     """Name of the folder directly below ``root`` in the row's file path."""
     last = root.rstrip("/").rsplit("/", 1)[-1]

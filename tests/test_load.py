@@ -6,8 +6,8 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from hourgrid import fixed_values as fv
-from hourgrid import schemas
-from hourgrid.operators import analytics, checks, load, star
+from hourgrid import schemas, session
+from hourgrid.operators import analytics, checks, load, series, star
 from hourgrid.plans import daily
 from hourgrid.sources import streams, tables
 
@@ -16,14 +16,14 @@ VALUES = {
 }
 
 
-def write_day(spark, folder, day, hours=24, places=3, skip=(), time_name="time"):
+def write_day(spark, folder, day, hours=24, places=3, skip=(), time_name="time", first=0, version=1):
     """One day's folder of four raw files; ``skip`` names streams that are left out."""
     for name in fv.STREAMS:
         if name in skip:
             continue
         rows = [
-            (dt.datetime.combine(day, dt.time(h)), 38.0 + 0.25 * p, 68.0 + 0.25 * p, 1, 0, *[v + (i == 0) * h / 4 for i, v in enumerate(VALUES[name])])
-            for h in range(hours) for p in range(places)
+            (dt.datetime.combine(day, dt.time(h)), 38.0 + 0.25 * p, 68.0 + 0.25 * p, version, 0, *[v + (i == 0) * h / 4 for i, v in enumerate(VALUES[name])])
+            for h in range(first, hours) for p in range(places)
         ]
         measures = ", ".join(f"{m} float" for m in schemas.stream_measures(name))
         schema = f"{time_name} timestamp_ntz, latitude double, longitude double, expver int, number int, {measures}"
@@ -80,8 +80,9 @@ def test_days_of_two_years_and_both_time_names(spark, star_root, tmp_path):
 def test_backfill_loads_many_folders_at_once(spark, star_root, tmp_path):
     for d in (1, 2, 3):
         write_day(spark, f"{tmp_path}/2024_0{d}", dt.date(2024, d, 1), hours=2, skip=("avg",) if d == 2 else ())
-    written = daily.load_folders(spark, str(tmp_path), streams.month_periods([2024]), star_root)
-    assert written == {"dim_location": 3, "dim_time": 4, "fact_weather": 12}
+    with pytest.raises(checks.GateError, match="join_coverage on 2024-02-01: 6 rows"):
+        daily.load_folders(spark, str(tmp_path), streams.month_periods([2024]), star_root)
+    assert counts(spark, star_root) == {"dim_location": 3, "dim_time": 4, "fact_weather": 12, "ledger": 2}
     done = [r["day"] for r in load.read_table(spark, star_root, "ledger").collect()]
     assert sorted(done) == [dt.date(2024, 1, 1), dt.date(2024, 3, 1)]  # the month without a stream stays open
 
@@ -96,8 +97,8 @@ def test_a_day_with_a_missing_stream_is_not_marked_done(spark, star_root, tmp_pa
 def test_lost_cells_and_empty_joins_stop_the_load(spark, star_root, tmp_path):
     write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1), hours=4, skip=("avg",))
     write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1), hours=3, skip=("instant", "accum", "max"))
-    with pytest.raises(checks.GateError, match="join_coverage_instant: 3 rows"):
-        daily.load_folders(spark, str(tmp_path), ["d"], star_root, max_lost=0)
+    with pytest.raises(checks.GateError, match="join_coverage on 2024-01-01: 3 rows"):
+        daily.load_folders(spark, str(tmp_path), ["d"], star_root)
     write_day(spark, f"{tmp_path}/e", dt.date(2024, 1, 1), hours=0)
     with pytest.raises(checks.GateError, match="fact_not_empty"):
         daily.load_folders(spark, str(tmp_path), ["e"], star_root)
@@ -105,6 +106,104 @@ def test_lost_cells_and_empty_joins_stop_the_load(spark, star_root, tmp_path):
     assert daily.load_folders(spark, str(tmp_path), ["d"], star_root, max_lost=3)["fact_weather"] == 9
 
 
+def test_the_late_half_of_a_day_is_added(spark, star_root, tmp_path):
+    day = dt.date(2024, 1, 1)
+    write_day(spark, f"{tmp_path}/early", day, hours=12)
+    write_day(spark, f"{tmp_path}/late", day, hours=24, first=12)
+    for folder, rows in (("early", 36), ("late", 36), ("early", 0), ("late", 0)):
+        assert daily.load_folders(spark, str(tmp_path), [folder], star_root)["fact_weather"] == rows
+    write_day(spark, f"{tmp_path}/all", day)
+    assert daily.load_folders(spark, str(tmp_path), ["all"], star_root)["fact_weather"] == 0
+    assert counts(spark, star_root) == {"dim_location": 3, "dim_time": 24, "fact_weather": 72, "ledger": 3}
+
+
+def test_a_day_with_a_partial_stream_stays_pending(spark, star_root, tmp_path):
+    day = dt.date(2024, 1, 2)
+    write_day(spark, f"{tmp_path}/good", dt.date(2024, 1, 1))
+    write_day(spark, f"{tmp_path}/bad", day, skip=("avg",))
+    write_day(spark, f"{tmp_path}/bad", day, hours=3, skip=("instant", "accum", "max"))
+    with pytest.raises(checks.GateError, match="join_coverage on 2024-01-02: 63 rows"):
+        daily.load_folders(spark, str(tmp_path), ["good", "bad"], star_root)
+    assert [r["day"] for r in load.read_table(spark, star_root, "ledger").collect()] == [dt.date(2024, 1, 1)]
+    assert counts(spark, star_root)["fact_weather"] == 72
+    with pytest.raises(checks.GateError, match="join_coverage"):
+        daily.run_daily(spark, str(tmp_path), "bad", star_root, f"{tmp_path}/model")
+    assert not os.path.exists(f"{tmp_path}/model")
+    write_day(spark, f"{tmp_path}/mended", day)
+    assert daily.load_folders(spark, str(tmp_path), ["mended"], star_root)["fact_weather"] == 72
+
+
+def test_keys_that_come_twice_keep_their_day_pending(spark, star_root, tmp_path):
+    for folder in ("a", "b"):
+        write_day(spark, f"{tmp_path}/{folder}", dt.date(2024, 1, 1), hours=2)
+    with pytest.raises(checks.GateError, match="fact_unique_keys on 2024-01-01"):
+        daily.load_folders(spark, str(tmp_path), ["a", "b"], star_root, max_lost=None)
+    assert set(counts(spark, star_root).values()) == {0}
+
+
+def test_files_with_and_without_versions_are_loaded_together(spark, star_root, tmp_path):
+    write_day(spark, f"{tmp_path}/a", dt.date(2024, 1, 1), hours=2)
+    write_day(spark, f"{tmp_path}/b", dt.date(2024, 1, 2), hours=3, version=None)
+    write_day(spark, f"{tmp_path}/c", dt.date(2024, 1, 3), hours=4, version=5)
+    written = daily.load_folders(spark, str(tmp_path), ["a", "b", "c"], star_root, versions=True)
+    assert written["fact_weather"] == 3 * (2 + 3 + 4)
+
+
+def test_a_load_leaves_nothing_behind_and_reads_the_staged_rows_seldom(spark, star_root, tmp_path):
+    write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1), hours=2)
+    below = f"{session.shared_folder(spark).removeprefix('file:')}/hourgrid/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(below)) if os.path.isdir(below) else set()
+    daily.load_folders(spark, str(tmp_path), ["d"], star_root)
+    assert set(os.listdir(below)) == before
+
+
+def test_the_shared_folder_has_to_be_shared():
+    class Session:
+        def __init__(self, folder, master, given=None):
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+            self.sparkContext = type("C", (), {"master": master, "getCheckpointDir": lambda _: given})()
+
+    assert session.shared_folder(Session("hdfs://n/x/", "yarn")) == "hdfs://n/x"
+    assert session.shared_folder(Session(None, "yarn", "hdfs://n/y")) == "hdfs://n/y"
+    assert session.shared_folder(Session("file:/tmp/x", "local[2]")) == "file:/tmp/x"
+    for folder, master in ((None, "yarn"), (None, "local[8]"), ("file:/tmp/x", "yarn")):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_folder(Session(folder, master))
+
+
+def test_the_latest_window_prunes_and_widens(spark, star_root, tmp_path):
+    write_day(spark, f"{tmp_path}/a", dt.date(2022, 5, 1), places=9)
+    write_day(spark, f"{tmp_path}/b", dt.date(2023, 12, 31), places=9)
+    write_day(spark, f"{tmp_path}/c", dt.date(2024, 1, 1), hours=2, places=9)  # the newest day has 18 rows only
+    for folder in ("a", "b", "c"):
+        daily.load_folders(spark, str(tmp_path), [folder], star_root)
+    got = daily.latest_window(spark, star_root)
+    plan = plan_of(got)
+    assert "GreaterThanOrEqual(time_id," in plan and "(year" in plan.split("PartitionFilters: [")[1]
+    whole = daily.training_rows(spark, star_root)
+    want = series.latest_rows(whole)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 168
+    few = daily.latest_window(spark, star_root, rows=10)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, series.latest_rows(whole, 10).collect()))
+    assert daily.latest_window(spark, star_root, rows=10_000).count() == whole.count()
+
+
+def test_the_latest_window_of_nothing(spark, star_root):
+    assert daily.latest_window(spark, star_root).count() == 0
+
+
+def test_a_saved_model_serves_the_latest_window(spark, star_root, tmp_path):
+    write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1), places=9)
+    daily.run_daily(spark, str(tmp_path), "d", star_root, f"{tmp_path}/model", trees=2, depth=3)
+    served = daily.forecast(spark, star_root, f"{tmp_path}/model")
+    hours = served["hours"].collect()
+    assert len(hours) == 168 and all(r["lower"] < r["prediction"] < r["upper"] for r in hours)
+    assert max(r["forecast_time"] for r in hours) == dt.datetime(2024, 1, 1, 23) + dt.timedelta(hours=168)
+    summary = served["summary"].first()
+    assert summary["min_temp"] == min(r["prediction"] for r in hours)
+    assert len(served["advice"].collect()) == 3
+
+
 def test_daily_run_trains_only_after_a_good_load(spark, star_root, tmp_path):
     write_day(spark, f"{tmp_path}/d", dt.date(2024, 1, 1))
     got = daily.run_daily(spark, str(tmp_path), "d", star_root, f"{tmp_path}/model", trees=2, depth=3).first()
@@ -183,7 +282,7 @@ def test_subset_and_lagged_day(spark):
 
 def test_pending_days_and_audit(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, d, 3),) for d in (1, 1, 2, 3)], "time timestamp_ntz")
-    done = spark.createDataFrame([(dt.date(2024, 1, 2), 1)], schemas.LEDGER)
+    done = spark.createDataFrame([(dt.date(2024, 1, 2), 1, 4, 7)], schemas.LEDGER)
     assert sorted(r["day"].day for r in load.pending_days(df, done).collect()) == [1, 3]
     assert {tuple(r) for r in load.load_audit({"a": df, "b": done}).collect()} == {("a", 4), ("b", 1)}
 

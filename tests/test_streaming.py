@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from test_load import write_day
 
 from hourgrid.functions import calendar
-from hourgrid.operators import load
+from hourgrid.operators import checks, load
 from hourgrid.plans.registry import EVENT_FACTS, EVENTS
 from hourgrid.streaming import ingest
 
@@ -62,6 +62,20 @@ def test_copies_within_one_batch_are_stored_once(spark, tmp_path, run):
     assert stored.count() == 20
 
 
+def test_a_null_key_is_an_error(spark, tmp_path):
+    rows = spark.createDataFrame([(2024010100, None, 1, 1.0)], EVENT_FACTS)
+    with pytest.raises(checks.GateError, match="null_keys: 1 rows"):
+        ingest.append_unseen(spark, rows, f"{tmp_path}/facts", EVENT_FACTS, KEYS, "time_id")
+
+
+def test_the_order_column_picks_among_copies(spark, tmp_path):
+    path = f"{tmp_path}/facts"
+    spark.createDataFrame([], EVENT_FACTS).write.parquet(path)
+    rows = spark.createDataFrame([(2024010100, 1, 9, 1.0), (2024010100, 1, 2, 5.0), (2024010100, 1, 3, 4.0)], EVENT_FACTS)
+    assert ingest.append_unseen(spark, rows, path, EVENT_FACTS, KEYS, "time_id", order="value") == 1
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(2024010100, 1, 2, 5.0)]
+
+
 def test_an_empty_source_gives_an_empty_table(spark, tmp_path, run):
     land(spark, f"{tmp_path}/raw", "day1", 1, [])
     _, stored = run()
