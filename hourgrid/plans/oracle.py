@@ -48,6 +48,14 @@ w as (
          ep as solar_radiation
   from g)"""
 )
+# The same as stored in the star, where three measures are floats.
+WS = (
+    W
+    + """,
+ws as (
+  select * replace (precipitation_mm::float::double as precipitation_mm, cloud_cover::float::double as cloud_cover,
+                    solar_radiation::float::double as solar_radiation) from w)"""
+)
 STREAMS = (
     G
     + f""",
@@ -138,13 +146,13 @@ CORRELATIONS = (
 )
 
 
-def _drill(grain: str, func: str) -> str:
+def _drill(grain: str, func: str, source: str = "w") -> str:
     label = {"year": "strftime(time, '%Y')", "month": "strftime(time, '%Y-%m')", "day": "strftime(time, '%Y-%m-%d')"}
     rain = "sum" if func == "avg" else func
-    return f"""with {W}
+    return f"""with {WS}
 select {label[grain]} as label, {rounded(f'{func}(temperature_c)', 2)} as temp,
        {rounded(f'{rain}(precipitation_mm)', 2)} as precip
-from w where year between 1995 and 2001 group by 1"""
+from {source} group by 1"""
 
 
 def _advice(values: tuple[str, ...]) -> str:
@@ -192,9 +200,9 @@ where not exists (select 1 from first where first.time = second.time
         "batched_sink": f"""with {W}
 select count(*) as rows, sum(temperature_c) as sum_temp, true as within_batch from w""",
         "load_audit": f"""with {G}
-select 'dim_location' as "table", count(*) as rows from (select distinct latitude, longitude from g)
-union all select 'dim_time', count(*) from (select distinct time from g)
-union all select 'fact_weather', count(*) from g""",
+select 'dim_location' as "table", count(*) as written, count(*) as rows from (select distinct latitude, longitude from g)
+union all select 'dim_time', count(*), count(*) from (select distinct time from g)
+union all select 'fact_weather', count(*), count(*) from g""",
         "pending_days": f"""with {KEYS}
 select distinct strftime(time, '%Y-%m-%d') as day from keys
 where time::date not in (select o_orderdate::date from orders)""",
@@ -202,13 +210,15 @@ where time::date not in (select o_orderdate::date from orders)""",
        68::double + ((i - 1) % 8) * 0.25::double as longitude, embedding[i]::double as value
 from (select vec_id, embedding, unnest(generate_series(1, 64)) as i from embeddings)""",
         "version_merge": f"""with v as (
-  select date_trunc('day', l_shipdate)::timestamp as time, {LAT} as latitude, {LON} as longitude, l_linestatus as s,
-         max(case when l_linestatus = 'O' and l_linenumber = 3 then null else l_quantity end) as t2m,
+  select date_trunc('day', l_shipdate)::timestamp as time, {LAT} as latitude, {LON} as longitude,
+         case when l_suppkey % 5 = 0 then 'none' else l_linestatus end as s,
+         max(case when l_suppkey % 5 <> 0 and l_linestatus = 'O' and l_linenumber = 3 then null else l_quantity end) as t2m,
          max(l_tax) as tp
   from lineitem group by 1, 2, 3, 4),
-p as (select * from v where s = 'O'), f as (select * from v where s <> 'O')
-select time, latitude, longitude, coalesce(p.t2m, f.t2m) as t2m, coalesce(p.tp, f.tp) as tp
-from p full outer join f using (time, latitude, longitude)""",
+p as (select * from v where s = 'O'), f as (select * from v where s not in ('O', 'none')),
+n as (select * from v where s = 'none')
+select time, latitude, longitude, coalesce(p.t2m, f.t2m, n.t2m) as t2m, coalesce(p.tp, f.tp, n.tp) as tp
+from p full outer join f using (time, latitude, longitude) full outer join n using (time, latitude, longitude)""",
         "clean_stream": f"with {STREAMS} select {AT}, tp from accum",
         "conform_units": f"with {CONFORMED} select * from conformed",
         "fact_build": f"""with {CONFORMED}
@@ -340,4 +350,45 @@ select "check", bad_rows, bad_rows = 0 as passed from bad""",
     for grain in ("year", "month", "day"):
         for func in ("avg", "max", "min"):
             sql[f"drill_{grain}_{func}"] = _drill(grain, func)
-    return sql
+    return sql | _star_sql(sql)
+
+
+# The latest window of the stored star, and the climatology of the earlier part as its prediction.
+SERVED = SPLIT + WS.removeprefix(W) + f""",
+latest as (select {FEATURES} from ws order by time desc, latitude, longitude limit 168),
+frame as (
+  select *, row_number() over (order by time, latitude, longitude) as step, max(time) over () as newest from latest),
+served as (select f.*, m.prediction from frame f left join means m using (month, hour)),
+summary as (
+  select avg(prediction) as avg_temp, min(prediction) as min_temp, max(prediction) as max_temp,
+         avg(wind_speed_ms) as avg_wind, sum(precipitation_mm) as total_precip from served)"""
+
+
+def _star_sql(sql: dict[str, str]) -> dict[str, str]:
+    """The queries over the stored star, and those of the forest."""
+    return {
+        "late_day_reload": sql["star_load"],
+        "star_kpi": sql["kpi"],
+        "star_trend": sql["yearly_trend"],
+        "star_histogram": sql["temp_histogram"],
+        "star_correlations": "with " + WS + CORRELATIONS.removeprefix(W).replace(" from w)", " from ws)") + " select * from correlations",
+        "star_drill_range": _drill("month", "avg", "ws where year between 1996 and 1999"),
+        "star_drill_known_hours": _drill("year", "max", "ws where hour >= 6"),
+        "star_features": f"""with {WS}
+select {FEATURES} from ws
+where year = 1998 and ('0x' || substr(md5(({time_key("time")})::varchar), 1, 8))::bigint % 20 = 0""",
+        "star_latest": f"""with {WS}
+select {FEATURES} from ws order by time desc, latitude, longitude limit 168""",
+        "rf_predictions": f"with {SPLIT} select {AT}, temperature_c, true as within_range from split where is_test",
+        "rf_quality": f"""with {SPLIT}
+select count(*) as rows, true as all_finite, true as better_than_climatology from split where is_test""",
+        "serve_hours": f"""with {SERVED}
+select step, newest + to_hours(step::integer) as forecast_time, {rounded("prediction", 6)} as prediction,
+       {rounded("prediction + (1.5::double + (step - 1) * 0.05::double)", 6)} as upper,
+       {rounded("prediction - (1.5::double + (step - 1) * 0.05::double)", 6)} as lower from served""",
+        "serve_summary": f"""with {SERVED}
+select {", ".join(f"{rounded(c, 6)} as {c}" for c in ("avg_temp", "min_temp", "max_temp", "avg_wind", "total_precip"))},
+       'Прогноз: ' || round_even(min_temp, 0)::bigint::varchar || '...'
+         || round_even(max_temp, 0)::bigint::varchar || '°C' as forecast_text from summary""",
+        "serve_advice": sql["recommendations"].replace(SUMMARY, SERVED),
+    }

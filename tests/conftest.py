@@ -9,6 +9,8 @@ sys.path.insert(0, ROOT)
 
 from hourgrid.session import local_session  # noqa: E402
 
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
