@@ -108,7 +108,7 @@ def latest_hours_per_location(
         later = Window.partitionBy(*place).orderBy(F.desc("_day"))
         days = days.withColumn("_before", F.sum("_rows").over(later) - F.col("_rows")).where(F.col("_before") < hours)
         since = days.groupBy(*place).agg(F.min("_day").alias("_since"))
-        df = df.join(since, list(place)).where(F.to_date("time") >= F.col("_since")).drop("_since")
+        df = df.join(since, list(place)).where(F.to_date("time") >= F.col("_since")).select(df.columns)
     return df.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= hours).drop("_n")
 
 

@@ -299,6 +299,9 @@ select least(min(temperature_c), min(prediction)) + 0.0::double as min_val,
         "latest_168h_per_location": f"""with {W},
 n as (select *, row_number() over (partition by latitude, longitude order by time desc) as rn from w)
 select {AT}, temperature_c from n where rn <= 168""",
+        "forecast_per_location": f"""with {W},
+n as (select *, row_number() over (partition by latitude, longitude order by time desc) as rn from w)
+select {AT}, temperature_c, time + to_hours(168) as forecast_time from n where rn <= 168""",
         "eval_slice": f"""with {SPLIT}
 select {AT}, temperature_c, prediction from scored order by time, latitude, longitude limit 150""",
         "calendar_parts": """select event_id, year(ts) as year, month(ts) as month, day(ts) as day, hour(ts) as hour,

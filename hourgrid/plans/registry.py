@@ -463,6 +463,11 @@ def forecast_frame(spark, sf):
     return series.forecast_frame(series.latest_rows(_features(spark, sf)))
 
 
+def forecast_per_location(spark, sf):
+    latest = series.latest_hours_per_location(_features(spark, sf))
+    return series.forecast_frame_per_location(latest).select(*series.ORDER, fv.TARGET, "forecast_time")
+
+
 def forecast_band(spark, sf):
     banded = series.with_band(_forecast(spark, sf))
     return _rounded(banded, 6, "upper", "lower").select("step", "forecast_time", "prediction", "upper", "lower")
@@ -555,7 +560,7 @@ _PLAIN = (
     kpi, extreme_days, yearly_trend, temp_histogram, correlations, correlation_ranking,
     forecast_summary, eval_metrics, eval_extents, chrono_split, latest_168_rows,
     latest_168h_per_location, eval_slice, calendar_parts, drill_labels, time_key,
-    star_load, stream_ingest, rf_predictions, rf_quality, forecast_frame, forecast_band, recommendations, kpi_status,
+    star_load, stream_ingest, rf_predictions, rf_quality, forecast_frame, forecast_per_location, forecast_band, recommendations, kpi_status,
     quality_checks, late_day_reload,
     star_kpi, star_trend, star_histogram, star_correlations, star_drill_range, star_drill_known_hours,
     star_features, star_latest, serve_hours, serve_summary, serve_advice,

@@ -76,3 +76,15 @@ def test_clean_stream_gives_canonical_columns(spark, time_columns, auxiliary):
 def test_clean_stream_with_versions(spark):
     got = clean.clean_stream(versions(spark, [(1, 5, None, 0.1), (1, 1, 7.0, 0.2)]), ["t2m", "tp"], versions=True)
     assert [tuple(r)[3:] for r in got.collect()] == [(7.0, 0.1)]
+
+
+def test_a_cell_without_a_version_is_kept_and_gives_way(spark):
+    df = versions(spark, [(1, None, 1.0, 0.1), (2, None, 2.0, 0.2), (2, 1, 3.0, None), (3, None, 4.0, None), (3, 1, None, 0.3), (3, 5, 5.0, None)])
+    got = clean.merge_versions(df, ["time", "latitude", "longitude"], ["t2m", "tp"])
+    assert {r["latitude"]: (r["t2m"], r["tp"]) for r in got.collect()} == {1.0: (1.0, 0.1), 2.0: (3.0, 0.2), 3.0: (5.0, 0.3)}
+
+
+def test_a_grid_that_does_not_fit_its_axes_is_an_error(spark):
+    df = spark.createDataFrame([([1.0, 2.0], [3.0], [0.1, 0.2, 0.3]), ([1.0], [3.0], [0.1])], "y array<double>, x array<double>, v array<double>")
+    with pytest.raises(Exception, match="3 values for a grid of 2 cells"):
+        clean.flatten_grid(df, ["y", "x"], ["v"]).collect()

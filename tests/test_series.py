@@ -111,3 +111,19 @@ def test_sample_is_a_function_of_the_key(spark):
     part = {r["id"] for r in series.hash_sample(df.where("half = 0").repartition(7), ["id"]).collect()}
     assert part == {i for i in whole if i % 2 == 0}
     assert 120 < len(whole) < 280
+
+
+def test_split_of_microsecond_times(spark):
+    rng = random.Random(7)
+    times = [dt.datetime(2020 + i % 3, 5, 1 + i % 2, 3, i % 2, 0, rng.randrange(10**6)) for i in range(400)]
+    df = spark.createDataFrame([(t, 1.0, 2.0) for t in times], "time timestamp_ntz, latitude double, longitude double")
+    got = {r["time"]: r["is_test"] for r in series.chrono_split(df).collect()}
+    want = sorted(times)
+    assert [got[t] for t in want] == [i >= 400 - 80 for i in range(400)]
+
+
+def test_more_latest_hours_than_spark_limits_by_itself(spark, monkeypatch):
+    df = points(spark, grid(50))
+    want = sorted(map(tuple, series.latest_hours_per_location(df, 30).collect()))
+    monkeypatch.setattr(series, "GROUP_LIMIT", 5)
+    assert sorted(map(tuple, series.latest_hours_per_location(df, 30).collect())) == want and len(want) == 270
