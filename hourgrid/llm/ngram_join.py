@@ -4,8 +4,8 @@
 2. Classes that share a shingle among their first ones, in one order for all, may be similar, others are not
    (prefix filter): with similarity s, sets of n shingles that share none among the first n - ceil(s n) + 1 of each
    cannot be similar. Shingles that many documents hold come last in that order.
-3. The classes that share such a shingle form a list. Equal lists are taken once, and each is joined by a signature
-   tree of its classes' bitmaps, walked against itself (``signature_tree``): what bitmaps and sizes do not rule out is
+3. The classes that share such a shingle form a list. Equal lists are taken once, longer ones that begin alike are
+   merged, and each is joined by a signature tree of its classes' bitmaps, walked against itself (``signature_tree``): what bitmaps and sizes do not rule out is
    connected. Lists longer than ``LIST``, which only copies have, are connected without a test. What is connected in
    this way forms a block; no link leaves it.
 4. The classes of a block are joined exactly, by signature trees whose last step compares the sets. A block of more
@@ -36,6 +36,8 @@ from hourgrid.session import stored
 #: they only set the order of the prefix filter, which finds every link in any order.
 COUNTED, FREQUENT, MOST_FREQUENT = 8_000_000, 4, 1_000_000
 LIST, CHUNK = 256, 2000
+#: Lists longer than this are merged with those that begin alike.
+MERGED = 8
 #: Up to so many members of blocks are broadcast to the scan that makes their sets; more are joined by shuffle.
 BROADCAST_MEMBERS = 200_000
 
@@ -217,8 +219,11 @@ def _blocks(classes: DataFrame, num: int, den: int) -> DataFrame:
     of_token = Window.partitionBy("token")
     held = postings.withColumns({"held": F.count("*").over(of_token), "pivot": F.min("class").over(of_token)}).where("held > 1")
     held = stored(held, "postings")
-    lists = held.where(F.col("held") <= LIST).groupBy("token").agg(F.sort_array(F.collect_list("class")).alias("classes"))
-    lists = lists.select("classes").distinct().select(F.monotonically_increasing_id().alias("list"), "classes")
+    lists = held.where(F.col("held") <= LIST).groupBy("token", "pivot", "held").agg(F.sort_array(F.collect_list("class")).alias("classes"))
+    short = lists.where(F.col("held") <= MERGED).select("classes").distinct()
+    # the shingles of one passage have nearly the same list, with the same least class: their union is one list
+    long = lists.where(F.col("held") > MERGED).groupBy("pivot").agg(F.array_distinct(F.flatten(F.collect_list("classes"))).alias("classes"))
+    lists = short.unionByName(long.select("classes")).select(F.monotonically_increasing_id().alias("list"), "classes")
     rows = lists.select("list", F.explode("classes").alias("class")).join(classes.select("class", "n", "bits"), "class")
     rows = rows.repartition("list").sortWithinPartitions("list").select("list", "class", "n", "bits")
     near = rows.mapInArrow(_candidates(num, den), "a long, b long")
