@@ -3,7 +3,7 @@
 Each task cuts its documents into pre-tokens and folds a chunk of documents at a time into the frequencies of
 each distinct pre-token in each document. The frequencies are dealt out by the hash of the pre-token, packed, one
 row for each chunk and bucket. There, all chunks meet that hold a pre-token: it is encoded once, its number of pieces
-is joined to the frequencies, and each chunk gets a sum for each of its documents, which a last step adds up. No
+is joined to the frequencies, and each chunk gets the sums of its documents, packed again, which a last step adds up. No
 ids are kept. A frequent pre-token is one entry a chunk, however often it occurs.
 """
 
@@ -123,23 +123,36 @@ def _count(path: str):
                 new = [p for p in pieces if p not in counts]
                 counts.update(zip(new, map(len, cut.encode([p.decode() for p in new])), strict=True))
                 n = np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces))
-                sums = np.bincount(at, times * np.repeat(n, held)).astype(np.int64)
-                docs = np.flatnonzero(sums)
+                sums = np.bincount(at, times * np.repeat(n, held)).astype("<i8")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk.as_py()] * len(docs), pa.int64()), pa.array(docs, pa.int32()), pa.array(sums[docs])], ["chunk", "at", "tokens"]
+                    [pa.array([bucket], pa.int32()), pa.array([chunk.as_py()], pa.int64()), pa.array([_packed(sums)], pa.binary())],
+                    ["bucket", "chunk", "packed"],
                 )
 
     return run
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each chunk with the sums of all buckets; rows come chunk by chunk, its documents first."""
+
+    def done(docs: tuple, sums: np.ndarray) -> pa.RecordBatch:
+        known, doc_ids, n_bytes = docs
+        columns = [pa.array(doc_ids, pa.int64(), mask=known == 0), pa.array(n_bytes), pa.array(sums)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
+
+    docs, sums = None, np.empty(0, np.int64)
     for batch in batches:
-        for i in range(batch.num_rows):
-            (known, doc_ids, n_bytes), _ = _unpacked(batch.column("packed")[i].as_py(), "<i8", "<i8", "<i8")
-            ids = pa.array(doc_ids, pa.int64(), mask=known == 0)
-            chunk = pa.array([batch.column("chunk")[i].as_py()] * len(ids), pa.int64())
-            place = pa.array(np.arange(len(ids), dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([chunk, place, ids, pa.array(n_bytes)], ["chunk", "at", "doc_id", "n_bytes"])
+        for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed"), strict=True):
+            if bucket < 0:
+                if docs is not None:
+                    yield done(docs, sums)
+                docs = tuple(_unpacked(packed.as_py(), "<i8", "<i8", "<i8")[0])
+                sums = np.zeros(len(docs[0]), np.int64)
+            else:
+                (some,), _ = _unpacked(packed.as_py(), "<i8")
+                sums[: len(some)] += some
+    if docs is not None:
+        yield done(docs, sums)
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
@@ -155,13 +168,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(path, buckets), BUCKET)
     chunks = stored(cut, "pretokens")
     held = chunks.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket")
-    tokens = held.mapInArrow(_count(path), "chunk long, at int, tokens long")
-    of_docs = chunks.where("bucket < 0").mapInArrow(_describe, "chunk long, at int, doc_id long, n_bytes long")
-    none = F.lit(None).cast("long")
-    parts = tokens.select("chunk", "at", none.alias("doc_id"), none.alias("n_bytes"), "tokens").unionByName(
-        of_docs.withColumn("tokens", F.lit(0).cast("long"))
-    )
-    sums = parts.groupBy("chunk", "at").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens")
-    )
-    return sums.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    parts = held.mapInArrow(_count(path), BUCKET).unionByName(chunks.where("bucket < 0"))
+    parts = parts.repartition("chunk").sortWithinPartitions("chunk", "bucket").select("bucket", "packed")
+    sums = parts.mapInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
+    return sums.withColumn("over_limit", F.col("n_tokens") > limit)
