@@ -37,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
     nodes at most. Counts are combined by each task before they are shuffled, and each round is written to the
     shared folder.
     """
-    edges = stored(hung_up(edges), "edges")
+    edges = stored(hung_up(stored(edges.select("a", "b"), "edges")), "edges")
     rounds: list[DataFrame] = []
     while not rounds or not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -45,8 +45,8 @@ def components(edges: DataFrame) -> DataFrame:
         rounds.append(_roots(stored(parent.select("node", F.least("node", "b").alias("up")), "parents")))
         of_a = rounds[-1].select(F.col("node").alias("a"), F.col("up").alias("c"))
         of_b = rounds[-1].select(F.col("node").alias("b"), F.col("up").alias("d"))
-        edges = edges.join(of_a, "a").join(of_b, "b").select(F.col("c").alias("a"), F.col("d").alias("b"))
-        edges = stored(hung_up(edges), "edges")
+        ends = edges.join(of_a, "a").join(of_b, "b").select(F.col("c").alias("a"), F.col("d").alias("b"))
+        edges = stored(hung_up(stored(ends, "edges")), "edges")
 
     def followed(below: DataFrame, above: DataFrame) -> DataFrame:
         above = above.select(F.col("node").alias("up"), F.col("up").alias("top"))

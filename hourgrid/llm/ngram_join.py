@@ -4,7 +4,7 @@
 2. Classes that share a shingle among their first ones, in one order for all, may be similar, others are not
    (prefix filter): with similarity s, sets of n shingles that share none among the first n - ceil(s n) + 1 of each
    cannot be similar. Shingles that many documents hold come last in that order.
-3. The classes that share such a shingle form a list. Equal lists are taken once, longer ones that begin alike are
+3. The classes that share such a shingle form a list, cut where their sizes leave a gap too wide. Equal lists are taken once, longer ones that begin alike are
    merged, and each is joined by a signature tree of its classes' bitmaps, walked against itself (``signature_tree``): what bitmaps and sizes do not rule out is
    connected. Lists longer than ``LIST``, which only copies have, are connected without a test. What is connected in
    this way forms a block; no link leaves it.
@@ -215,11 +215,18 @@ def _tasks_joined(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 def _blocks(classes: DataFrame, num: int, den: int) -> DataFrame:
     """``node`` and ``component``: the block of each class that may be linked with another."""
-    postings = classes.select("class", F.explode("first").alias("token"))
-    of_token = Window.partitionBy("token")
-    held = postings.withColumns({"held": F.count("*").over(of_token), "pivot": F.min("class").over(of_token)}).where("held > 1")
-    held = stored(held, "postings")
-    lists = held.where(F.col("held") <= LIST).groupBy("token", "pivot", "held").agg(F.sort_array(F.collect_list("class")).alias("classes"))
+    postings = classes.select("class", "n", F.explode("first").alias("token"))
+    # by size, a class without a neighbour of a similar size has no partner in the list; gaps cut a list into runs
+    by_size = Window.partitionBy("token").orderBy("n", "class")
+    near = postings.withColumns({"before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)})
+    joins_before = F.coalesce(F.col("before") * den >= F.col("n") * num, F.lit(False))
+    near = near.where(joins_before | (F.col("n") * den >= F.col("after") * num))
+    held = near.withColumn("run", F.sum((~joins_before).cast("int")).over(by_size))
+    of_run = Window.partitionBy("token", "run")
+    held = held.withColumns({"held": F.count("*").over(of_run), "pivot": F.min("class").over(of_run)})
+    held = stored(held.select("token", "run", "class", "held", "pivot"), "postings")
+    lists = held.where(F.col("held") <= LIST).groupBy("token", "run", "pivot", "held")
+    lists = lists.agg(F.sort_array(F.collect_list("class")).alias("classes"))
     short = lists.where(F.col("held") <= MERGED).select("classes").distinct()
     # the shingles of one passage have nearly the same list, with the same least class: their union is one list
     long = lists.where(F.col("held") > MERGED).groupBy("pivot").agg(F.array_distinct(F.flatten(F.collect_list("classes"))).alias("classes"))
