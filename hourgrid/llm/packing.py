@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from hourgrid.llm import pretokens
 
 END_ID = 1
-MEMO_ENTRIES = 400_000
+#: Pre-tokens that a task remembers, documents cut at a time, and new pre-tokens encoded at a time.
+MEMO_ENTRIES, DOCS, TOGETHER = 1_000_000, 256, 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PIECES_IDS = PIECES + ", ids array<int>"
 
@@ -36,36 +37,43 @@ class _Memo(dict):
     def __init__(self, cut: pretokens.Cutter):
         super().__init__()
         self.cut = cut
+        self.special = {t: np.array([i], "<u4").tobytes() for t, i in cut.special.items()}
+        self.update(self.special)
 
-    def learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self]
+    def learn(self, pieces: set[str]) -> None:
+        new = pieces - self.keys()
         if len(self) + len(new) > MEMO_ENTRIES:
             self.clear()
-            new = list(dict.fromkeys(pieces))
-        for p, ids in zip(new, self.cut.encode(new), strict=True):
-            self[p] = np.array(ids, "<u4").tobytes()
+            self.update(self.special)
+            new = pieces - self.keys()
+        new = list(new)
+        for a in range(0, len(new), TOGETHER):
+            some = new[a : a + TOGETHER]
+            self.update(zip(some, self.cut.encode_words(some), strict=True))
 
 
 def _pack(path: str, size: int, end_id: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
+    names = [f.split(" ")[0] for f in (PIECES_IDS if with_ids else PIECES).split(", ")]
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = pretokens.cutter(path)
         memo = _Memo(cut)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                pieces = cut.in_order(text.as_py() or "")
-                memo.learn(pieces)
-                ids = b"".join(map(memo.__getitem__, pieces)) + end
-                start, n = 0, len(ids) // 4
-                for length in binary_lengths(n, size):
-                    part = ids[4 * start : 4 * (start + length)]
-                    row = (doc_id, start, length, zlib.crc32(part), n)
-                    out.append((*row, np.frombuffer(part, "<u4").astype("i4")) if with_ids else row)
-                    start += length
-            names = [f.split(" ")[0] for f in (PIECES_IDS if with_ids else PIECES).split(", ")]
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
+            for a in range(0, batch.num_rows, DOCS):
+                part = batch.slice(a, DOCS)
+                texts = [cut.in_order(t.as_py() or "") for t in part.column(1)]
+                memo.learn(set().union(*texts))
+                for doc_id, pieces in zip(part.column(0).to_pylist(), texts, strict=True):
+                    ids = b"".join(map(memo.__getitem__, pieces)) + end
+                    start, n = 0, len(ids) // 4
+                    for length in binary_lengths(n, size):
+                        piece = ids[4 * start : 4 * (start + length)]
+                        row = (doc_id, start, length, zlib.crc32(piece), n)
+                        out.append((*row, np.frombuffer(piece, "<u4").astype("i4")) if with_ids else row)
+                        start += length
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 

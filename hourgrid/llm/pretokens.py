@@ -1,23 +1,37 @@
 """Pre-tokens of a text, equal to those of the ``tokenizers`` library, and counts or ids of each.
 
-A text is cut at the special strings first, then by the vocabulary's own pattern. The ``regex`` module
-is used where its character classes are known to equal the library's (``SAFE``); any other text is cut
-by the library itself, so that results never depend on which Unicode version ``regex`` was built with.
+A text is cut at the special strings first, then by the vocabulary's own pattern. Texts
+of Latin letters and common punctuation, whose classes do not change between versions of Unicode, are cut by
+Python's own expressions; any other text is cut by the library itself.
 """
 
 from __future__ import annotations
 
 import functools
+import re
+import unicodedata
+from collections.abc import Callable
 
-import regex
+import numpy as np
 from tokenizers import Tokenizer, normalizers
 
-# The patterns of the two vocabularies, as their files state them.
-BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 # Characters below the combining marks, and general punctuation: classes, lower case and NFC form of
 # these are the same in both libraries (a test compares all of them).
-UNSAFE = regex.compile("[^\\x00-˿‐-‧]")
+SAFE = [chr(c) for c in (*range(0x300), *range(0x2010, 0x2028))]
+UNSAFE = re.compile("[^\x00-˿‐-‧]")
+
+
+def _class(of: Callable[[str], bool]) -> str:
+    """The safe characters that ``of`` holds for, as the inside of a character class."""
+    return "".join(f"\\u{ord(c):04x}" for c in SAFE if of(c))
+
+
+_LETTER, _NUMBER = (_class(lambda c, k=k: unicodedata.category(c)[0] == k) for k in "LN")
+_SPACE = _class(lambda c: c in "\t\n\x0b\x0c\r \x85\xa0")
+# The patterns of the two vocabularies, as their files state them, over the safe characters.
+SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+WORD_PATTERN = f"{SHORT}|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+"
+BYTE_PATTERN = f"{SHORT}| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 
 
 class Cutter:
@@ -26,16 +40,17 @@ class Cutter:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
+        self.at_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         self.normalizer = self.tokenizer.normalizer
-        self.pattern = regex.compile(WORD_PATTERN if self.normalizer else BYTE_PATTERN)
+        self.pattern = re.compile(WORD_PATTERN if self.normalizer else BYTE_PATTERN)
         if self.normalizer:  # pre-tokens are normalised already, and would not always stay the same
             self.tokenizer.normalizer = normalizers.Sequence([])
 
     def pieces(self, segment: str) -> list[str]:
         """Pre-tokens of a text that holds no special string."""
-        if segment.isascii() or not UNSAFE.search(segment):
-            return self.pattern.findall(segment.lower() if self.normalizer else segment)
+        plain = segment.lower() if self.normalizer else segment
+        if segment.isascii() or not (UNSAFE.search(segment) or UNSAFE.search(plain)):
+            return self.pattern.findall(plain)
         if self.normalizer:
             segment = self.normalizer.normalize_str(segment)
         return [segment[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(segment)]
@@ -66,6 +81,14 @@ class Cutter:
         """Ids of each pre-token or special string."""
         return [e.ids for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
 
+    def encode_words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each pre-token as little-endian unsigned 32-bit numbers, for a vocabulary whose pre-tokens hold no
+        white space: they are encoded as one text."""
+        encoded = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4").tobytes()
+        ends = (4 * np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(1, len(pieces) + 1))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if pieces else []
+
 
 @functools.cache
 def cutter(path: str) -> Cutter:
