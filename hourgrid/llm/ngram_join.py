@@ -34,7 +34,7 @@ from hourgrid.session import stored
 
 #: Shingles counted at a time, documents that make one frequent, and how many frequent ones are kept at most:
 #: they only set the order of the prefix filter, which finds every link in any order.
-COUNTED, FREQUENT, MOST_FREQUENT = 8_000_000, 4, 1_000_000
+COUNTED, FREQUENT, MOST_FREQUENT = 4_000_000, 4, 1_000_000
 LIST, CHUNK = 256, 2000
 #: Lists longer than this are merged with those that begin alike.
 MERGED = 8
