@@ -20,7 +20,7 @@ from hourgrid.llm import pretokens
 
 END_ID = 1
 #: Pre-tokens that a task remembers, documents cut at a time, and new pre-tokens encoded at a time.
-MEMO_ENTRIES, DOCS, TOGETHER = 1_000_000, 256, 20_000
+MEMO_ENTRIES, DOCS, TOGETHER = 700_000, 256, 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PIECES_IDS = PIECES + ", ids array<int>"
 
