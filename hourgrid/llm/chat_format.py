@@ -18,7 +18,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END, LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
@@ -131,6 +131,13 @@ def _arrow_turn() -> pa.Schema:
     )
 
 
+def whole_text(text: Column) -> Column:
+    """A turn's parts, of the fields of ``PARTS``, when the turn is one text of any length."""
+    others = (("uri", "string"), ("width", "int"), ("height", "int"), ("seconds", "double"), ("pages", "int"))
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in others]
+    return F.array(F.struct(F.lit("text").alias("type"), text.alias("text"), *nothing))
+
+
 def format_turns(turns: DataFrame) -> DataFrame:
     """Each row of ``turns`` (conv_id, turn, role, parts) formatted, with its mask and attachments.
 

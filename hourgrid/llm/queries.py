@@ -63,9 +63,7 @@ def op4_decontamination(spark, sf):
 def op5_chat_formatting(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     spoof = spark.createDataFrame([(-1, 0, "user", SPOOF), (-1, 1, "assistant", SPOOF)], rows.schema)
-    text = F.struct(F.lit("text").alias("type"), F.col("text").alias("text"))
-    whole = F.from_json(F.to_json(F.array(text)), chat_format.PARTS)
-    turns = rows.unionByName(spoof).withColumn("parts", whole)
+    turns = rows.unionByName(spoof).withColumn("parts", chat_format.whole_text(F.col("text")))
     return chat_format.conversations(chat_format.format_turns(turns))
 
 

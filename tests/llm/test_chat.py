@@ -98,3 +98,12 @@ def test_conversations_of_the_table(spark, sf_dir, read):
     rows += [(-1, 0, "user", queries.SPOOF), (-1, 1, "assistant", queries.SPOOF)]
     got = queries.queries()["op5_chat_formatting"](spark, sf_dir).collect()
     assert {r["conv_id"]: tuple(r)[1:6] for r in got} == folded(rows)
+
+
+def test_very_long_turns_are_whole(spark, tmp_path):
+    text = "long <| " * 2_700_000  # more than the 20,000,000 characters that Spark's JSON reader takes
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", text), (2, 0, "user", None)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.queries()["op5_chat_formatting"](spark, str(tmp_path)).collect()
+    rows += [(-1, 0, "user", queries.SPOOF), (-1, 1, "assistant", queries.SPOOF)]
+    assert {r["conv_id"]: tuple(r)[1:6] for r in got} == folded(rows)
