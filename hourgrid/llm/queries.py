@@ -99,7 +99,7 @@ def op9_packing(spark, sf):
 
 
 def op10_exact_top_k(spark, sf):
-    rows = table(spark, sf, "embeddings").where(topk.usable("embedding"))
+    rows = table(spark, sf, "embeddings").where(topk.finite("embedding"))
     vectors = rows.select(F.col("vec_id").cast("long").alias("id"), topk.scaled("embedding").alias("weights"))
     return topk.top_k(vectors, F.col("id") % 50 == 0)
 

@@ -50,6 +50,25 @@ def test_vectors_beyond_exact_products_take_no_part(spark):
     assert search(spark, [(0, [1e30]), (2, [1.0]), (3, [2.0])], 2) == [(2, 1, 3, 131072)]
 
 
+def test_large_components_take_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 30)
+    rng = random.Random(4)
+    sizes = (0.0, 0.5, 1.0, 3.0, 65537.0, 2.0**24 + 2, 2.0**31, 1e9, 1e12, 2.0**70, 1e30, 3.4e38)
+    draw = lambda top: [rng.choice([-1, 1]) * rng.choice(sizes[:top]) * rng.choice([1, 0.75]) for _ in range(8)]
+    rows = [(i, draw((4, 7, 9, len(sizes))[i % 4])) for i in range(150)] + [(1, [3.4e38] * 8), (50, [1e30] * 8), (50, [1e30] * 8)]
+    rows += [(200, [float("inf")] * 8), (201, [float("nan")] * 8), (202, [None] * 8), (203, None), (204, [])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/embeddings.parquet").collect()]  # as floats
+    want = [(*r[:3], r[3] if abs(r[3]) < 2**63 else None) for r in brute_top_k(rows, 50)]
+    got = queries.queries()["op10_exact_top_k"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    every = spark.read.parquet(f"{tmp_path}/embeddings.parquet").where(topk.finite("embedding"))
+    every = every.select(F.col("vec_id").alias("id"), topk.scaled("embedding").alias("weights"))
+    want = [(*r[:3], r[3] if abs(r[3]) < 2**63 else None) for r in brute_top_k(rows, 1, 200)]
+    assert sorted(map(tuple, topk.top_k(every, F.lit(True), 200).collect()), key=repr) == sorted(want, key=repr)
+    assert any(s is None for *_, s in want) and any(s is not None and abs(s) > 2**48 for *_, s in want)
+
+
 def test_top_k_of_the_embeddings(spark, sf_dir, read):
     rows = [(r["vec_id"], r["embedding"]) for r in read("embeddings").collect()]
     got = queries.queries()["op10_exact_top_k"](spark, sf_dir)
