@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.session import stored
+from hourgrid.session import scratch_path, stored
 
 SAMPLE, TREES, DEPTH, SEED = 10_000, 40, 8, 17
 LEAST_LENGTH = 12
@@ -377,7 +377,11 @@ def fit(spark: SparkSession, found: DataFrame, spoken: Language, sample: int = S
         own = found.where(F.col("known") == label).orderBy(F.xxhash64("text_hash", "start"), "text_hash", "start").limit(sample)
         rows = rows.unionByName(own.select(F.col("known").cast("double").alias("label"), "features"))
     rows = rows.select("label", array_to_vector("features").alias("features"))
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(rows.coalesce(4))
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(rows.coalesce(4))
+    # A fitted forest holds its training summary, and with it the session, which tasks cannot be sent; a read one does not.
+    path = scratch_path(spark, "forest")
+    forest.write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

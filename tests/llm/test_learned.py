@@ -6,11 +6,13 @@ import random
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from hourgrid.llm import quality_crf, queries, secret_scan, toxicity
+from hourgrid.sources import tables
 
 MID = "/root/testdata/sf0.01"
 
@@ -229,6 +231,15 @@ def test_passwords_of_any_form_are_found(documents):
     assert clean == want
 
 
+def test_secrets_after_an_observed_write(spark, documents, tmp_path):
+    """A session that has counted rows as it wrote them holds what no task can be sent."""
+    assert tables.append(spark.range(10), f"{tmp_path}/t") == 10
+    docs = documents([(i, t) for i, t in enumerate(SECRETS)])
+    assert secret_scan.scan(docs).where("is_secret").count() == sum(map(len, SECRETS.values()))
+    marked = corpus_pipeline.secrets(spark, docs, "").where(F.col("text").contains(secret_scan.MARK))
+    assert marked.count() == sum(map(bool, SECRETS.values()))
+
+
 def test_secrets_of_nothing(documents):
     found = secret_scan.scan(documents([]))
     assert found.count() == 0 and secret_scan.redact(documents([]), found).count() == 0
