@@ -183,13 +183,18 @@ _made: dict[tuple, dict] = {}
 
 
 def _once(spark, sf, name: str, make: Callable[[], dict]) -> dict:
-    """What ``make`` returns, made once for each application and source: paths of stored tables."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    """What ``make`` returns, made once for each application and state of the source's files: paths of stored tables."""
+    key = (spark.sparkContext.applicationId, name, streams.file_state(spark, f"{sf}/lineitem.parquet"))
     if key not in _made:
         _made[key] = make()
     return _made[key]
 
 
+def forget() -> None:
+    """Later queries make their stored tables anew: for measurements."""
+    _made.clear()
+
+
 def _loaded(spark, sf) -> dict:
     """A stored star of all observations: its ``root``, and the rows ``written`` to each table."""
 

@@ -47,6 +47,17 @@ def list_folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(f.getPath().getName() for f in found if f.isDirectory())
 
 
+def file_state(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of change of each file at ``path`` and below, wherever Spark can list it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, True)
+    state = []
+    while found.hasNext():
+        f = found.next()
+        state.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(state))
+
+
 def folder_below(root: str) -> Column:
     """Name of the folder directly below ``root`` in the row's file path."""
     last = root.rstrip("/").rsplit("/", 1)[-1]

@@ -37,7 +37,3 @@ def obs(spark):
         return spark.createDataFrame(parsed, schema)
 
     return make
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import plan_of
+from explained import plan_of
 from pyspark.sql import functions as F
 
 from hourgrid import fixed_values as fv

@@ -4,7 +4,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import plan_of
+from explained import plan_of
 
 import __spark_entry__ as contract
 from hourgrid.plans import registry
