@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import chat_format, queries, url_filter
+from hourgrid.llm import chat_format, queries, url_filter, vector_codes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -129,6 +129,44 @@ where rank <= 5
 """
 
 
+def _vector_codes() -> str:
+    n, size, scale = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.SCALE
+    steps = []
+    for k in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""
+near{k} as materialized (
+  select row, p, any_value(v) as v, min({{'d': d, 'e': e}}) as m
+  from (select row, p, a.v, e, list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+        from parts a join book{k} b using (p))
+  group by row, p)""")
+        if k < vector_codes.ROUNDS:
+            steps.append(f"""
+book{k + 1} as materialized (
+  select p, e, coalesce(n.v, b.v) as v
+  from book{k} b left join (
+    select p, e, list(((s - (((s % c) + c) % c)) // c)::bigint order by i) as v
+    from (select p, m.e as e, i, sum(x) as s, count(*) as c
+          from (select p, m, unnest(v) as x, unnest(range(len(v))) as i from near{k}) group by p, m.e, i)
+    group by p, e) n using (p, e))""")
+    last = vector_codes.ROUNDS
+    return f"""
+with kept as materialized (
+  select row_number() over (order by vec_id) as row, vec_id, label,
+         list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) as w
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+parts as materialized (
+  select row, p, w[p * (len(w) // {n}) + 1 : (p + 1) * (len(w) // {n})] as v from kept, (select unnest(range({n})) as p)),
+book0 as materialized (select p, row - 1 as e, v from parts where row <= {size}),
+{",".join(steps)},
+coded as (
+  select row, string_agg(printf('%02x', m.e), '' order by p) as code, sum(m.d)::bigint as error from near{last} group by row)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+       (select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) from book{last}) as codebooks_sha256
+from coded join kept using (row)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_decontamination": DECONTAMINATION,
@@ -136,4 +174,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filter": _url_filter(),
         "op8_ngram_jaccard_join": NGRAM_JOIN,
         "op10_exact_top_k": TOP_K,
+        "op11_vector_codes": _vector_codes(),
     }

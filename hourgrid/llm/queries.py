@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,16 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm import (
+    bpe,
     chat_format,
     decontaminate,
     ngram_join,
     packing,
+    periodic,
     quality_crf,
     secret_scan,
     token_counts,
     topk,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from hourgrid.llm.ship import ship_package
 
@@ -104,6 +108,46 @@ def op10_exact_top_k(spark, sf):
     return topk.top_k(vectors, F.col("id") % 50 == 0)
 
 
+def op11_vector_codes(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    books = vector_codes.train(vectors)
+    coded = vector_codes.with_label_error(vector_codes.encode(vectors, books, ["vec_id", "label"]))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op12_bpe(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf, "documents"), path).withColumn("ids_sha256", F.sha2("ids", 256))
+    decoded = bpe.decode(encoded, path)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def with_period(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words of one document in ten made periodic from some word on; which and how follows from its id."""
+    if doc_id is None or not words:
+        return words
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark, sf):
+    found = periodic.periodic_runs(table(spark, sf, "documents"), with_period).withColumn("best", periodic.strongest(F.col("runs")))
+    said = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.call_function("div", 1000 * F.col("best.length"), F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(said, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _shipped(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,6 +169,9 @@ def queries() -> dict[str, Query]:
         op8_ngram_jaccard_join,
         op9_packing,
         op10_exact_top_k,
+        op11_vector_codes,
+        op12_bpe,
+        op13_periodic_runs,
     )
     return {f.__name__: _shipped(f) for f in found}
 

@@ -1,0 +1,300 @@
+"""Vector codes, byte-pair encoding and periodic runs against plain versions and the library."""
+
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from hourgrid.llm import bpe, periodic, queries, vector_codes
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+BIG = 1 << 63
+
+
+# --- vector codes -------------------------------------------------------------------------
+
+
+def brute_nearest(query, entries):
+    return min((sum((a - b) ** 2 for a, b in zip(query, e, strict=True)), i) for i, e in enumerate(entries))
+
+
+def brute_codes(rows, parts=8, entries=16, rounds=6, scale=4096):
+    """Rows of vec_id, code, error, label_error and the digest, from (vec_id, vector, label)."""
+    fine = [(i, [math.floor(scale * x) if abs(x) < 2**40 else scale * int(x) for x in v], y) for i, v, y in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    first = sorted(fine, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    width = len(first[0][1]) // parts
+    cut = lambda w, p: w[p * width : (p + 1) * width]
+    books = [[cut(w, p) for _, w, _ in first] for p in range(parts)]
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            own = [[] for _ in book]
+            for _, w, _ in fine:
+                own[brute_nearest(cut(w, p), book)[1]].append(cut(w, p))
+            books[p] = [[sum(c) // len(o) for c in zip(*o)] if o else e for o, e in zip(own, book, strict=True)]
+    near = [[brute_nearest(cut(w, p), b) for p, b in enumerate(books)] for _, w, _ in fine]
+    errors = [sum(d for d, _ in n) for n in near]
+    total = {}
+    for (_, _, y), e in zip(fine, errors, strict=True):
+        total[y] = total.get(y, 0) + e
+    large = {y for (_, _, y), e in zip(fine, errors, strict=True) if e >= BIG}
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return sorted(
+        ((i, "".join(f"{e:02x}" for _, e in n), e if e < BIG else None, total[y] if total[y] < BIG and y not in large else None, digest)
+         for (i, _, y), n, e in zip(fine, near, errors, strict=True)), key=repr)
+
+
+def coded(spark, path, rows):
+    made = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    made.withColumns({c: F.lit("x") for c in ("code", "error", "_label", "value", "cell")}).write.parquet(f"{path}/embeddings.parquet")
+    got = queries.queries()["op11_vector_codes"](spark, str(path))
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+def as_floats(rows):
+    return [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], y) for i, v, y in rows]
+
+
+@pytest.mark.parametrize("width", [1, 3, 8])
+def test_the_tree_finds_what_comparing_all_finds(width):
+    rng = random.Random(width)
+    for top in (2, 30, 4000, 1 << 26):
+        entries = [[rng.randint(-top, top) for _ in range(width)] for _ in range(16)]
+        entries[7], entries[11] = entries[3], [1 << 80] * width  # a copy, and one beyond 64 bits
+        tree = vector_codes.Tree(entries)
+        asked = [[rng.randint(-top, top) for _ in range(width)] for _ in range(300)] + entries[:11]
+        asked += [[(a + b) // 2 for a, b in zip(entries[i], entries[i + 1], strict=True)] for i in range(6)]
+        want = [brute_nearest(q, entries) for q in asked]
+        at, distance = tree.nearest(np.array(asked, np.int64))
+        assert list(zip(distance.tolist(), at.tolist(), strict=True)) == want
+        assert [tree.nearest_of_any(q)[::-1] for q in asked] == want
+    far = [[rng.randint(-1 << 90, 1 << 90) for _ in range(width)] for _ in range(16)]
+    tree = vector_codes.Tree(far)
+    for q in [[rng.randint(-1 << 90, 1 << 90) for _ in range(width)] for _ in range(50)]:
+        assert tree.nearest_of_any(q)[::-1] == brute_nearest(q, far)
+
+
+def test_the_tree_rules_out_whole_groups():
+    rng = random.Random(1)
+    centres = [[1000 * i, -1000 * i] for i in range(4)]
+    tree = vector_codes.Tree([[c + rng.randint(-9, 9) for c in centres[i % 4]] for i in range(16)])
+    looked = []
+    entries = tree.array
+
+    class Seen(np.ndarray):
+        def __getitem__(self, key):
+            looked.append(key)
+            return np.asarray(self)[key]
+
+    tree.array = entries.view(Seen)
+    tree.nearest(np.array([centres[2]]))
+    assert len(looked) < 12
+
+
+def test_codes_of_odd_vectors(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(rng.randrange(200), [rng.choice([0.0, 0.1, -0.3, 0.25]) for _ in range(16)], rng.choice([None, 1, 2])) for _ in range(300)]
+    rows += [(None, [0.5] * 16, 1), (1, None, 1), (2, [None] + [0.1] * 15, 1), (3, [float("nan")] * 16, 2), (4, [float("-inf")] * 16, 2)]
+    assert coded(spark, tmp_path, rows) == brute_codes(as_floats(rows))
+
+
+def test_codes_of_few_large_and_no_vectors(spark, tmp_path):
+    few = [(9, [0.1 * i for i in range(8)], 1), (4, [-0.1 * i for i in range(8)], 1), (4, [0.0] * 8, None)]
+    assert coded(spark, tmp_path / "few", few) == brute_codes(as_floats(few))
+    rng = random.Random(4)
+    large = [(100 + i, [rng.choice([0.5, -2.0, 1e4, -1e9, 3.4e38, 1e30]) * rng.random() for _ in range(16)], i % 3) for i in range(60)]
+    large += [(i + 95 * (i > 11), [rng.random() for _ in range(16)], 7) for i in range(60)]
+    got = coded(spark, tmp_path / "large", large)
+    assert got == brute_codes(as_floats(large)) and any(r[2] is None for r in got) and any(r[3] for r in got)
+    assert coded(spark, tmp_path / "none", [(1, None, 1)]) == []
+
+
+def test_vectors_of_other_lengths_have_no_code(spark):
+    rows = [(1, [0.5] * 8, 1), (2, [0.25] * 8, 1), (3, [0.5] * 7, 1), (4, [], 1), (5, [0.1] * 16, 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    books = vector_codes.train(vectors)
+    got = vector_codes.with_label_error(vector_codes.encode(vectors, books, ["vec_id", "label"])).collect()
+    assert sorted((r["vec_id"], r["code"], r["error"], r["label_error"]) for r in got if r["code"]) == [
+        (1, "00" * 8, 0, 0), (2, "01" * 8, 0, 0)]
+    assert sorted(r["vec_id"] for r in got if r["code"] is None) == [3, 4, 5]
+
+
+def test_many_labels_are_joined_by_shuffle(spark, monkeypatch):
+    rows = [(i, f"{i % 50:02x}", i, None if i % 5 == 0 else i % 5) for i in range(500)]
+    frame = spark.createDataFrame(rows, "vec_id long, code string, error long, label int")
+    want = sorted(map(tuple, vector_codes.with_label_error(frame).collect()), key=repr)
+    monkeypatch.setattr(vector_codes, "BROADCAST_LABELS", 1)
+    assert sorted(map(tuple, vector_codes.with_label_error(frame).collect()), key=repr) == want and len(want) == 500
+
+
+# --- byte-pair encoding -------------------------------------------------------------------
+
+
+def words_and_noise(rng, n):
+    letters = "abcdefghijklmnopqrstuvwxyz  éßØ漢字😀\n\t\r'’0123 THEtheing.,!<|>\x00\x85 ​"
+    return "".join(rng.choice(letters) for _ in range(n))
+
+
+def test_merging_by_scan_and_by_heap_is_the_same():
+    rng, codec = random.Random(2), bpe.Codec(PATH)
+    for _ in range(500):
+        word = "".join(rng.choice("theinaor é") for _ in range(rng.randrange(0, 60))).encode()
+        assert codec.merge_short(word) == codec.merge_long(word)
+    assert codec.merge(b"") == []
+
+
+def test_every_byte_has_its_letter():
+    vocabulary = Tokenizer.from_file(PATH).get_vocab()
+    assert len(set(bpe.byte_letters())) == 256 and all(letter in vocabulary for letter in bpe.byte_letters())
+
+
+def test_encoding_and_decoding_equal_the_library(spark, documents, clashing, tmp_path):
+    rng, library = random.Random(5), Tokenizer.from_file(PATH)
+    rows = [(i, words_and_noise(rng, rng.randrange(0, 400))) for i in range(300)]
+    rows += [(300, None), (300, ""), (None, "the end<|endoftext|> of it<|endoftext|>"), (1, "<|endoftext|"), (1, rows[1][1])]
+    rows += [(400, "the"), (401, " " * 300), (402, "a" * 200_000), (403, "".join(rng.choice("etaoin") for _ in range(100_000)))]
+    rows += [(404, "wörd und text, " * 100_000), (405, "漢字" * 50_000)]
+    clashing(documents(rows), "ids", "n_tokens").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.queries()["op12_bpe"](spark, str(tmp_path)).collect()
+    want = []
+    for i, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert bpe.encode(documents([]), PATH).count() == 0
+
+
+def test_decoding_ids_that_are_no_text(spark):
+    rng, library = random.Random(6), Tokenizer.from_file(PATH)
+    rows = [[rng.choice([rng.randrange(50257), rng.randrange(256)]) for _ in range(rng.randrange(0, 30))] for _ in range(300)]
+    frame = spark.createDataFrame([(i, np.array(r, "<u4").tobytes()) for i, r in enumerate(rows)] + [(-1, None)], "doc_id long, ids binary")
+    got = {r["doc_id"]: r["text"] for r in bpe.decode(frame, PATH).collect()}
+    assert got.pop(-1) is None
+    assert got == {i: library.decode(r, skip_special_tokens=False) for i, r in enumerate(rows)}
+    assert bpe.Codec(PATH).decode(np.array([99999, 0], "<u4").tobytes()) == "!"
+
+
+def test_the_memo_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 10)
+    codec, library = bpe.Codec(PATH), Tokenizer.from_file(PATH)
+    text = " ".join(f"word{i}" for i in range(500)) + "x" * 1000
+    assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode(text).ids
+    assert len(codec.memo) <= 10 and all(len(p) <= bpe.LONG for p in codec.memo)
+
+
+# --- periodic runs ------------------------------------------------------------------------
+
+
+def brute_runs(words):
+    n, found = len(words), {}
+    for p in range(1, n // 4 + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j > i and j - i + p >= max(6, 4 * p):
+                found.setdefault((i, j - i + p), p)
+            i = max(i + 1, j)
+    return sorted((s, m, p) for (s, m), p in found.items())
+
+
+def brute_row(doc_id, text):
+    words = []
+    for word in (text or "").translate({c: " " for c in range(9, 14)}).split(" "):
+        words += [word] if word else []
+    n = len(words)
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(words)
+    gone = {i for s, m, q in runs for i in range(s + q, s + m)}
+    best = max(runs, key=lambda r: (r[1] * math.lcm(*range(1, 60)) // r[2] if r[2] < 60 else r[1] / r[2], -r[0], -r[2]), default=None)
+    for r in runs:  # exact fractions decide
+        if r[1] * best[2] > best[1] * r[2] or (r[1] * best[2] == best[1] * r[2] and (r[0], r[2]) < (best[0], best[2])):
+            best = r
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    return (
+        doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+        sha("".join(f"{s},{m},{q}\n" for s, m, q in runs)), sha(" ".join(w for i, w in enumerate(words) if i not in gone)),
+    )
+
+
+def periodic_words(rng, n, letters):
+    words = [rng.randrange(1, letters + 1) for _ in range(n)]
+    for _ in range(rng.randrange(0, 3) if n else 0):
+        a, p = rng.randrange(n), rng.randrange(1, 25)
+        b = rng.randrange(a, n) + 1
+        words[a:b] = [words[a + (i - a) % p] for i in range(a, b)]
+    return words
+
+
+def test_the_cover_takes_any_two_places_to_itself():
+    assert {(a - b) % periodic.MODULUS for a in periodic.COVER for b in periodic.COVER} == set(range(periodic.MODULUS))
+
+
+def test_common_extensions_equal_comparing_words():
+    rng = random.Random(7)
+    for _ in range(200):
+        n = rng.randrange(1, 90)
+        words = np.array(periodic_words(rng, n, rng.choice([1, 2, 4])), np.int64)
+        pairs = [(a, b) for a in range(n + 1) for b in range(n + 1) if a != b]
+        a, b = (np.array(x) for x in zip(*rng.sample(pairs, min(len(pairs), 60)), strict=True))
+        want = []
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            k = 0
+            while max(x, y) + k < n and words[x + k] == words[y + k]:
+                k += 1
+            want.append(k)
+        assert periodic.Extensions(words).common(a, b).tolist() == want
+
+
+def test_runs_equal_brute_force(monkeypatch):
+    rng = random.Random(8)
+    for together in (1 << 20, 50):
+        monkeypatch.setattr(periodic, "TOGETHER", together)
+        for _ in range(1500):
+            words = periodic_words(rng, rng.randrange(0, 150), rng.choice([1, 2, 3, 9]))
+            assert periodic.find_runs(np.array(words, np.int64)) == brute_runs(words)
+
+
+def test_only_places_of_the_cover_are_sorted():
+    words = np.array([1, 2, 3, 4, 5] * 200, np.int64)
+    own = periodic.Extensions(words)
+    assert own.common(np.array([0]), np.array([1])).tolist() == [0] and not own._sorted
+    assert own.common(np.array([0]), np.array([5])).tolist() == [995] and len(own.rank) <= len(words) * 4 // 13 + 4
+
+
+def test_runs_of_documents(spark, documents, clashing, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{x}" for x in periodic_words(rng, rng.randrange(0, 120), rng.choice([2, 5, 50])))) for i in range(300)]
+    rows += [(None, None), (None, "a " * 9), (5, ""), (5, " \t\n"), (5, "a\x0bb\x0c" * 8), (6, "a\xa0b " * 7 + "end"), (6, "a\x1cb " * 7)]
+    rows += [(7, "x y z " * 4000), (8, "one " * 20_000), (9, "a" * 2_000_000)]
+    clashing(documents(rows), "runs", "best", "start", "length", "period", "collapsed").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.queries()["op13_periodic_runs"](spark, str(tmp_path))
+    slow = {7: (0, 12_000, 3), 8: (0, 20_000, 1)}
+    rows_got = sorted(map(tuple, got.collect()), key=repr)
+    want = sorted((brute_row(i, t) for i, t in rows if i not in slow), key=repr)
+    assert [r for r in rows_got if r[0] not in slow] == [r for r in want if r[0] not in slow]
+    for i, run in slow.items():
+        (row,) = [r for r in rows_got if r[0] == i and r[1] == 1 and r[2:5] == run]
+        assert row[5] == 1000 * run[1] // run[2]
+    assert periodic.periodic_runs(documents([])).count() == 0
+
+
+def test_runs_of_the_documents(spark, sf_dir, read):
+    got = queries.queries()["op13_periodic_runs"](spark, sf_dir).collect()
+    short = [(r["doc_id"], r["text"]) for r in read("documents").collect() if len(r["text"] or "") < 6000]
+    held = {i for i, _ in short}
+    assert sorted((tuple(r) for r in got if r["doc_id"] in held), key=repr) == sorted((brute_row(*r) for r in short), key=repr)
+    assert len(got) == read("documents").count() and any(r["n_runs"] for r in got)
