@@ -31,7 +31,8 @@ def _partials() -> list[Column]:
     ]
 
 
-def _fold() -> list[Column]:
+def fold() -> list[Column]:
+    """Partials of several rows into one."""
     return [
         F.sum("n").alias("n"),
         F.sum("t_sum").alias("t_sum"),
@@ -70,10 +71,15 @@ def day_profile(
     if dim_time is not None:
         hours = obs.groupBy("time_id").agg(*_partials())
         days = hours.join(dim_time.select("time_id", F.to_date("timestamp").alias("date")), "time_id")
-        days = days.groupBy("date").agg(*_fold())
+        days = days.groupBy("date").agg(*fold())
     else:
         date = calendar.date_of_key(F.col("time_id")) if by_key else F.to_date("time")
         days = obs.groupBy(date.alias("date")).agg(*_partials())
+    return with_calendar(days)
+
+
+def with_calendar(days: DataFrame) -> DataFrame:
+    """Rows of days with their year and month."""
     return days.withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
@@ -210,8 +216,13 @@ def drill_down(
     Under avg, precipitation is summed.
     """
     grain, func, start, end = drill_arguments(group_by, agg_func, start_year, end_year)
+    return drill_days(day_profile(obs, dim_time, start, end), grain, func)
+
+
+def drill_days(days: DataFrame, grain: str, func: str) -> DataFrame:
+    """The same from rows of days."""
     keys = {"year": ["year"], "month": ["year", "month"], "day": ["year", "month", "date"]}[grain]
-    periods = day_profile(obs, dim_time, start, end).groupBy(*keys).agg(*_fold())
+    periods = days.groupBy(*keys).agg(*fold())
     temp, rain = {
         "avg": (F.try_divide(F.col("t_sum"), F.col("n")), F.col("p_sum")),
         "max": (F.col("t_max"), F.col("p_max")),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid import fixed_values as fv
+from hourgrid import schemas
 from hourgrid.functions import calendar, measures
 
 
@@ -42,20 +43,34 @@ def convert_units(df: DataFrame) -> DataFrame:
     )
 
 
+def content_print(*columns: str) -> list[Column]:
+    """Two sums over the rows' hashes: a print of a multiset of rows, whatever their order.
+
+    A changed value changes the print, and a copy adds its hash again where an exclusive or would cancel it. Each sum is over
+    31 bits of a row, so that four billion rows of a day and stream stay inside 64 bits.
+    """
+    row = F.xxhash64(*columns)
+    return [
+        F.sum(row.bitwiseAND(F.lit((1 << 31) - 1))).alias("low"),
+        F.sum(F.shiftrightunsigned(row, 33)).alias("high"),
+    ]
+
+
 def deliveries(streams: Mapping[str, DataFrame]) -> DataFrame:
-    """Per day what the streams hold: ``arrived`` rows, a ``print`` of their keys, ``most`` rows of a stream.
+    """Per day what the streams hold: ``arrived`` rows, a ``print`` of their content, ``most`` rows of a stream.
 
-    The print does not depend on the order of the rows. Rows without time are a day of their own, null.
+    The print covers keys and measures of all rows, copies too, and does not depend on their order. Rows without time are a
+    day of their own, null.
     """
-    stacked = reduce(
-        lambda a, b: a.unionByName(b), [streams[s].select(F.lit(s).alias("stream"), *fv.JOIN_KEYS) for s in fv.STREAMS]
-    )
-    per_stream = stacked.groupBy(F.to_date("time").alias("day"), "stream").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("stream", *fv.JOIN_KEYS)).alias("print")
-    )
-    return per_stream.groupBy("day").agg(
-        F.sum("n").alias("arrived"), F.bit_xor("print").alias("print"), F.max("n").alias("most")
-    )
+    per_stream = []
+    for s in fv.STREAMS:
+        rows = streams[s].select(F.lit(s).alias("stream"), *fv.JOIN_KEYS, *schemas.stream_measures(s))
+        days = rows.groupBy(F.to_date("time").alias("day"))
+        per_stream.append(days.agg(F.count(F.lit(1)).alias("n"), *content_print("stream", *fv.JOIN_KEYS, *schemas.stream_measures(s))))
+    days = reduce(lambda a, b: a.unionByName(b), per_stream).groupBy("day")
+    half = F.lit(1 << 31).cast("long")
+    whole = (F.sum(F.col("high") % half) % half) * half + F.sum(F.col("low") % half) % half
+    return days.agg(F.sum("n").alias("arrived"), whole.alias("print"), F.max("n").alias("most"))
 
 
 def join_coverage(streams: Mapping[str, DataFrame]) -> DataFrame:

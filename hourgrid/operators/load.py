@@ -1,8 +1,8 @@
-"""Star loads that can be repeated: upsert, append of unseen facts, ledger and audit."""
+"""Star loads that can be repeated: upsert, unseen and corrected facts, profiles, ledger and audit; one version each."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from hourgrid import schemas, session
 from hourgrid.functions import calendar
-from hourgrid.operators import checks
-from hourgrid.sources import tables
+from hourgrid.operators import checks, profiles
+from hourgrid.sources import tables, versions
 
 TABLES: dict[str, T.StructType] = {
     "dim_time": schemas.DIM_TIME,
@@ -22,17 +22,22 @@ TABLES: dict[str, T.StructType] = {
 }
 
 
+#: Files of a profile from which on a load folds them into one.
+PROFILE_FILES = 48
+MEASURES = tuple(f.name for f in schemas.FACT_WEATHER.fields if f.name not in checks.FACT_KEYS)
+
+
 def create_star(spark: SparkSession, root: str) -> None:
-    """Drop and recreate the tables, empty."""
-    for name, schema in TABLES.items():
-        writer = spark.createDataFrame([], schema).write.mode("overwrite")
-        if name == "fact_weather":
-            writer = writer.partitionBy("year")
-        writer.parquet(f"{root}/{name}")
+    """Make all tables empty, as a version of its own; older versions stay until they are expired."""
+    versions.Commit(spark, root, empty=True).finish()
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
+def read_table(
+    spark: SparkSession, root: str, name: str, version: int | None = None, low: int | None = None, high: int | None = None
+) -> DataFrame:
+    """A table or profile of the star as of a version, by default the newest; facts of a range of hour keys are read from the
+    files that may hold them only."""
+    return versions.read_table(spark, root, name, (TABLES | profiles.TABLES)[name], version, low, high)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -87,33 +92,120 @@ def pending(delivered: DataFrame, ledger: DataFrame) -> DataFrame:
     return delivered.join(ledger, reduce(lambda a, b: a & b, same), "left_anti")
 
 
-def load_star(spark: SparkSession, root: str, facts: DataFrame, dim_time: DataFrame, dim_location: DataFrame) -> dict:
-    """Append what the star does not hold yet; returns the rows written per table.
+def merge_facts(stored: DataFrame, new: DataFrame, always: bool = False) -> DataFrame:
+    """What a load of ``new`` (facts with their ``revision``) changes in ``stored``: one row for each new or corrected fact.
 
-    The inputs should be stored or cheap: they are read more than once. Ids determine a
-    dimension row, so an unseen id is an insert and a known one needs no change. Of the stored
-    facts only the years and hours of the new ones are read, by folder and by row-group range.
+    A key that is not stored is new, and ``file`` is null. A stored one is corrected if the new row's revision is greater and a measure
+    differs, or with ``always`` even if none does, so that its revision is known to rows that arrive out of order. Rows
+    of an equal or smaller revision change nothing. ``stored`` has ``file``, the hash of its row's file.
     """
-    written = {}
-    for name, dim, key in (("dim_location", dim_location, "location_id"), ("dim_time", dim_time, "time_id")):
-        fresh = unseen(dim, read_table(spark, root, name), [key])
-        written[name] = tables.append(fresh, f"{root}/{name}")
+    keys = list(checks.FACT_KEYS)
+    old = stored.select(*keys, F.struct("revision", *MEASURES).alias("_old"), F.col("file").alias("file"))
+    found = new.join(old, keys, "left")
+    differs = reduce(lambda a, b: a | b, [~F.col(m).eqNullSafe(F.col("_old")[m]) for m in MEASURES])
+    corrected = (F.col("revision") > F.col("_old")["revision"]) & (F.lit(True) if always else differs)
+    return found.where(F.col("_old").isNull() | corrected).drop("_old")
 
-    low, high = facts.agg(F.min("time_id"), F.max("time_id")).first()
-    if low is None:
-        return written | {"fact_weather": 0}
-    stored = read_table(spark, root, "fact_weather").where(
-        F.col("year").between(low // 1_000_000, high // 1_000_000) & F.col("time_id").between(low, high)
-    )
-    # Laying out by ranges reads its input twice.
-    fresh = session.stored(unseen(facts, stored, checks.FACT_KEYS), "fresh")
+
+def _laid_out(facts: DataFrame) -> DataFrame:
+    """Facts as they are stored: ranges of hour and place, in order, with their year."""
     order = list(checks.FACT_KEYS)
-    laid_out = tables.spread(fresh, order).withColumn("year", calendar.year_of_key(F.col("time_id")))
-    rows, seen = tables.counted(schemas.conform_to(laid_out, schemas.FACT_WEATHER_STORED))
-    rows.sortWithinPartitions("year", *order).write.mode("append").partitionBy("year").parquet(f"{root}/fact_weather")
-    return written | {"fact_weather": seen.get["rows"]}
+    rows = tables.spread(facts, order).withColumn("year", calendar.year_of_key(F.col("time_id")))
+    return schemas.conform_to(rows, schemas.FACT_WEATHER_STORED).sortWithinPartitions("year", *order)
+
 
+def _change_facts(commit: versions.Commit, delta: DataFrame, low: int, high: int) -> tuple[int, int]:
+    """Put the changes into the version; returns facts added and facts corrected.
 
-def mark_done(days: DataFrame, root: str) -> None:
-    """Enter deliveries (day, rows, arrived, print) into the ledger, after their load."""
-    schemas.conform_to(days, schemas.LEDGER).write.mode("append").parquet(f"{root}/ledger")
+    New facts become new files. The files that hold a corrected fact are written anew, with all their other facts as
+    they are; no other file is touched.
+    """
+    name, schema = "fact_weather", schemas.FACT_WEATHER_STORED
+    paths = commit.paths(name, low, high)
+    added = commit.add(name, _laid_out(delta.where("file is null")), "time_id", "year")
+    hashes = [r["file"] for r in delta.where("file is not null").select("file").distinct().collect()]
+    if not hashes:
+        return added, 0
+    # the hash of a row's file was taken from its path below the table
+    named = commit.spark.createDataFrame([(p,) for p in paths], "path string").withColumn("file", F.xxhash64("path"))
+    touched = sorted(r["path"] for r in named.where(F.col("file").isin(hashes)).collect())
+    rows = versions.read_files(commit.spark, commit.root, name, schema, touched)
+    keys, values = list(checks.FACT_KEYS), ["revision", *MEASURES]
+    better = delta.where("file is not null").select(*keys, F.struct(*values).alias("_new"))
+    now = rows.join(better, keys, "left").withColumn("_now", F.coalesce("_new", F.struct(*values)))
+    corrected = delta.where("file is not null").count()
+    commit.remove(name, touched)
+    # a table of its own first: laying out by ranges reads its input twice
+    merged = session.stored(now.select(*keys, *[F.col("_now")[v].alias(v) for v in values]), "merged")
+    commit.add(name, _laid_out(merged), "time_id", "year")
+    return added, corrected
+
+
+def _keep_profiles(commit: versions.Commit, delta: DataFrame, corrected: bool) -> None:
+    """Bring the stored profiles up to date with the changes.
+
+    New facts add rows of their own. A profile is written anew when facts were corrected, and when it has ``PROFILE_FILES`` files.
+    """
+    fresh = delta.where("file is null").select(*schemas.FACT_WEATHER.fieldNames())
+    changed = facts = None
+    if corrected:
+        changed = delta.where("file is not null")
+        low, high = changed.agg(F.min("time_id"), F.max("time_id")).first()
+        # whole months, since a place's month is folded as a whole
+        first, last = low // 10_000 * 10_000, high // 10_000 * 10_000 + 9_999
+        facts = commit.read("fact_weather", schemas.FACT_WEATHER_STORED, first, last)
+        facts = facts.where(F.col("time_id").between(first, last)).select(*schemas.FACT_WEATHER.fieldNames())
+    for name, schema in profiles.TABLES.items():
+        paths = commit.paths(name)
+        if corrected:
+            rows = profiles.corrected_rows(name, commit.read(name, schema), fresh, changed, facts)
+        elif len(paths) >= PROFILE_FILES:
+            rows = profiles.merged(name, commit.read(name, schema).unionByName(profiles.FOLD[name](fresh)))
+        else:
+            rows, paths = profiles.FOLD[name](fresh), []
+        commit.add(name, schemas.conform_to(rows, schema))
+        commit.remove(name, paths)
+
+
+def load_star(
+    spark: SparkSession,
+    root: str,
+    facts: DataFrame,
+    dim_time: DataFrame,
+    dim_location: DataFrame,
+    revision: int | None = None,
+    done: DataFrame | None = None,
+    gate: Callable[[versions.Commit], None] | None = None,
+) -> dict:
+    """Load facts and dimensions as one version; returns the rows written per table, and the facts corrected.
+
+    The inputs should be stored or cheap: they are read more than once. Ids determine a dimension row, so an unseen id is an
+    insert and a known one needs no change. A fact whose key is stored replaces it if its revision is greater and a measure
+    differs; the revision is the number of the load unless it is given, as a number that ranks versions of the data whatever
+    the order they arrive in. Of the stored facts only files that overlap the new ones' hours are read. The profiles are
+    brought up to date, and the deliveries ``done`` entered into the ledger. ``gate`` may look at the version before it is
+    committed and raise; a load that fails at any point leaves readers with the version before it.
+    """
+    commit, written = versions.Commit(spark, root), {}
+    for name, dim, key in (("dim_location", dim_location, "location_id"), ("dim_time", dim_time, "time_id")):
+        fresh = unseen(dim, commit.read(name, TABLES[name]), [key])
+        written[name] = commit.add(name, schemas.conform_to(fresh, TABLES[name]))
+
+    written |= {"fact_weather": 0, "fact_corrected": 0}
+    low, high = facts.agg(F.min("time_id"), F.max("time_id")).first()
+    if low is not None:
+        new = facts.withColumn("revision", F.lit(commit.version if revision is None else revision).cast("long"))
+        stored = versions.read_files(spark, commit.root, "fact_weather", schemas.FACT_WEATHER_STORED, commit.paths("fact_weather", low, high))
+        file = F.xxhash64(F.substring_index(F.col("_metadata.file_path"), "/data/fact_weather/", -1)) if stored.inputFiles() else F.lit(0).cast("long")
+        stored = stored.withColumn("file", file).where(F.col("time_id").between(low, high))
+        delta = session.stored(merge_facts(stored, new, always=revision is not None), "delta")
+        if not delta.isEmpty():
+            added, corrected = _change_facts(commit, delta, low, high)
+            written |= {"fact_weather": added, "fact_corrected": corrected}
+            _keep_profiles(commit, delta, corrected > 0)
+    if done is not None:
+        commit.add("ledger", schemas.conform_to(done, schemas.LEDGER))
+    if gate:
+        gate(commit)
+    commit.finish()
+    return written

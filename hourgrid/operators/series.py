@@ -13,6 +13,8 @@ from hourgrid.functions import calendar, measures
 ORDER = ("time", "latitude", "longitude")
 # Default of spark.sql.optimizer.windowGroupLimitThreshold.
 GROUP_LIMIT = 1000
+# The sketch's error in rank is one part in so many of all rows.
+SKETCH = 10_000
 
 
 def ml_features(weather: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -39,33 +41,41 @@ def hash_sample(
 def _split_point(df: DataFrame, order: Sequence[str], test_share: float) -> DataFrame:
     """The last key of the first part, as one row.
 
-    Found from counts, from coarse to fine: the year in which the cut falls, the day in that year, the
-    minute in that day, the time in that minute, then the latitude and the longitude. Each step counts
-    with map-side combine and keeps one row per distinct value within the one before, so no step holds
-    the rows of an hour, or all the hours of all years, however many there are.
+    A sketch of the times gives two between which the cut must fall, with the number of rows, in one pass. The next
+    counts exactly: all rows before the bracket as one, and those inside by time and the first of the other
+    columns. A last one, by the rest of the key, looks only at rows that are equal in these. All count with map-side combine, so no step
+    holds the rows of an hour, however many there are. Rows without time come first.
     """
-    time = order[0]
-    coarse = {f"_{unit}": F.date_trunc(unit, time) for unit in ("year", "day", "minute")}
-    df = df.select(*order).withColumns(coarse if df.schema[time].dataType.typeName().startswith("timestamp") else {})
-    keys = [c for c in df.columns if c not in order] + list(order)
-    cut = None
-    for i, key in enumerate(keys):
-        prefix = keys[:i]
-        if cut is None:
-            counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            total = F.sum("n").over(Window.partitionBy())
-            counts = counts.withColumn("take", total - F.ceil(F.lit(test_share) * total))
-        else:
-            # ``cut`` is one row.
-            counts = df.join(F.broadcast(cut), prefix).groupBy(*prefix, key, "take")
-            counts = counts.agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(Window.partitionBy(*prefix).orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
-        cut = (
-            counts.withColumn("upto", upto)
-            .where((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take")))
-            .select(*prefix, key, (F.col("take") - F.col("upto") + F.col("n")).alias("take"))
-        )
-    return cut.select(*order)
+    time, *ties = order
+    first, rest = ties[:1], ties[1:]
+    early = F.lit("0001-01-01").cast("timestamp_ntz").cast(df.schema[time].dataType) if df.schema[time].dataType.typeName().startswith("timestamp") else None
+    at = F.coalesce(F.col(time), early) if early is not None else F.col(time)
+    rows = df.select(at.alias("_at"), *order)
+    near = [min(max(1 - test_share + side * 2 / SKETCH, 0.0), 1.0) for side in (-1, 1)]
+    bracket = F.percentile_approx("_at", near, SKETCH).alias("between")
+    total = F.count(F.lit(1))
+    sketch = rows.agg(F.struct(bracket, (total - F.ceil(F.lit(test_share) * total)).alias("take")).alias("s")).scalar()
+    low, high = sketch["between"][0], sketch["between"][1]
+
+    def cut(counts: DataFrame, keys: list[str], take: Column) -> DataFrame:
+        """The key at which ``take`` rows are reached, and how many of its rows belong to them."""
+        upto = F.sum("n").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
+        numbered = counts.withColumns({"_upto": upto, "_take": take})
+        reached = numbered.where((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("n") < F.col("_take")))
+        return reached.withColumn("_left", F.col("_take") - F.col("_upto") + F.col("n")).drop("n", "_upto", "_take")
+
+    inside = F.col("_at") >= low
+    keys = [F.when(inside, F.col(c)).alias(c) for c in ("_at", time, *first)]
+    counts = rows.where(F.col("_at") <= high).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    found = cut(counts, ["_at", *first], sketch["take"])
+    if not rest:
+        return found.select(*order)
+    there = found.select(F.struct(time, "_at", *first, "_left").alias("s")).scalar()
+    same = F.col("_at") == there["_at"]
+    for c in first:
+        same &= F.col(c).eqNullSafe(there[c])
+    counts = rows.where(same).groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
+    return cut(counts, rest, there["_left"]).select(*order)
 
 
 def chrono_split(
@@ -76,7 +86,7 @@ def chrono_split(
     ``order`` should identify a row, as the star's keys do; copies of the key at which the cut
     falls stay together in the first part, so that no observation is on both sides. The rows are
     never sorted or numbered: they are compared with that one key, so the split is a map over the
-    input after three counting passes over the key columns.
+    input after two counting passes over the key columns, and one over the rows of a single time.
     """
     if not 0 < test_share < 1:
         raise ValueError("test_share must be between 0 and 1")

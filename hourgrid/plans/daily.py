@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
@@ -13,6 +14,7 @@ from hourgrid import schemas, session
 from hourgrid.functions import calendar
 from hourgrid.operators import checks, clean, conform, decide, load, model, series, star
 from hourgrid.sources import streams
+from hourgrid.sources import versions as table_versions
 
 
 def cleaned(raw: Mapping[str, DataFrame], versions: bool = False) -> dict[str, DataFrame]:
@@ -27,26 +29,31 @@ def load_folders(
     versions: bool = False,
     max_lost: int | None = 0,
     may_wait: bool = False,
+    revision: int | None = None,
 ) -> dict:
     """Load folders of raw streams into the star below ``root``; returns rows written per table.
 
     One folder is a daily load, a list of months is a backfill: either way each stream is one
-    scan. The ledger lists the deliveries of each day by their rows and a print of their keys; what
-    it lists is passed over before anything is joined, and a day for which other rows arrive is
-    loaded again, which adds what it lacks. The joined rows are written once to the shared folder
-    for as long as the load runs.
+    scan. The ledger lists the deliveries of each day by their rows and a print of their content; what
+    it lists is passed over before anything is joined, and a day for which other rows or values arrive is
+    loaded again, which adds what it lacks and corrects what differs: a later load replaces values of an earlier one,
+    or, with ``revision``, one of a greater revision those of a smaller. The joined rows are written once to the shared
+    folder for as long as the load runs.
 
     A day may lose ``max_lost`` cells of a stream in the join, none by default and any number with
     None, and may hold no key twice. Days that fail stay pending and do not keep the others from being
     loaded; they are an error at the end, unless they ``may_wait`` for what is still to arrive. The
-    stored facts of the load are checked against the stored dimensions, and the ledger is written last.
+    facts of the load are checked against the dimensions before tables, profiles and ledger become visible, all at once.
     """
     with session.job_scratch(spark):
-        return _load(spark, cleaned(streams.scan_folders(spark, raw_root, folders), versions), root, max_lost, may_wait)
+        raw = cleaned(streams.scan_folders(spark, raw_root, folders), versions)
+        return _load(spark, raw, root, max_lost, may_wait, revision)
 
 
-def _load(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, max_lost: int | None, may_wait: bool) -> dict:
-    nothing = {"dim_location": 0, "dim_time": 0, "fact_weather": 0}
+def _load(
+    spark: SparkSession, raw: Mapping[str, DataFrame], root: str, max_lost: int | None, may_wait: bool, revision: int | None
+) -> dict:
+    nothing = {"dim_location": 0, "dim_time": 0, "fact_weather": 0, "fact_corrected": 0}
     found = conform.deliveries(raw)
     delivered = session.stored(load.pending(found, load.read_table(spark, root, "ledger")), "deliveries")
     if delivered.isEmpty():
@@ -67,11 +74,15 @@ def _load(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, max_lost
     if max_lost is not None:
         good &= F.col("lost") <= max_lost
     done = state.where(good & (F.col("rows") > 0))
-    todo = of_days(staged, done.select("day"))
-    facts = star.fact(todo)
-    written = load.load_star(spark, root, facts, star.time_dimension(todo), star.location_dimension(todo))
-    checks.require(stored_checks(spark, root, done))
-    load.mark_done(done, root)
+    bounds = done.agg(F.min("day"), F.max("day")).first()
+    written = nothing
+    if bounds[0] is not None:
+        # Read several times: facts, both dimensions, and the range of hours.
+        facts = session.stored(of_days(staged, done.select("day")), "todo")
+        written = load.load_star(
+            spark, root, star.fact(facts), star.time_dimension(facts), star.location_dimension(facts), revision, done,
+            lambda version: checks.require(stored_checks(version, *bounds)),
+        )
     if not may_wait:
         checks.require(failed_days(state.where(~good)))
     return written
@@ -100,24 +111,25 @@ def failed_days(failed: DataFrame) -> DataFrame:
     return totals.select(F.inline(F.array(*rows))).withColumn("passed", F.col("bad_rows") == 0)
 
 
-def stored_checks(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
-    """Facts of the days, as stored, whose hour or place the stored dimensions lack."""
-    facts, dim_time, dim_location = (load.read_table(spark, root, t) for t in ("fact_weather", "dim_time", "dim_location"))
-    first, last = days.agg(F.min("day"), F.max("day")).first()
-    if first is not None:
-        low, high = (int(d.strftime("%Y%m%d")) * 100 for d in (first, last))
-        facts = facts.where(F.col("year").between(first.year, last.year) & F.col("time_id").between(low, high + 23))
+def stored_checks(commit: table_versions.Commit, first: dt.date, last: dt.date) -> DataFrame:
+    """Facts of the days, as a version will have them, whose hour or place its dimensions lack."""
+    low, high = (int(d.strftime("%Y%m%d")) * 100 for d in (first, last))
+    facts = commit.read("fact_weather", load.TABLES["fact_weather"], low, high + 23)
+    facts = facts.where(F.col("year").between(first.year, last.year) & F.col("time_id").between(low, high + 23))
+    dim_time, dim_location = (commit.read(t, load.TABLES[t]) for t in ("dim_time", "dim_location"))
     found = checks.orphans(facts, dim_time, "time_id", "fact_time_known").unionByName(
         checks.orphans(facts, dim_location, "location_id", "fact_location_known")
     )
     return found.withColumn("passed", F.col("bad_rows") == 0)
 
 
-def open_star(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Facts, time and location dimensions as stored; also registered as temporary views."""
+def open_star(spark: SparkSession, root: str, version: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Facts, time and location dimensions of a version, by default the newest; also registered as temporary views."""
+    version = table_versions.newest(spark, root) if version is None else version
     facts, dim_time, dim_location = (
-        load.read_table(spark, root, name) for name in ("fact_weather", "dim_time", "dim_location")
+        load.read_table(spark, root, name, version) for name in ("fact_weather", "dim_time", "dim_location")
     )
+    facts = facts.drop("revision")
     facts.createOrReplaceTempView("fact_weather")
     dim_time.createOrReplaceTempView("dim_time")
     dim_location.createOrReplaceTempView("dim_location")

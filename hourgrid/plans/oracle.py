@@ -353,7 +353,7 @@ select "check", bad_rows, bad_rows = 0 as passed from bad""",
     for grain in ("year", "month", "day"):
         for func in ("avg", "max", "min"):
             sql[f"drill_{grain}_{func}"] = _drill(grain, func)
-    return sql | _star_sql(sql)
+    return sql | _star_sql(sql) | _corrected_sql(sql)
 
 
 # The latest window of the stored star, and the climatology of the earlier part as its prediction.
@@ -367,6 +367,40 @@ summary as (
          avg(wind_speed_ms) as avg_wind, sum(precipitation_mm) as total_precip from served)"""
 
 
+# The star after two loads, of which the second corrects what it holds of the first.
+CORRECTED = W.replace("w as (", "w0 as (") + """,
+w as (
+  select * replace (temperature_c + case when hour % 7 = 0 and time < timestamp '1999-07-01' then 10 else 0 end as temperature_c)
+  from w0)"""
+
+
+def _corrected_sql(sql: dict[str, str]) -> dict[str, str]:
+    extreme = "(temperature_c > 35 or temperature_c < -20)"
+    stored = "with " + CORRECTED + WS.removeprefix(W)
+    shown = f"{time_key('time')} as time_id, time as timestamp, latitude, longitude"
+    raised = f"select {shown}, {MEASURES.replace('temperature_c', 'temperature_c + case when hour % 7 = 0 then 10 else 0 end as temperature_c', 1)}"
+    factors = ", ".join(f"{_correlation(col)} as {code}" for code, _, col in fv.FACTORS)
+    return {
+        "fact_correction": f"{stored} select {shown}, {MEASURES} from ws",
+        "star_before_correction": f"with {WS} {raised} from ws where time < timestamp '2000-01-01'",
+        "profile_kpi": sql["kpi"].replace(W, CORRECTED),
+        "profile_trend": sql["yearly_trend"].replace(W, CORRECTED),
+        "profile_histogram": sql["temp_histogram"].replace(W, CORRECTED),
+        "profile_drill_day": _drill("day", "max", "ws").replace(W, CORRECTED),
+        "profile_drill_range": _drill("month", "avg", "ws where year between 1997 and 2000").replace(W, CORRECTED),
+        "profile_correlations": f"{stored} select {factors} from ws where year between 1996 and 1999",
+        "place_extreme_days": f"""{stored}
+select latitude, longitude, year, count(distinct time::date) as extreme_days from ws where {extreme} group by 1, 2, 3""",
+        "region_extreme_days": f"""{stored}
+select year, count(distinct time::date) as extreme_days from ws
+where {extreme} and latitude between 40 and 42 and longitude between 70 and 76 group by 1""",
+        "redelivered_days": f"""with {STREAMS}
+select distinct strftime(time, '%Y-%m-%d') as day from accum where dayofyear(time) % 50 = 7 and latitude = 40
+union
+select distinct strftime(time, '%Y-%m-%d') from extreme where dayofyear(time) % 60 = 11 and longitude = 70""",
+    }
+
+
 def _star_sql(sql: dict[str, str]) -> dict[str, str]:
     """The queries over the stored star, and those of the forest."""
     return {

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from hourgrid import fixed_values as fv
 from hourgrid import session
 from hourgrid.functions import calendar, measures
-from hourgrid.operators import analytics, checks, clean, conform, decide, load, model, series, star
+from hourgrid.operators import analytics, checks, clean, conform, decide, load, model, profiles, series, star
 from hourgrid.plans import daily
-from hourgrid.sources import binding, streams, tables
+from hourgrid.sources import binding, streams, tables, versions
 from hourgrid.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -274,6 +274,98 @@ def late_day_reload(spark, sf):
     return star.weather_full(facts.drop("year"), times, places).drop("location_id")
 
 
+def _corrected(spark, sf) -> dict:
+    """A stored star of two loads that overlap by half a year: its ``root`` and the version ``before`` the second.
+
+    The first brings preliminary temperatures for some hours, ten degrees too high; the second adds the later years and
+    corrects what it holds of the first.
+    """
+
+    def make() -> dict:
+        root = session.scratch_path(spark, "corrected")
+        load.create_star(spark, root)
+        keyed = _observed(spark, sf).withColumns({"max_temp_c": F.col("temperature_c"), "min_temp_c": F.col("temperature_c")})
+        keyed = session.stored(keyed, "observed")
+        too_high = F.col("temperature_c") + F.when(F.hour("time") % 7 == 0, 10.0).otherwise(0.0)
+        first = keyed.where(F.col("time_id") < 2000010100).withColumn("temperature_c", too_high)
+        before = None
+        for rows in (first, keyed.where(F.col("time_id") >= 1999070100)):
+            load.load_star(spark, root, star.fact(rows), star.time_dimension(rows), star.location_dimension(rows))
+            before = versions.newest(spark, root) if before is None else before
+        return {"root": root, "before": before}
+
+    return _once(spark, sf, "corrected", make)
+
+
+_SHOWN = ("time_id", "timestamp", "latitude", "longitude", *_FACT_COLUMNS[2:])
+
+
+def fact_correction(spark, sf):
+    """The star after a load that corrects stored facts: the later value of each key."""
+    facts, times, places = daily.open_star(spark, _corrected(spark, sf)["root"])
+    return star.weather_full(facts.drop("year"), times, places).select(*_SHOWN)
+
+
+def star_before_correction(spark, sf):
+    """The version before that load, which stays readable."""
+    made = _corrected(spark, sf)
+    facts, times, places = daily.open_star(spark, made["root"], made["before"])
+    return star.weather_full(facts.drop("year"), times, places).select(*_SHOWN)
+
+
+def _profile(spark, sf, name: str):
+    return load.read_table(spark, _corrected(spark, sf)["root"], name)
+
+
+def profile_kpi(spark, sf):
+    """Key indicators from the stored days of that star, without its facts; so for the others."""
+    return analytics.kpi(profiles.days(_profile(spark, sf, "day_profile")))
+
+
+def profile_trend(spark, sf):
+    return analytics.yearly_trend(profiles.days(_profile(spark, sf, "day_profile")))
+
+
+def profile_histogram(spark, sf):
+    return analytics.temp_histogram(profiles.days(_profile(spark, sf, "day_profile")))
+
+
+def profile_drill_day(spark, sf):
+    return analytics.drill_days(profiles.days(_profile(spark, sf, "day_profile")), "day", "max")
+
+
+def profile_drill_range(spark, sf):
+    return analytics.drill_days(profiles.days(_profile(spark, sf, "day_profile"), 1997, 2000), "month", "avg")
+
+
+def profile_correlations(spark, sf):
+    return profiles.correlations(_profile(spark, sf, "day_moments"), 1996, 1999)
+
+
+def place_extreme_days(spark, sf):
+    """Distinct days with an extreme hour of each place and year, from bits by month."""
+    found = profiles.extreme_days_by_place(_profile(spark, sf, "place_months"))
+    places = load.read_table(spark, _corrected(spark, sf)["root"], "dim_location")
+    return star.join_dimension(found, places, "location_id").drop("location_id")
+
+
+def region_extreme_days(spark, sf):
+    """The same for all places of a box together, a day counted once."""
+    places = load.read_table(spark, _corrected(spark, sf)["root"], "dim_location")
+    box = places.where(F.col("latitude").between(40.0, 42.0) & F.col("longitude").between(70.0, 76.0))
+    return profiles.extreme_days_of(_profile(spark, sf, "place_months"), box)
+
+
+def redelivered_days(spark, sf):
+    """Days pending after all were delivered, and some again: with other values, with copies of rows, or as they were."""
+    raw = {s: session.stored(df, s) for s, df in binding.raw_streams(spark, sf).items()}
+    ledger = session.stored(conform.deliveries(raw), "ledger")
+    rain = raw["accum"].withColumn("tp", F.when((F.dayofyear("time") % 50 == 7) & (F.col("latitude") == 40.0), F.col("tp") + 0.001).otherwise(F.col("tp")))
+    warm = raw["max"].where((F.dayofyear("time") % 60 == 11) & (F.col("longitude") == 70.0))
+    again = raw | {"accum": rain, "max": raw["max"].unionByName(warm).unionByName(warm)}
+    return load.pending(conform.deliveries(again), ledger).select("day")
+
+
 def _write_raw(cells: DataFrame, folder: str) -> None:
     """The four raw streams as files, as they arrive."""
     for name, df in binding.streams_of(cells).items():
@@ -569,6 +661,8 @@ _PLAIN = (
     quality_checks, late_day_reload,
     star_kpi, star_trend, star_histogram, star_correlations, star_drill_range, star_drill_known_hours,
     star_features, star_latest, serve_hours, serve_summary, serve_advice,
+    fact_correction, star_before_correction, profile_kpi, profile_trend, profile_histogram, profile_drill_day,
+    profile_drill_range, profile_correlations, place_extreme_days, region_extreme_days, redelivered_days,
 )
 
 

@@ -77,10 +77,13 @@ FACT_WEATHER = T.StructType(
     ]
 )
 
-# How fact_weather lies on disk: one folder per year, so that a year range skips folders.
-FACT_WEATHER_STORED = T.StructType(FACT_WEATHER.fields + [T.StructField("year", T.IntegerType())])
+# How fact_weather lies on disk: with the revision that decides between two values of a fact, and one folder per
+# year, so that a year range skips folders.
+FACT_WEATHER_STORED = T.StructType(
+    FACT_WEATHER.fields + [T.StructField("revision", T.LongType()), T.StructField("year", T.IntegerType())]
+)
 
-# One row for each delivery of a day: facts staged, raw rows over all streams, and a print of their keys.
+# One row for each delivery of a day: facts staged, raw rows over all streams, and a print of their content.
 LEDGER = T.StructType(
     [
         T.StructField("day", T.DateType()),

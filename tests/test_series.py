@@ -127,3 +127,15 @@ def test_more_latest_hours_than_spark_limits_by_itself(spark, monkeypatch):
     want = sorted(map(tuple, series.latest_hours_per_location(df, 30).collect()))
     monkeypatch.setattr(series, "GROUP_LIMIT", 5)
     assert sorted(map(tuple, series.latest_hours_per_location(df, 30).collect())) == want and len(want) == 270
+
+
+def test_split_of_a_hot_hour_and_of_rows_without_time(spark, tmp_path):
+    rows = [(dt.datetime(2024, 1, 1, 5), 40.0 + i % 9, 70.0 + i // 9) for i in range(300)]  # one hour holds most rows
+    rows += [(dt.datetime(2024, 1, 1 + i % 3, i % 24), 40.0, 60.0 - i) for i in range(90)] + [(None, 40.0, 70.0 + i) for i in range(30)]
+    spark.createDataFrame(rows, "time timestamp_ntz, latitude double, longitude double").write.parquet(f"{tmp_path}/t")
+    for share in (0.01, 0.2, 0.5, 0.95, 0.99):
+        split = series.chrono_split(spark.read.parquet(f"{tmp_path}/t"), share)
+        got = {tuple(r)[:3]: r["is_test"] for r in split.collect()}
+        ordered = sorted(rows, key=lambda r: (r[0] is not None, r))
+        n = len(rows) - math.ceil(share * len(rows))
+        assert [got[r] for r in ordered] == [False] * n + [True] * (len(rows) - n)
