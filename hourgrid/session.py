@@ -60,10 +60,14 @@ def job_scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _jobs[:] = [j for j in _jobs if j is not made]
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in made:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
