@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.llm import decontaminate, ngram_join, packing, quality_crf, secret_scan
 from hourgrid.llm.ship import ship_package
-from hourgrid.session import stored
+from hourgrid.session import delete, job_scratch, scratch_path, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,22 +29,38 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_crf.score(docs, model).where("score >= 0.5").select(docs.columns)
 
 
+def with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, and its name; stored, so that the keys stay what they are.
+
+    Null and repeated doc_ids do not tell rows apart.
+    """
+    key = "row"
+    while key in docs.columns:
+        key += "_"
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that is linked by sets of five-word shingles of similarity 0.8 or more.
 
-    The one with the least doc_id stays; rows without doc_id stay.
+    The one with the least doc_id stays, null last; of several rows with one doc_id any one. Rows without a word stay.
     """
     ship_package(spark)
-    groups = ngram_join.near_groups(docs, words=5, num=80, den=100)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows, key = with_rows(docs)
+    groups = ngram_join.near_groups(rows.select(F.col(key).alias("doc_id"), "text"), words=5, num=80, den=100)
+    groups = groups.select(F.col("doc_id").alias(key), F.col("component_id").alias("group"))
+    ids = rows.select(key, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key).alias("place"))
+    first = ids.join(groups, key).groupBy("group").agg(F.min("place")[key].alias(key))
+    return rows.join(first.select(key), key, "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; each row is judged by itself, whatever its doc_id."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = decontaminate.contaminated(docs, items).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows, key = with_rows(docs)
+    found = decontaminate.contaminated(rows.select(F.col(key).alias("doc_id"), "text"), items)
+    gone = found.select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(gone, key, "left_anti").select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,8 +87,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what one returns is written to the shared folder and read by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what one returns is written to the shared folder and read by the next.
+
+    What a stage stored for itself goes when it is done, and its documents once the next are written; only those that packing still
+    reads, whose secrets are replaced, are left for the cluster to expire.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with job_scratch(spark):
+            after = stage(spark, docs, sf_dir)
+            after.write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.schema(after.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

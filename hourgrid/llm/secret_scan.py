@@ -13,7 +13,7 @@ from __future__ import annotations
 import bisect
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,9 @@ LEAST_LENGTH = 12
 #: Least length of a value that a neighbour word names.
 NAMED_LENGTH = 6
 DICTIONARY, DICTIONARY_WORD = 20_000, re.compile(r"[a-z]{3,12}")
-#: Distinct words that a task counts before it passes on those seen twice and more.
+#: A word of the dictionary is one in so many of all words at least.
+ONE_IN = 100_000
+#: Distinct words that a task counts before it passes their counts on.
 COUNTED = 200_000
 #: Up to how many findings are brought to the documents by broadcast.
 BROADCAST_FINDINGS = 100_000
@@ -41,7 +43,7 @@ NEIGHBOUR = re.compile(r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api|key|aut
 STEMS = "pass pwd secret token api key auth bearer credential private access".split()
 #: From the end of a stem to the value that it names: by assignment, or after blanks.
 TO_VALUE = re.compile(r"\w{0,40}[\"'`\])]{0,2}(?:\s{0,20}(?:=>|:=|={1,3}|:)\s{0,20}|[ \t]{1,20}(?:is[ \t]{1,20})?)(?P<quote>[\"'`]?)")
-UNQUOTED = re.compile(r"[^\s\"'`]+")
+QUOTE_OR_BLANK = re.compile(r"[\s\"'`]")
 ASSIGNED = re.compile(rf"{NEIGHBOUR.pattern}\w{{0,40}}[\"'`\])]{{0,2}}\s{{0,20}}(?:=>|:=|={{1,3}}|:)\s{{0,20}}[\"'`]?$")
 FOLLOWS = re.compile(rf"{NEIGHBOUR.pattern}\w{{0,40}}[ \t]{{1,20}}(?:is[ \t]{{1,20}})?[\"'`]?$")
 #: A value that is a name with a value of its own.
@@ -81,43 +83,84 @@ def _credentials(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("://", at + 3)
 
 
-def _without_stops(value: str) -> str:
-    """The value without closing stops and without brackets that it does not open."""
-    while value and (value[-1] in ".,;:" or any(value[-1] == b and value.count(a) < value.count(b) for a, b in ("()", "[]", "{}"))):
-        value = value[:-1]
-    return value
+#: What ``_without_stops`` never takes from a value's end.
+NO_STOP = re.compile(r"[^.,;:)\]}]")
+PAIRS = {")": "(", "]": "[", "}": "{"}
 
 
-def _named(text: str) -> Iterator[tuple[int, int]]:
-    """Start and end of the values that neighbour words name, up to the closing quote or white space."""
+def _without_stops(text: str, start: int, end: int) -> int:
+    """The end of a value without closing stops and without brackets that it does not open."""
+    open_ = {b: text.count(a, start, end) - text.count(b, start, end) for b, a in PAIRS.items()}
+    while end > start:
+        last = text[end - 1]
+        if last in PAIRS and open_[last] < 0:
+            open_[last] += 1
+        elif last not in ".,;:":
+            break
+        end -= 1
+    return end
+
+
+class _Next:
+    """The next place of something from a position on, for positions that only grow: each part of a text is read once."""
+
+    def __init__(self, text: str, found: Callable[[int], int]):
+        self.found, self.none, self.at = found, len(text) + 1, -1
+
+    def __call__(self, start: int) -> int:
+        if self.at < start:
+            place = self.found(start)
+            self.at = self.none if place < 0 else place
+        return self.at
+
+
+def _named(text: str, taken_to: int = 0) -> Iterator[tuple[int, int]]:
+    """Start and end of the values that neighbour words name, up to the closing quote or white space, in order and apart."""
     low = text.lower()
     if len(low) != len(text):  # a few letters change their length
         low = "".join(c.lower() if c.isascii() else c for c in text)
+    values: dict[int, str] = {}
     for stem in STEMS:
         at = low.find(stem)
         while at >= 0:
             at += len(stem)
             if m := TO_VALUE.match(text, at):
-                start, end = m.end(), -1
-                if quote := m["quote"]:
-                    end, line = text.find(quote, start), text.find("\n", start)
-                    end = -1 if 0 <= line < end else end
-                if end < 0:
-                    value = UNQUOTED.match(text, start)
-                    end = start + len(_without_stops(value[0])) if value else start
-                decided = ACCESS_KEY.match(text, start, end) or HEX.match(text, start, end)
-                if decided and not text[decided.end() : decided.end() + 1].isalnum():
-                    end = min(end, decided.end())
-                if end - start >= NAMED_LENGTH and text[start:end] != MARK and not OWN_NAME.match(text, start, end):
-                    yield start, end
+                values[m.end()] = m["quote"]
             at = low.find(stem, at)
+    line = _Next(text, lambda i: text.find("\n", i))
+    closing = {q: _Next(text, lambda i, q=q: text.find(q, i)) for q in "\"'`"}
+    blank = _Next(text, lambda i: m.start() if (m := QUOTE_OR_BLANK.search(text, i)) else len(text))
+    for start in sorted(values):
+        if start < taken_to:
+            continue
+        end, quoted = -1, values[start]
+        if quoted:
+            end = closing[quoted](start)
+            end = -1 if end > len(text) or line(start) < end else end
+        closed = end >= 0
+        end = end if closed else blank(start)
+        decided = ACCESS_KEY.match(text, start, end) or HEX.match(text, start, end)
+        if decided and not text[decided.end() : decided.end() + 1].isalnum():
+            end = decided.end()
+        else:
+            own = OWN_NAME.match(text, start, end)
+            if own and (closed or NO_STOP.search(text, own.end(), end)):
+                continue
+            if not closed:
+                end = _without_stops(text, start, end)
+                if own and own.end() <= end:
+                    continue
+        if end - start >= NAMED_LENGTH and not (end - start == len(MARK) and text.startswith(MARK, start)):
+            yield start, end
+            taken_to = end
 
 
 def _outside(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     """The parts of a span that no span of ``taken``, in order and apart, covers."""
-    for a, b in taken[max(0, bisect.bisect_right(taken, (start,)) - 1) :]:
-        if a >= end:
-            break
+    at = max(0, bisect.bisect_right(taken, (start,)) - 1)
+    while at < len(taken) and taken[at][0] < end:
+        a, b = taken[at]
+        at += 1
         if b > start:
             if a > start:
                 yield start, a
@@ -129,15 +172,11 @@ def _outside(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tup
 def candidates(text: str) -> Iterator[tuple[int, int]]:
     """Start and end of each candidate, in order and apart.
 
-    Users and passwords of addresses come first, then named values, the longer of two that begin together, then runs;
-    each has what those before it left.
+    Users and passwords of addresses come first, then named values, then runs; each has what those before it left. The time
+    grows with the text's length, whatever it holds.
     """
     taken = sorted(set(_credentials(text)))
-    more, at = [], 0
-    for start, end in sorted(set(_named(text)), key=lambda x: (x[0], -x[1])):
-        if start >= at:
-            more += [(a, b) for a, b in _outside(start, end, taken) if b - a >= NAMED_LENGTH]
-            at = end
+    more = [x for a, b in _named(text) for x in _outside(a, b, taken) if x[1] - x[0] >= NAMED_LENGTH]
     taken = sorted(taken + more)
     if not taken:
         yield from _runs(text)
@@ -207,7 +246,8 @@ class Language:
 def features(text: str, start: int, end: int, language: Language) -> list[float]:
     value, n = text[start:end], end - start
     before, after = text[max(0, start - 40) : start], text[end : end + 2]
-    line = text[max(text.rfind("\n", 0, start) + 1, start - 120) : start]
+    near = max(0, start - 120)
+    line = text[max(text.rfind("\n", near, start) + 1, near) : start]
     share = lambda ok: sum(map(ok, value)) / n
     words = re.findall(r"\w+", before)
     return [
@@ -218,7 +258,7 @@ def features(text: str, start: int, end: int, language: Language) -> list[float]
         share(lambda c: not c.isalnum()),
         language.likelihood(value),
         len(set(value)) / min(n, 64),
-        language.covered(value[:200]),
+        language.covered(value),
         float("/" in value or "." in value or before.endswith("/")),
         float("@" in value),
         float(bool(words and NEIGHBOUR.search(words[-1]))),
@@ -233,10 +273,10 @@ def features(text: str, start: int, end: int, language: Language) -> list[float]
 def _language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, words = np.zeros((129, 129), np.int64), Counter()
 
-    def seen(least: int) -> pa.RecordBatch:
-        kept = {w: n for w, n in words.items() if n >= least}
+    def seen() -> pa.RecordBatch:
+        counted = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(words.values(), pa.int64())], ["item", "n"])
         words.clear()
-        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array(kept.values(), pa.int64())], ["item", "n"])
+        return counted
 
     for batch in batches:
         for text in batch.column("text"):
@@ -244,10 +284,10 @@ def _language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(raw), 1 << 20):  # bounded arrays for very long texts
                 c = Language.codes(raw[a : a + (1 << 20) + 1])
                 counts += np.bincount(c[:-1] * 129 + c[1:], minlength=129 * 129).reshape(129, 129)
-            words.update(w for w in raw.decode().lower().split() if 3 <= len(w) <= 12)
+            words.update(w for w in raw.decode().lower().split() if DICTIONARY_WORD.fullmatch(w))
             if len(words) >= COUNTED:
-                yield seen(2)
-    yield seen(1)
+                yield seen()
+    yield seen()
     pairs = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array([f"\t{p}" for p in pairs], pa.string()), pa.array(counts.ravel()[pairs])], ["item", "n"])
 
@@ -255,15 +295,17 @@ def _language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def language(docs: DataFrame) -> Language:
     """Transitions and the most frequent words, counted over all documents (text).
 
-    The driver gets a count for each pair of characters and ``DICTIONARY`` words at most.
+    The driver gets a count for each pair of characters and the ``DICTIONARY`` most frequent words at most, each at
+    least one in ``ONE_IN`` of all words: so many can stand for the whole language, whatever the corpus' size.
     """
     counts = docs.select("text").mapInArrow(_language, "item string, n long").groupBy("item").agg(F.sum("n").alias("n"))
     counts = stored(counts, "language")
     transitions = np.zeros(129 * 129)
     for r in counts.where(F.col("item").startswith("\t")).collect():
         transitions[int(r["item"])] = r["n"]
-    words = counts.where(F.col("item").rlike(f"^{DICTIONARY_WORD.pattern}$")).where("n >= 20")
-    top = words.orderBy(F.desc("n"), "item").limit(DICTIONARY).select("item").collect()
+    words = counts.where(~F.col("item").startswith("\t"))
+    least = words.agg(F.sum("n") / ONE_IN).scalar()
+    top = words.where(F.col("n") >= least).orderBy(F.desc("n"), "item").limit(DICTIONARY).select("item").collect()
     return Language(transitions.reshape(129, 129), {r["item"] for r in top})
 
 
@@ -285,8 +327,11 @@ def _find(spoken: Language):
     return run
 
 
-#: Parts of the shouted words among the given findings.
-SYLLABLES = ["TION", "ING", "THE", "ER", "RE", "AN", "CHEN", "MENTE", "OU"]
+#: Common words, parts of the given passwords, and what stands where a password would.
+COMMON = """apple battle castle dragon engine forest guitar hammer island jungle kitchen ladder market needle orange planet
+quiet river silver table under valley winter yellow bridge candle desert family garden horse""".split()
+FILLERS = """required optional string password disabled enabled undefined unknown changed expired missing <password> ${PASSWORD}
+******** xxxxxxxx YOUR_PASSWORD self.password get_token() os.environ null,true settings.secret %(password)s {{token}}""".split()
 
 
 def given_findings(n: int = 400) -> list[tuple[str, int, int, int]]:
@@ -313,20 +358,13 @@ def given_findings(n: int = 400) -> list[tuple[str, int, int, int]]:
             ("on ", f"2024-0{1 + i % 9}-11T0{i % 9}:30:00", " it began"),
             ("version ", f"release-{i % 9}.{i % 7}.12-final", " came"),
             ("call ", f"+49-30-{100000 + i * 31}-{i % 10}", " now"),
-            ("SO IT!! ", "".join(rng.choice(SYLLABLES, 6)), "!! IS!!"),
+            ("and ", "".join(rng.choice(COMMON, 3)).upper(), str(rng.choice(["!", " ", ", "])) + "it"),
         )[i % 7]
         for (a, value, b), label in ((secret, 1), (plain, 0)):
             out.append((a + value + b, len(a), len(a) + len(value), label))
     return out
 
 
-#: Common words, parts of the given passwords, and what stands where a password would.
-COMMON = """apple battle castle dragon engine forest guitar hammer island jungle kitchen ladder market needle orange planet
-quiet river silver table under valley winter yellow bridge candle desert family garden horse""".split()
-FILLERS = """required optional string password disabled enabled undefined unknown changed expired missing <password> ${PASSWORD}
-******** xxxxxxxx YOUR_PASSWORD self.password get_token() os.environ null,true settings.secret %(password)s {{token}}""".split()
-
-
 def given_passwords(n: int = 1200) -> list[tuple[str, int, int, int]]:
     """Labelled findings as ``given_findings``: named values and passwords in addresses, of any form."""
     rng = np.random.default_rng(SEED + 1)
@@ -357,7 +395,7 @@ def given_passwords(n: int = 1200) -> list[tuple[str, int, int, int]]:
             ("a key ", f"{word()}-{word()}-{word()}", " thing"),
             ("a private ", f"{word()},{word()}", " thing"),
             ("the access ", f"{2000 + i}-01-{10 + i % 19}T00:00:00", " log"),
-            ("the key ", word().upper() + "!!", " was"),
+            ("the key ", word().upper() + str(rng.choice(["!", "!!", "?", "...", ":"])), " was"),
         )[i % 7]
         out.append((a + value + b, len(a), len(a) + len(value), 0))
     return out

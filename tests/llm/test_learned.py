@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -177,6 +178,34 @@ def test_candidates_lie_inside_their_texts():
         assert all(x[1] <= y[0] for x, y in itertools.pairwise(found))
 
 
+@pytest.mark.parametrize("unit", ["key=", "key=!", "key='", "key=.", "token: (", "password ", "://a:b", "key=x)", "a1", "key=abcdef1 "])
+def test_candidates_of_a_megabyte_take_seconds(unit):
+    text = unit * (1_000_000 // len(unit))
+    start = time.perf_counter()
+    found = list(secret_scan.candidates(text))
+    assert time.perf_counter() - start < 20
+    assert all(x[1] <= y[0] for x, y in itertools.pairwise(found))
+
+
+UNNAMED = "0641917ea4e9feb9cda83477b57ac2654884f485 Zx9fQ2LmV8sTq0RbYw31 ghp_16C7e42F292c6912E7710c838347Ae178B4a xoxb-2444333222-abcDEF123 4f9a-88b1-77cc-0d1e QWERTYUIOPASDFGH".split()
+
+
+def test_secrets_without_a_name_are_candidates():
+    """The gate before the forest: of these unnamed forms all are candidates; short ones and letters in lower case alone are not."""
+    for value in UNNAMED:
+        text = f"then {value} came"
+        assert (5, 5 + len(value)) in secret_scan.candidates(text)
+    for value in ("a1b2c3", "correcthorsebatterystaple"):
+        assert not list(secret_scan.candidates(f"then {value} came"))
+
+
+def test_words_are_counted_whole(documents, monkeypatch):
+    monkeypatch.setattr(secret_scan, "COUNTED", 5)
+    rows = [(i, " ".join(f"{'abcdefghij'[i % 10]}{'klmnopqrst'[j]}xyz" for j in range(10)) + " Common Wörter 123") for i in range(40)]
+    spoken = secret_scan.language(documents(rows))
+    assert spoken.words == {w for _, t in rows for w in t.lower().split() if w.isascii() and w.isalpha()}
+
+
 def test_secrets_are_found_and_redacted(documents, clashing):
     rng = random.Random(1)
     prose = [(i, " ".join(rng.choice(["the", "tion", "thanhe", "reading", "anderes"]) for _ in range(200))) for i in range(30)]
@@ -234,7 +263,9 @@ def test_passwords_of_any_form_are_found(documents):
 def test_secrets_after_an_observed_write(spark, documents, tmp_path):
     """A session that has counted rows as it wrote them holds what no task can be sent."""
     assert tables.append(spark.range(10), f"{tmp_path}/t") == 10
-    docs = documents([(i, t) for i, t in enumerate(SECRETS)])
+    rng = random.Random(1)
+    prose = [(100 + i, " ".join(rng.choice(["the", "tion", "thanhe", "reading", "anderes"]) for _ in range(200))) for i in range(30)]
+    docs = documents(prose + [(i, t) for i, t in enumerate(SECRETS)])
     assert secret_scan.scan(docs).where("is_secret").count() == sum(map(len, SECRETS.values()))
     marked = corpus_pipeline.secrets(spark, docs, "").where(F.col("text").contains(secret_scan.MARK))
     assert marked.count() == sum(map(bool, SECRETS.values()))

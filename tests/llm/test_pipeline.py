@@ -1,5 +1,6 @@
 """The corpus pipeline: each stage against a plain version of its decision, and the whole run."""
 
+import os
 import zlib
 
 import corpus_pipeline
@@ -9,6 +10,7 @@ import pytest
 from test_groups import brute_groups, brute_held
 from tokenizers import Tokenizer
 
+from hourgrid import session
 from hourgrid.llm import queries, secret_scan
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -92,11 +94,36 @@ def test_run_is_all_stages(spark, sf_dir, steps):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, steps["packing"][1].select(got.columns).collect()))
 
 
+def test_rows_are_told_apart_without_ids(spark, sf_dir, documents):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first()["text"]
+    clean = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, item), (None, item), (2, clean), (None, clean), (2, clean), (7, clean + " and some more words of its own " * 4), (3, None), (None, "")]
+    left = STAGES["benchmark decontamination"](spark, documents(rows), sf_dir)
+    assert sorted(texts(left), key=repr) == sorted([r for r in rows if r[1] != item], key=repr)
+    left = STAGES["n-gram Jaccard join"](spark, documents(rows), sf_dir)
+    assert sorted(texts(left), key=repr) == sorted([rows[0], rows[2], *rows[5:]], key=repr)
+
+
 def test_odd_documents_pass_all_stages(spark, sf_dir, documents, clashing):
-    odd = [(1, None), (1, None), (2, ""), (None, None), (None, "plain words and more of them"), (3, "x" * 50000), (4, "a\n" * 3000)]
-    docs = clashing(documents(odd), "component_id", "item_id", "length")
+    long = " ".join(f"w{i}" for i in range(60_000))
+    odd = [(1, None), (1, None), (2, ""), (None, None), (None, "plain words and more of them"), (3, "x" * 50000), (4, "a\n" * 3000), (5, long)]
+    docs = clashing(documents(odd), "component_id", "item_id", "length", "row", "group", "place")
+    empty = {1: 2, 2: 1}
     for name, stage in corpus_pipeline.STAGES:
         after = stage(spark, docs, sf_dir)
-        assert after.count() >= 0 and stage(spark, docs.limit(0), sf_dir).count() == 0
-        if name != "packing":
-            assert after.columns == docs.columns
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+        if name == "packing":
+            found = after.groupBy("doc_id").agg({"length": "sum"}).collect()
+            assert {r["doc_id"] for r in found} == {r[0] for r in odd} and {r["doc_id"]: r[1] for r in found if r["doc_id"] in empty} == empty
+            continue
+        assert after.columns == docs.columns
+        if name != "quality classifier":  # which may reject any of them; no other stage has cause to
+            assert sorted(texts(after), key=repr) == sorted(odd, key=repr), name
+
+
+def test_the_run_deletes_what_it_stored(spark, sf_dir):
+    below = f"{session.shared_folder(spark).removeprefix('file:')}/hourgrid/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(below)) if os.path.isdir(below) else set()
+    corpus_pipeline.run(spark, sf_dir)
+    (left,) = set(os.listdir(below)) - before
+    assert left.startswith("secret-scans")
