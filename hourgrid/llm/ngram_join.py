@@ -230,7 +230,8 @@ def _blocks(classes: DataFrame, num: int, den: int) -> DataFrame:
     short = lists.where(F.col("held") <= MERGED).select("classes").distinct()
     # the shingles of one passage have nearly the same list, with the same least class: their union is one list
     long = lists.where(F.col("held") > MERGED).groupBy("pivot").agg(F.array_distinct(F.flatten(F.collect_list("classes"))).alias("classes"))
-    lists = short.unionByName(long.select("classes")).select(F.monotonically_increasing_id().alias("list"), "classes")
+    # stored, so that a list keeps its number when a lost task runs again
+    lists = stored(short.unionByName(long.select("classes")).select(F.monotonically_increasing_id().alias("list"), "classes"), "lists")
     rows = lists.select("list", F.explode("classes").alias("class")).join(classes.select("class", "n", "bits"), "class")
     rows = rows.repartition("list").sortWithinPartitions("list").select("list", "class", "n", "bits")
     near = rows.mapInArrow(_candidates(num, den), "a long, b long")

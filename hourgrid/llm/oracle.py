@@ -114,16 +114,17 @@ select a as doc_id, coalesce(any_value(n), 0) as n_shingles, min(b) as component
 from reach left join sizes on sizes.doc_id = a group by a
 """
 
+# Whole numbers of 128 bits hold the products of components up to 2^48; larger ones SQL leaves out.
 TOP_K = """
 with vectors as (
-  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::hugeint) as w
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, lambda x: coalesce(isfinite(x) and abs(256 * x::double) <= 16777216, false))) = len(embedding)),
+    and len(list_filter(embedding, lambda x: coalesce(isfinite(x) and abs(x::double) <= 281474976710656, false))) = len(embedding)),
 scores as (
-  select q.vec_id as query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.w, c.w), lambda z: z[1] * z[2])), 0)::bigint as score
+  select q.vec_id as query_id, c.vec_id, coalesce(list_reduce(list_transform(list_zip(q.w, c.w), lambda z: z[1] * z[2]), lambda a, b: a + b, 0::hugeint), 0) as score
   from vectors q join vectors c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
-select query_id, rank::int as rank, vec_id, score
+select query_id, rank::int as rank, vec_id, try_cast(score as bigint) as score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
 where rank <= 5
 """

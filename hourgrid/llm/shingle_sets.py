@@ -1,32 +1,21 @@
-"""Word shingles of a text as a set of 64-bit hashes, made by array operations.
+"""Word shingles of a text as a set of 64-bit hashes.
 
-A-Z are lower-cased and words are what lies between ASCII white space. A word's hash is a sum over its bytes,
-of a random number for the byte times a power of an odd base, all modulo 2**64; a shingle's hash is the same over
-its words, mixed at last. With fewer words than a shingle has, the whole sequence is the only shingle.
+A-Z are lower-cased and words are what lies between ASCII white space. A word's hash is eight bytes of BLAKE2b, remembered for
+a bounded number of words; a shingle's hash is a polynomial over its few words' hashes, mixed at last. With fewer words than a shingle
+has, the whole sequence is the only shingle.
 """
 
 from __future__ import annotations
 
-import numpy as np
-
-_RANDOM = np.random.default_rng(20240229).integers(1, 2**63, 260, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE, _WORD = _RANDOM[256], _RANDOM[257]
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTE = _RANDOM[:256].copy()
-_BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]  # A-Z as a-z
-_BYTE[_SPACE] = 0
-BLOCK = 1 << 16
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+import re
+from hashlib import blake2b
 
+import numpy as np
 
-_UP, _DOWN = _powers(_BASE, BLOCK), _powers(_INVERSE, BLOCK)
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Words whose hashes a task remembers, and the longest of them.
+MEMO_ENTRIES, MEMO_LENGTH = 200_000, 64
+_WORD = np.uint64(0x9FB21C651E98DF25)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -35,21 +24,25 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+class _Memo(dict):
+    """Hashes of words; emptied when it holds ``MEMO_ENTRIES``."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= MEMO_LENGTH:
+            if len(self) >= MEMO_ENTRIES:
+                self.clear()
+            self[word] = found
+        return found
+
+
+_memo = _Memo()
+
+
 def word_hashes(text: str) -> np.ndarray:
     """A hash for each word, in order."""
-    raw = np.frombuffer(text.encode(), np.uint8)
-    if not len(raw):
-        return np.empty(0, np.uint64)
-    space = _SPACE[raw]
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    bounds = np.concatenate(([0] if not space[0] else [], edge, [len(raw)] if not space[-1] else [])).astype(np.int64)
-    starts, ends = bounds[::2], bounds[1::2]
-    up, down = _UP, _DOWN
-    if len(raw) > BLOCK:
-        up, down = _powers(_BASE, len(raw)), _powers(_INVERSE, len(raw))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * up[: len(raw)], out=sums[1:])
-    return _mix((sums[ends] - sums[starts]) * down[starts])
+    words = WORD.findall(text.encode().lower())  # bytes: A-Z alone are lower-cased
+    return np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:

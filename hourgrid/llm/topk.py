@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 8192
-#: The limit of ``usable``.
-LARGEST = 2**24
 #: The greatest 64-bit score, and doubles from which on all are whole.
 MOST, WHOLE = 2**63 - 1, 2.0**53
 
@@ -43,16 +41,6 @@ def finite(vector: Column | str, scale: float = 256.0) -> Column:
     return F.coalesce(vector.isNotNull() & fine, F.lit(False))
 
 
-def usable(vector: Column | str, scale: float = 256.0) -> Column:
-    """Whether the vector is there and each component is there, finite and within ``LARGEST`` once scaled.
-
-    The search needs no such limit: ``finite`` is what the query asks for. This is the condition of its SQL.
-    """
-    vector = F.col(vector) if isinstance(vector, str) else vector
-    fine = F.forall(vector, lambda x: F.coalesce(F.abs(F.lit(scale) * x.cast("double")) <= LARGEST, F.lit(False)))
-    return F.coalesce(vector.isNotNull() & fine, F.lit(False))
-
-
 def _postings(rows: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, ...]]]:
     """Ids and greatest weights of the rows, and for each term the places of the rows that hold it, with weights.
 

@@ -209,3 +209,21 @@ def test_planted_items_are_found(spark, documents, clashing, few):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(documents(docs), none, broadcast_minima=few).count() == 0
     assert decontaminate.contaminated(documents([]), held, broadcast_minima=few).count() == 0
+
+
+def test_words_of_like_structure_differ(spark, documents):
+    """Words that a polynomial modulo a power of two cannot tell apart."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"one two three {word}"), (2, f"one two three {other}"), (3, f"ONE two three {word}")]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_groups(documents(rows), 4, 85, 100).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_words_are_cut_and_lowered_as_bytes():
+    hashes = shingle_sets.word_hashes
+    assert hashes("A\x0bb\x0cC\rd\n").tolist() == hashes("a b c d").tolist()
+    assert len(set(hashes("Ä ä K k x\x1cy x\xa0y x y").tolist())) == 7  # only ASCII is lowered or cut
+    assert len(hashes("")) == len(hashes(" \t\n")) == 0
