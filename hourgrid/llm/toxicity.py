@@ -1,10 +1,12 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and their beginnings of four and five letters, as far as their share among toxic training examples is clearly above that among the others; their document
-frequencies are counted over all documents. The examples, a bounded sample of the labelled documents (``SAMPLE``), are
-held in an inverted index whose postings lie in blocks of examples; for each term and block the greatest weight is
-known. A search takes the blocks by their upper bound and ends when no further block can reach the k-th best
-cosine, so its result is exact. The neighbours vote with their cosine as weight; a logistic curve, fitted on votes of the
+Terms are all words of the examples, a bounded sample of the labelled documents (``SAMPLE``); their document
+frequencies are counted over all documents. A term's weight is its TF-IDF, times a factor between ``FLOOR`` and 1 that grows
+with how clearly the term's share differs between the labels: no term is left out. The examples are held in an inverted
+index whose postings lie in blocks of examples; for each term and block the greatest weight is
+known. A search first sums what frequent words give, whose postings are dense; a block's upper bound is the
+greatest of these sums in it plus what its other words can add. It takes the blocks by this bound, first one, then ever more
+at once, and ends when no further block can reach the k-th best cosine, so its result is exact. The neighbours vote with their cosine as weight; a logistic curve, fitted on votes of the
 examples about each other without themselves, turns the vote into a score. The neighbours are the evidence.
 """
 
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +22,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.llm.quality_crf import sampled
-from hourgrid.session import stored
 
-#: At most so many examples of each label, terms, and neighbours; a term is in so many toxic examples at least, its
-#: share there stands out by so many standard deviations and is so many times that among the others.
-SAMPLE, TERMS, NEIGHBOURS = 2000, 512, 25
-LEAST_DOCS, LEAST_Z, LEAST_RATIO = 4, 5.0, 3.0
+#: At most so many examples of each label; neighbours that vote.
+SAMPLE, NEIGHBOURS = 512, 25
+#: Least factor of a term, and the standard score at which the rest of the factor is one half.
+FLOOR, CLEAR = 0.02, 5.0
 BLOCK = 128
-#: Weight of the dimension that all texts share, and of the vote "not toxic" that is always there.
-COMMON, DOUBT = 8.0, 0.5
-#: Sets of known terms whose neighbours a task remembers.
-MEMO_ENTRIES = 50_000
+#: Words that at least this share of the examples hold have their postings as a dense row.
+FREQUENT = 1 / 16
+#: Examples of one label whose sets of words are so alike (Jaccard) are copies.
+ALIKE = 0.8
+#: Weight of the vote "not toxic" that is always there.
+DOUBT = 0.5
+#: A lesser cosine is rounding.
+TINY = 1e-12
 WORD = re.compile(r"\w+")
 EVIDENCE = "array<struct<doc_id:bigint,cosine:double,label:int>>"
 
@@ -39,142 +44,163 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def terms_of(word: str) -> tuple[str, ...]:
-    """A word, and its beginnings, marked by a star."""
-    return (word, f"{word[:4]}*", f"{word[:5]}*") if len(word) > 5 else (word,)
-
-
-class Known:
-    """Finds the terms of a vocabulary in texts."""
-
-    def __init__(self, terms: Iterable[str]):
-        self.terms = set(terms)
-        self.begins = {n: {t[:-1] for t in self.terms if t[-1] == "*" and len(t) == n + 1} for n in (4, 5)}
-
-    def words(self, words: set[str]) -> set[str]:
-        """Those of ``words`` that have a term of the vocabulary."""
-        four, five, whole = self.begins[4], self.begins[5], self.terms
-        return {w for w in words if w in whole or (len(w) > 5 and (w[:4] in four or w[:5] in five))}
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = [Counter(words_of(text.as_py())) for text in batch.column("text")]
+        words = pa.array([sorted(c) for c in counts], pa.list_(pa.string()))
+        times = pa.array([[c[w] for w in sorted(c)] for c in counts], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), words, times], ["doc_id", "label", "words", "times"])
 
-    def counts(self, text: str | None) -> dict[str, int]:
-        words, found = words_of(text), {}
-        if own := self.words(set(words)):
-            for w, n in Counter(w for w in words if w in own).items():
-                for t in terms_of(w):
-                    if t in self.terms:
-                        found[t] = found.get(t, 0) + n
-        return found
 
+def examples(drawn: DataFrame, sample: int = SAMPLE) -> list[tuple[int, int, dict[str, int]]]:
+    """(doc_id, label, count of each word) of up to ``sample`` examples of each label from ``drawn`` (doc_id, label, text).
 
-def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [sorted({t for w in set(words_of(text.as_py())) for t in terms_of(w)}) for text in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.list_(pa.string()))], ["doc_id", "label", "terms"])
+    Of equal texts with one label the one with the least doc_id stays; an id with several texts gives an
+    example for each. Of texts whose words are alike (see ``without_copies``) one stays.
+    """
+    rows = drawn.groupBy("label", "text").agg(F.min("doc_id").alias("doc_id"))
+    order = (F.xxhash64("doc_id"), "doc_id", F.sha2("text", 256))
+    some = [rows.where(F.col("label") == y).orderBy(*order).limit(sample) for y in (0, 1)]
+    counted = some[0].unionByName(some[1]).select("doc_id", "label", "text")
+    counted = counted.mapInArrow(_word_counts, "doc_id long, label int, words array<string>, times array<long>")
+    found = [(r["doc_id"], r["label"], dict(zip(r["words"], r["times"], strict=True))) for r in counted.collect()]
+    return without_copies(sorted(found, key=lambda e: (e[0], e[1], sorted(e[2].items()))))
 
 
-def example_terms(drawn: DataFrame) -> DataFrame:
-    """Distinct terms of the examples (doc_id, label, text), one row for texts that are nearly the same.
+def without_copies(rows: list[tuple[int, int, dict[str, int]]]) -> list[tuple[int, int, dict[str, int]]]:
+    """``rows`` without those that are, by a Jaccard of ``ALIKE`` or more, copies of an earlier row of their label.
 
-    Copies of one text would make all its terms look like signs of its label. Texts with the same four least
-    term hashes count as copies.
+    Copies of one text would make all its words look like signs of its label. The bounded rows are compared through
+    the words that fewest of them have: of two that are alike, one has to hold one of the other's rarest.
     """
-    rows = drawn.select("doc_id", "label", "text").mapInArrow(_distinct_terms, "doc_id long, label int, terms array<string>")
-    least = F.slice(F.array_sort(F.transform("terms", lambda t: F.xxhash64(t))), 1, 4)
-    return rows.withColumn("least", least).dropDuplicates(["label", "least"]).select("doc_id", "label", "terms")
-
-
-def signs(rows: DataFrame, most: int = TERMS) -> list[str]:
-    """Up to ``most`` terms that mark label 1, by how clearly their shares differ."""
-    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    if not n.get(0) or not n.get(1):
-        return []
-    in_1, in_0 = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
-    found = rows.select("label", F.explode("terms").alias("term")).groupBy("term").agg(in_1.alias("a"), in_0.alias("b"))
-    share_1, share_0 = F.col("a") / n[1], F.col("b") / n[0]
-    share = (F.col("a") + F.col("b")) / (n[0] + n[1])
-    z = (share_1 - share_0) / F.sqrt(share * (1 - share) * (1 / n[1] + 1 / n[0]))
-    found = found.where(f"a >= {LEAST_DOCS} and a + b < {n[0] + n[1]}").where(share_1 >= LEAST_RATIO * share_0)
-    found = found.withColumn("z", z).where(F.col("z") >= LEAST_Z)
-    return [r["term"] for r in found.orderBy(F.desc("z"), "term").limit(most).collect()]
-
-
-def _frequencies(terms: list[str]):
+    held: Counter = Counter(w for _, _, counts in rows for w in counts)
+    kept, by_word = [], {}
+    for row in rows:
+        _, label, counts = row
+        rarest = sorted(counts, key=lambda w: (held[w], w))
+        rarest = rarest[: len(rarest) - int(np.ceil(ALIKE * len(rarest) - 1e-9)) + 1]
+        near = {at for w in rarest for at in by_word.get((label, w), ())}
+        shared = ((len(kept[at][2].keys() & counts.keys()), len(kept[at][2])) for at in near)
+        if any(n >= ALIKE * (m + len(counts) - n) for n, m in shared):
+            continue
+        for w in rarest:
+            by_word.setdefault((label, w), []).append(len(kept))
+        kept.append(row)
+    return kept
+
+
+def factors(words: Sequence[str], rows: list[tuple[int, int, dict[str, int]]]) -> np.ndarray:
+    """Factor of each word, from ``FLOOR`` to 1, by the standard score of the difference of its shares in the two labels."""
+    place = {w: i for i, w in enumerate(words)}
+    held = np.zeros((2, len(words)))
+    for _, label, counts in rows:
+        held[label, [place[w] for w in counts]] += 1
+    n = np.array([sum(y == v for _, y, _ in rows) for v in (0, 1)], float)
+    share = held.sum(axis=0) / n.sum()
+    spread = np.sqrt(share * (1 - share) * (1 / n).sum())
+    z = np.divide(held[1] / n[1] - held[0] / n[0], spread, out=np.zeros(len(words)), where=spread > 0)
+    return FLOOR + (1 - FLOOR) * z**4 / (z**4 + CLEAR**4)
+
+
+def _frequencies(words: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts, n = Known(terms), Counter(), 0
+        place, counts, n = {w: i for i, w in enumerate(words)}, Counter(), 0
         for batch in batches:
             for text in batch.column("text"):
-                counts.update(known.counts(text.as_py()).keys())
+                counts.update(set(words_of(text.as_py())) & place.keys())
                 n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([*counts, None], pa.string()), pa.array([*counts.values(), n], pa.int64())], ["term", "n"])
+        places = pa.array([*(place[w] for w in counts), -1], pa.int32())
+        yield pa.RecordBatch.from_arrays([places, pa.array([*counts.values(), n], pa.int64())], ["place", "n"])
 
     return run
 
 
-def inverse_frequencies(docs: DataFrame, terms: list[str]) -> dict[str, float]:
-    """log((n + 1) / (df + 1)) + 1 of each term, over all documents."""
-    counts = docs.select("text").mapInArrow(_frequencies(terms), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = {r["term"]: r["n"] for r in counts.collect()}
-    n = found.pop(None, 0) or 0
-    return {t: float(np.log((n + 1) / (found.get(t, 0) + 1)) + 1) for t in terms}
+def inverse_frequencies(docs: DataFrame, words: list[str]) -> np.ndarray:
+    """log((n + 1) / (df + 1)) + 1 of each word, over all documents."""
+    counts = docs.select("text").mapInArrow(_frequencies(words), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    found = np.zeros(len(words) + 1)
+    found[counts.column("place").to_numpy()] = counts.column("n").to_numpy()
+    return np.log((found[-1] + 1) / (found[:-1] + 1)) + 1
 
 
 class Index:
-    """Examples as unit vectors, searched block by block.
+    """Examples as unit vectors over ``words``, searched block by block.
 
-    All vectors share one more dimension of weight ``COMMON``, for the words that every text has: without it a
-    text with a single known term would be as near to an example as a text full of them.
+    ``weights`` holds each word's weight at one occurrence; n occurrences weigh 1 + log(n) times as much.
     """
 
-    def __init__(self, idf: dict[str, float], ids: list[int], labels: list[int], counts: list[dict[str, int]]):
-        self.idf = idf
-        rows = [(i, y, self.vector(c)) for i, y, c in zip(ids, labels, counts, strict=True)]
+    def __init__(self, words: Sequence[str], weights: np.ndarray, rows: list[tuple[int, int, dict[str, int]]]):
+        self.words, self.weights = list(words), np.asarray(weights, float)
+        self.place = {w: i for i, w in enumerate(self.words)}
+        vectors = [(i, y, *self.vector(c)) for i, y, c in rows]
         # alike examples lie in one block, so that bounds are tight
-        rows.sort(key=lambda r: (sorted(r[2], key=lambda t: (-r[2][t], t)), r[0]))
-        self.ids = np.array([r[0] for r in rows], np.int64)
-        self.labels = np.array([r[1] for r in rows], np.int64)
-        self.n_blocks = -(-len(rows) // BLOCK)
-        held: dict[str, list[tuple[int, float]]] = {}
-        for place, (_, _, vector) in enumerate(rows):
-            for t, w in vector.items():
-                held.setdefault(t, []).append((place, w))
-        self.postings: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.most: dict[str, np.ndarray] = {}
-        for t, p in held.items():
-            places, weights = np.array([x for x, _ in p]), np.array([w for _, w in p])
-            most = np.zeros(self.n_blocks)
-            np.maximum.at(most, places // BLOCK, weights)
-            self.postings[t] = (places, weights, np.searchsorted(places, np.arange(self.n_blocks + 1) * BLOCK))
-            self.most[t] = most
-
-    def vector(self, counts: dict[str, int]) -> dict[str, float]:
-        """Unit vector of the known terms among ``counts``; the shared dimension is the term ''."""
-        v = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items() if t in self.idf} | {"": COMMON}
-        norm = np.sqrt(sum(w * w for w in v.values()))
-        return {t: w / norm for t, w in v.items()}
-
-    def search(self, vector: dict[str, float], k: int, without: int | None = None) -> list[tuple[float, int, int]]:
-        """The ``k`` greatest cosines as (cosine, id, label), ties to the smaller id."""
-        terms = [(w, t) for t, w in vector.items() if t in self.postings]
-        if not terms:
+        self.order = sorted(range(len(rows)), key=lambda r: [int(x) for x in vectors[r][2][np.argsort(-vectors[r][3], kind="stable")]])
+        vectors = [vectors[r] for r in self.order]
+        self.ids = np.array([v[0] for v in vectors], np.int64)
+        self.labels = np.array([v[1] for v in vectors], np.int64)
+        rows_of = np.repeat(np.arange(len(vectors)), [len(v[2]) for v in vectors])
+        terms = np.concatenate([v[2] for v in vectors]) if vectors else np.empty(0, np.int64)
+        values = np.concatenate([v[3] for v in vectors]) if vectors else np.empty(0)
+        held = np.bincount(terms, minlength=len(self.words))
+        #: a word's row among the dense ones, or -1
+        self.dense_row = np.where(held >= max(1, FREQUENT * len(vectors)), 0, -1)
+        frequent = np.flatnonzero(self.dense_row == 0)
+        self.dense_row[frequent] = np.arange(len(frequent))
+        self.n_blocks = -(-len(vectors) // BLOCK)
+        self.dense = np.zeros((len(frequent), self.n_blocks * BLOCK))
+        often = self.dense_row[terms] >= 0
+        self.dense[self.dense_row[terms[often]], rows_of[often]] = values[often]
+        rows_of, terms, values = rows_of[~often], terms[~often], values[~often]
+        by_term = np.lexsort((rows_of, terms))
+        self.rows, self.values, terms = rows_of[by_term], values[by_term], terms[by_term]
+        cell = terms * self.n_blocks + self.rows // BLOCK
+        #: where the postings of a word in a block begin, and their greatest weight
+        self.starts = np.searchsorted(cell, np.arange(len(self.words) * self.n_blocks + 1)).astype(np.int32)
+        most = np.zeros(len(self.words) * self.n_blocks)
+        np.maximum.at(most, cell, self.values)
+        self.most = most.reshape(len(self.words), self.n_blocks)
+
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Places, ascending, and weights of the unit vector of the known words among ``counts``."""
+        places = np.array([self.place.get(w, -1) for w in counts], np.int64)
+        times = np.fromiter(counts.values(), np.float64, len(counts))
+        known = np.flatnonzero(places >= 0)
+        known = known[np.argsort(places[known])]
+        places, times = places[known], times[known]
+        values = (1 + np.log(times)) * self.weights[places]
+        return places, values / np.sqrt((values * values).sum()) if len(values) else values
+
+    def search(self, counts: dict[str, int], k: int, without: int | None = None) -> list[tuple[float, int, int]]:
+        """The ``k`` greatest cosines, of at least ``TINY``, as (cosine, id, label), ties to the smaller id; not the example in row ``without``."""
+        terms, weights = self.vector(counts)
+        if not len(terms) or not len(self.ids):
             return []
-        bounds = sum(w * self.most[t] for w, t in terms)
+        row = self.dense_row[terms]
+        sums = (weights[row >= 0] @ self.dense[row[row >= 0]]).reshape(self.n_blocks, BLOCK)
+        terms, weights = terms[row < 0], weights[row < 0]
+        bounds = sums.max(axis=1) + weights @ self.most[terms]
         best, at = np.empty(0), np.empty(0, np.intp)
-        for block in np.argsort(-bounds, kind="stable"):
-            least = best[-1] if len(best) == k else -1.0
-            if bounds[block] < least - 1e-9:
+        order, taken, size = np.argsort(-bounds, kind="stable"), 0, 1
+        while taken < self.n_blocks:
+            least = best[-1] if len(best) == k else 0.0
+            blocks = order[taken : taken + size]
+            blocks = blocks[(bounds[blocks] >= least - 1e-9) & (bounds[blocks] > 0)]
+            if not len(blocks):
                 break
-            first = block * BLOCK
-            scores = np.zeros(min(BLOCK, len(self.ids) - first))
-            for w, t in terms:
-                places, weights, starts = self.postings[t]
-                a, b = starts[block], starts[block + 1]
-                scores[places[a:b] - first] += w * weights[a:b]
-            near = np.flatnonzero(scores >= least - 1e-9)
+            cells = (terms[:, None] * self.n_blocks + blocks).ravel()
+            begins = self.starts[cells]
+            sizes = self.starts[cells + 1] - begins
+            postings = np.arange(sizes.sum()) + np.repeat(begins - np.cumsum(sizes) + sizes, sizes)
+            added = np.repeat(np.repeat(weights, len(blocks)), sizes) * self.values[postings]
+            scores = sums + np.bincount(self.rows[postings], added, sums.size).reshape(sums.shape)
+            which, near = np.nonzero(scores[blocks] >= max(least - 1e-9, TINY))
+            near += blocks[which] * BLOCK
             if without is not None:
-                near = near[self.ids[first + near] != without]
-            best, at = np.concatenate((best, np.round(scores[near], 12))), np.concatenate((at, first + near))
-            order = np.lexsort((self.ids[at], -best))[:k]
-            best, at = best[order], at[order]
+                near = near[near != without]
+            best, at = np.concatenate((best, np.round(scores.ravel()[near], 12))), np.concatenate((at, near))
+            first = np.lexsort((at, self.ids[at], -best))[:k]
+            best, at = best[first], at[first]
+            taken, size = taken + size, 8 * size
         return list(zip(best.tolist(), self.ids[at].tolist(), self.labels[at].tolist(), strict=True))
 
 
@@ -183,23 +209,13 @@ class Scorer:
 
     def __init__(self, index: Index | None, slope: float, offset: float, k: int = NEIGHBOURS):
         self.index, self.slope, self.offset, self.k = index, slope, offset, k
-        self.known = Known(index.idf if index else ())
-        self.memo: dict[frozenset, list[tuple[float, int, int]]] = {}
 
     @staticmethod
     def vote(found: list[tuple[float, int, int]]) -> float:
         return sum(s for s, _, y in found if y) / (sum(s for s, _, _ in found) + DOUBT)
 
     def neighbours(self, text: str | None) -> list[tuple[float, int, int]]:
-        if self.index is None:
-            return []
-        counts = self.known.counts(text)
-        key = frozenset(counts.items())
-        if key not in self.memo:  # most texts have no known term, and so the same neighbours
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            self.memo[key] = self.index.search(self.index.vector(counts), self.k)
-        return self.memo[key]
+        return self.index.search(Counter(words_of(text)), self.k) if self.index else []
 
     def score(self, found: list[tuple[float, int, int]]) -> float:
         return float(1 / (1 + np.exp(-(self.slope * self.vote(found) + self.offset))))
@@ -208,44 +224,24 @@ class Scorer:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, k: int = NEIGHBOURS) -> Scorer:
     """A scorer from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1, each id once).
 
-    Without examples of both labels, or without a term that tells them apart, every score is the smoothed share
-    of label 1.
+    Without examples of both labels every score is the smoothed share of label 1. The driver holds the words of the
+    examples, at most twice ``sample``, and builds their index.
     """
     drawn, counts = sampled(docs, labels, sample)
-    rows = stored(example_terms(drawn), "examples")
+    rows = examples(drawn, sample)
     n1, n = counts.get(1, 0), sum(counts.values())
     base = float(np.log((n1 + 1) / (n - n1 + 1)))
-    terms = signs(rows)
-    if not terms:
+    words = sorted({w for _, _, c in rows for w in c})
+    if {y for _, y, _ in rows} != {0, 1} or not words:
         return Scorer(None, 0.0, base, k)
-    held = rows.select("doc_id", "label").orderBy("doc_id").collect()
-    # the examples' own term counts: the few terms make this small
-    texts = drawn.join(F.broadcast(rows.select("doc_id")), "doc_id").select("doc_id", "text")
-    texts = texts.mapInArrow(_term_counts(terms), "doc_id long, terms array<string>, times array<int>")
-    counts_of = {r["doc_id"]: dict(zip(r["terms"], r["times"], strict=True)) for r in texts.collect()}
-    ids, tf = [r["doc_id"] for r in held], [counts_of[r["doc_id"]] for r in held]
-    index = Index(inverse_frequencies(docs, terms), ids, [r["label"] for r in held], tf)
-    found = [index.search(index.vector(c), k, i) for i, c in zip(ids, tf, strict=True)]
-    votes = np.array([Scorer.vote(f) for f in found])
-    y = np.array([r["label"] for r in held], float)
-    drawn_of = np.array([max((y == v).sum(), 1) for v in (0, 1)])
-    weight = (np.array([counts.get(0, 0), counts.get(1, 0)]) / drawn_of)[y.astype(int)]
-    slope, offset = _fit_curve(votes, y, weight)
+    index = Index(words, factors(words, rows) * inverse_frequencies(docs, words), rows)
+    votes = np.array([Scorer.vote(index.search(rows[r][2], k, at)) for at, r in enumerate(index.order)])
+    y = index.labels
+    weight = np.array([counts[v] / (y == v).sum() for v in (0, 1)])[y]
+    slope, offset = _fit_curve(votes, y.astype(float), weight)
     return Scorer(index, slope, offset, k)
 
 
-def _term_counts(terms: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(terms)
-        for batch in batches:
-            counts = [known.counts(t.as_py()) for t in batch.column("text")]
-            names = pa.array([list(c) for c in counts], pa.list_(pa.string()))
-            times = pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, times], ["doc_id", "terms", "times"])
-
-    return run
-
-
 def _fit_curve(votes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     x = np.stack([votes, np.ones(len(y))], axis=1)
     beta, ridge = np.zeros(2), 1e-3 * weight.sum() / len(y)
@@ -262,7 +258,9 @@ def _score(scorer: Scorer, evidence: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [scorer.neighbours(t.as_py()) for t in batch.column("text")]
+            texts = batch.column("text").to_pylist()
+            of_text = {t: scorer.neighbours(t) for t in set(texts)}
+            found = [of_text[t] for t in texts]
             scores = pa.array([scorer.score(f) for f in found], pa.float64())
             held = [[{"doc_id": i, "cosine": s, "label": y} for s, i, y in f[:evidence]] for f in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores, pa.array(held, kind)], ["doc_id", "score", "evidence"])
@@ -273,8 +271,8 @@ def _score(scorer: Scorer, evidence: int):
 def score(docs: DataFrame, scorer: Scorer, evidence: int = 5) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, score, evidence (the nearest examples).
 
-    The score depends on ``text`` alone. A null or empty text, and any without a known term, is nearest to the examples
-    without one, and has their score. Null or repeated ids are kept; other columns are ignored.
+    The score depends on ``text`` alone. A null or empty text, and any without a known word, has no neighbours, and the
+    score of a vote of 0. Null or repeated ids are kept; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_score(scorer, evidence), f"doc_id long, score double, evidence {EVIDENCE}")

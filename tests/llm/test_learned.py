@@ -105,57 +105,120 @@ def test_held_out_quality(spark):
 
 def test_held_out_toxicity(spark):
     right = judged(spark, MID, "op1_toxicity", "toxic", 5, 0)
-    assert right[0] >= 0.97 and right[1] >= 0.6  # some toxic rows there are junk without any of their words
+    assert right[0] >= 0.9 and right[1] >= 0.9
 
 
-def test_block_search_is_exact():
+def brute_neighbours(index, rows, counts, k, without=None):
+    """The k greatest cosines of a text's counts with examples, from whole vectors in dictionaries."""
+
+    def unit(c):
+        v = {w: (1 + math.log(n)) * index.weights[index.place[w]] for w, n in c.items() if w in index.place}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    mine = unit(counts)
+    cosines = [(sum(x * other.get(w, 0) for w, x in mine.items()), i, y) for at, (i, y, c) in enumerate(rows) if at != without for other in [unit(c)]]
+    return sorted(((round(c, 12), i, y) for c, i, y in cosines if c >= toxicity.TINY), key=lambda r: (-r[0], r[1]))[:k]
+
+
+def same_neighbours(got, want):
+    assert len(got) == len(want)
+    assert np.allclose([c for c, *_ in got], [c for c, *_ in want], atol=1e-9, rtol=0)
+    for (_, i, _), (c, j, _) in zip(got, want, strict=True):  # rounding may order near ties differently
+        assert i == j or sum(abs(c - d) < 1e-9 for d, *_ in want) > 1 or abs(c - want[-1][0]) < 1e-9
+
+
+@pytest.mark.parametrize("frequent", [1 / 16, 1.1, 0.0])
+def test_block_search_is_exact(monkeypatch, frequent):
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
     rng = random.Random(3)
-    terms = [f"t{i}" for i in range(30)]
-    idf = {t: rng.uniform(1, 8) for t in terms}
-    words = [[rng.choice(terms) for _ in range(rng.randrange(0, 7))] for _ in range(700)]
-    index = toxicity.Index(idf, list(range(700)), [i % 3 == 0 for i in range(700)], [Counter(w) for w in words])
-    vectors = [index.vector(Counter(w)) for w in words]
-    for _ in range(60):
-        query = [rng.choice([*terms, "unknown"]) for _ in range(rng.randrange(0, 6))]
-        v = index.vector(Counter(query))
-        cosines = [(sum(w * u.get(t, 0) for t, w in v.items()), i) for i, u in enumerate(vectors)]
-        want = sorted((-round(c, 12), i) for c, i in cosines)[:10]
-        got = [(-s, i) for s, i, _ in index.search(v, 10)]
-        assert len(got) == 10
-        assert all(abs(a - c) < 1e-9 and (b == d or abs(a - c) < 1e-9) for (a, b), (c, d) in zip(got, want, strict=True))
-    assert 5 not in [i for _, i, _ in index.search(vectors[5], 10, 5)]
-    assert all(y == (i % 3 == 0) for _, i, y in index.search(vectors[5], 10))
-
-
-def test_signs_and_evidence(spark, documents, clashing):
-    rng = random.Random(0)
-    rows, labels = [], []
-    for i in range(300):
-        words = [f"w{rng.randrange(200)}" for _ in range(40)]
-        if i % 4 == 0:
-            words[rng.randrange(40)], words[rng.randrange(40)] = "VILE", "nasty"
-        rows.append((i, " ".join(words)))
-        labels.append((i, int(i % 4 == 0)))
-    rows += [(1000, "copy of words " * 5)] * 20
-    labels.append((1000, 1))
-    docs = clashing(documents(rows), "words", "least", "vote")
-    scorer = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, label int"))
-    assert {"vile", "nasty"} <= set(scorer.index.idf) and len(scorer.index.idf) <= 6
-
-
-def test_terms_are_words_and_their_beginnings():
-    known = toxicity.Known(["lowe*", "lowei", "abcde*", "abcdef"])
-    assert known.counts("Loweiss loweiss lowei LOWE abcde ABCDEF abcdefg") == {"lowe*": 2, "lowei": 1, "abcde*": 2, "abcdef": 1}
-    assert known.counts(None) == known.counts("") == {}
+    words = [f"t{i}" for i in range(60)]
+    weights = np.array([rng.uniform(0.1, 8) for _ in words])
+    rows = [(i, int(i % 3 == 0), Counter(words[int(60 * rng.random() ** 3)] for _ in range(rng.randrange(0, 9)))) for i in range(1700)]
+    index = toxicity.Index(words, weights, rows)
+    for n in range(80):
+        query = Counter(rng.choice([*words, "unknown"]) for _ in range(rng.randrange(0, 9)))
+        same_neighbours(index.search(query, 10), brute_neighbours(index, rows, query, 10))
+        at = index.order[n]  # itself left out
+        same_neighbours(index.search(rows[at][2], 10, n), brute_neighbours(index, rows, rows[at][2], 10, at))
+
+
+def test_search_ends_early(monkeypatch):
+    """Blocks that cannot reach the best cosines are not read."""
+    rows = [(i, i % 2, Counter({f"w{i // 128}": 1, f"x{i}": 1})) for i in range(128 * 40)]
+    words = sorted({w for _, _, c in rows for w in c})
+    index = toxicity.Index(words, np.where([w[0] == "w" for w in words], 5.0, 1.0), rows)
+    read, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda rows, *rest: read.append(len(rows)) or bincount(rows, *rest))
+    assert len(index.search(Counter({"w3": 1}), 25)) == 25
+    assert sum(read) <= 2 * 128
+
+
+def test_copies_are_verified():
+    whole = {f"w{i}": 1 for i in range(20)}
+    near = {f"w{i}": 2 for i in range(18)} | {"other": 1, "words": 1}  # 18 of 22
+    far = {f"w{i}": 1 for i in range(17)} | {"a": 1, "b": 1, "c": 1}  # 17 of 23
+    rows = [(1, 0, whole), (2, 0, near), (3, 0, far), (4, 1, whole), (5, 0, {}), (6, 0, {}), (7, 0, dict(whole))]
+    assert [r[0] for r in toxicity.without_copies(rows)] == [1, 3, 4, 5, 6]
+
+
+def test_all_words_weigh_something():
+    rows = [(i, i % 2, {"same": 1, f"own{i}": 1} | ({"vile": 1} if i % 2 else {"kind": 1})) for i in range(200)]
+    words = sorted({w for _, _, c in rows for w in c})
+    got = dict(zip(words, toxicity.factors(words, rows), strict=True))
+    assert got["same"] == toxicity.FLOOR and min(got.values()) == toxicity.FLOOR
+    assert got["vile"] > 0.95 and got["kind"] > 0.95 and max(got["own1"], got["own2"]) < 0.03
+
+
+def test_toxicity_equals_brute_force(spark):
+    """Frequencies, neighbours, votes and scores of the whole query, from the texts alone."""
+    sf = "/root/testdata/sf0.001"
+    docs = queries.table(spark, sf, "documents")
+    scorer = toxicity.fit(docs, queries._learned_labels(spark, sf, "toxic", 5, 0))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    index = scorer.index
+    rows = [(int(i), int(y), Counter(toxicity.words_of(texts[i]))) for i, y in zip(index.ids, index.labels, strict=True)]
+    assert all(labels[i] == y and zlib.crc32(str(i).encode()) % 5 for i, y, _ in rows)
+    assert index.words == sorted({w for _, _, c in rows for w in c})  # no word is left out
+    held = Counter(w for t in texts.values() for w in set(toxicity.words_of(t)))
+    idf = [math.log((len(texts) + 1) / (held[w] + 1)) + 1 for w in index.words]
+    assert np.allclose(index.weights, toxicity.factors(index.words, rows) * np.array(idf))
+    got = {r["doc_id"]: r for r in toxicity.score(docs, scorer, toxicity.NEIGHBOURS).collect()}
+    query = {r["doc_id"]: r["score"] for r in queries.op1_toxicity(spark, sf).collect()}
+    assert got.keys() == query.keys() == texts.keys()
+    for i, r in got.items():
+        want = brute_neighbours(index, rows, Counter(toxicity.words_of(texts[i])), toxicity.NEIGHBOURS)
+        same_neighbours([(e["cosine"], e["doc_id"], e["label"]) for e in r["evidence"]], want)
+        vote = sum(c for c, _, y in want if y) / (sum(c for c, *_ in want) + toxicity.DOUBT)
+        assert math.isclose(query[i], r["score"], abs_tol=1e-9)
+        assert abs(r["score"] - 1 / (1 + math.exp(-(scorer.slope * vote + scorer.offset)))) < 1e-6
+
+
+def test_examples_of_odd_rows(spark, documents, clashing):
+    rows = [(i, f"some words {'vile' if i % 2 else 'kind'} and w{i} x{i} y{i}") for i in range(40)]
+    rows += [(1, "another text of the same id, vile"), (None, "no id"), (50, None), (51, ""), (50, None), *[(60, "a copy of words")] * 30, (61, "a copy of words")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(50, 0), (51, 1), (60, 1), (61, 1)], "doc_id long, label int")
+    docs = clashing(documents(rows), "words", "place", "vote")
+    scorer = toxicity.fit(docs, labels)
+    held = Counter(scorer.index.ids.tolist())
+    assert held[1] == 2 and held[60] == 1 and 61 not in held
+    long = " ".join(f"w{i} and more" for i in range(300_000))
+    got = toxicity.score(clashing(documents([*rows, (99, long)]), "score", "evidence"), scorer).collect()
+    assert len(got) == len(rows) + 1 and all(0 <= r["score"] <= 1 for r in got)
+    assert len({r["score"] for r in got if r["doc_id"] in (50, 51)}) == 1
+    by_text = [r["score"] for r in got if r["doc_id"] in (60, 61)]
+    assert len(by_text) == 31 and len(set(by_text)) == 1
+    assert toxicity.score(documents([]), scorer).collect() == []
 
 
 def test_evidence(documents):
-    index = toxicity.Index({"vile": 6.0, "nasty": 5.0}, [7, 8, 9], [0, 1, 1], [{}, {"vile": 2, "nasty": 1}, {"nasty": 3}])
-    scorer = toxicity.Scorer(index, 20.0, -6.0, 1)
+    rows = [(7, 0, {"kind": 1}), (8, 1, {"vile": 2, "nasty": 1}), (9, 1, {"nasty": 3})]
+    scorer = toxicity.Scorer(toxicity.Index(["kind", "nasty", "thing", "vile"], np.array([4.0, 5.0, 1.0, 6.0]), rows), 20.0, -6.0, 1)
     tests = documents([(1, "so vile, vile and nasty a thing"), (2, "so kind a thing"), (3, None), (3, ""), (None, "nasty nasty NASTY")])
     got = toxicity.score(tests, scorer).collect()
     assert [r["score"] >= 0.5 for r in got] == [True, False, False, False, True]
-    assert [[e["doc_id"] for e in r["evidence"]] for r in got] == [[8], [7], [7], [7], [9]]
+    assert [[e["doc_id"] for e in r["evidence"]] for r in got] == [[8], [7], [], [], [9]]
 
 
 SECRETS = {
