@@ -423,6 +423,9 @@ select count(*) as rows, true as all_finite, true as better_than_climatology fro
 select step, newest + to_hours(step::integer) as forecast_time, {rounded("prediction", 6)} as prediction,
        {rounded("prediction + (1.5::double + (step - 1) * 0.05::double)", 6)} as upper,
        {rounded("prediction - (1.5::double + (step - 1) * 0.05::double)", 6)} as lower from served""",
+        "rf_serve_quality": f"""with {SERVED}
+select step, newest + to_hours(step::integer) as forecast_time, true as within_range,
+       {rounded("2 * (1.5::double + (step - 1) * 0.05::double)", 6)} as width from served""",
         "serve_summary": f"""with {SERVED}
 select {", ".join(f"{rounded(c, 6)} as {c}" for c in ("avg_temp", "min_temp", "max_temp", "avg_wind", "total_precip"))},
        'Прогноз: ' || round_even(min_temp, 0)::bigint::varchar || '...'

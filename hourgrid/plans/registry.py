@@ -596,21 +596,36 @@ def eval_slice(spark, sf):
     return series.first_slice(_scored(spark, sf)).select(*series.ORDER, fv.TARGET, "prediction")
 
 
-def _forest(spark, sf) -> DataFrame:
-    """Forest fitted on the whole earlier part, its predictions for the whole later part, and whether
-    each lies among the temperatures that it was fitted on."""
+def _fitted(spark, sf) -> dict:
+    """Forest fitted on the whole earlier part and saved (``model``), its predictions for the whole later part (``path``), and
+    the least and greatest temperature that it was fitted on."""
 
     def make() -> dict:
         split = series.chrono_split(_stored_features(spark, sf))
         earlier = split.where(~F.col("is_test"))
         low, high = earlier.agg(F.min(fv.TARGET), F.max(fv.TARGET)).first()
-        predicted = model.predict(model.train(earlier), split.where("is_test"))
-        within = F.col("prediction").between(low - 1e-9, high + 1e-9)
+        forest, saved = model.train(earlier), session.scratch_path(spark, "forest-model")
+        model.save(forest, saved)
         path = session.scratch_path(spark, "forest")
-        predicted.withColumn("within_range", within).write.parquet(path)
-        return {"path": path}
+        model.predict(forest, split.where("is_test")).write.parquet(path)
+        return {"path": path, "model": saved, "low": low, "high": high}
+
+    return _once(spark, sf, "forest", make)
+
+
+def _within(made: dict):
+    return F.col("prediction").between(made["low"] - 1e-9, made["high"] + 1e-9)
+
 
-    return spark.read.parquet(_once(spark, sf, "forest", make)["path"])
+def _forest(spark, sf) -> DataFrame:
+    """Predictions of the forest, and whether each lies among the temperatures that it was fitted on."""
+    made = _fitted(spark, sf)
+    return spark.read.parquet(made["path"]).withColumn("within_range", _within(made))
+
+
+def rf_scored(spark, sf):
+    """Each row of the later part with its temperature and the forest's prediction."""
+    return _forest(spark, sf).select(*series.ORDER, fv.TARGET, "prediction")
 
 
 def rf_predictions(spark, sf):
@@ -648,6 +663,32 @@ def serve_advice(spark, sf):
     return _served(spark, sf)["advice"]
 
 
+def _forest_served(spark, sf) -> dict:
+    """The saved forest, read back and applied to the latest window of the stored star."""
+    return daily.forecast(spark, _loaded(spark, sf)["root"], _fitted(spark, sf)["model"])
+
+
+def rf_serve_hours(spark, sf):
+    """Forecast by the saved forest, with its band."""
+    banded = _forest_served(spark, sf)["hours"]
+    return _rounded(banded, 6, "prediction", "upper", "lower").select("step", "forecast_time", "prediction", "upper", "lower")
+
+
+def rf_serve_quality(spark, sf):
+    """The hours of that forecast, whether each prediction lies among the fitted temperatures, and how wide its band is."""
+    banded = _forest_served(spark, sf)["hours"].withColumn("width", F.col("upper") - F.col("lower"))
+    banded = banded.withColumn("within_range", F.coalesce(_within(_fitted(spark, sf)), F.lit(False)))
+    return _rounded(banded, 6, "width").select("step", "forecast_time", "within_range", "width")
+
+
+def rf_serve_summary(spark, sf):
+    return _rounded(_forest_served(spark, sf)["summary"], 6, "avg_temp", "min_temp", "max_temp", "avg_wind", "total_precip")
+
+
+def rf_serve_advice(spark, sf):
+    return _forest_served(spark, sf)["advice"]
+
+
 _PLAIN = (
     scan_stream, backfill_scan, bbox_subset, lagged_day, last_year,
     write_clean, dim_upsert, fact_append_antijoin, batched_sink, load_audit, pending_days,
@@ -661,6 +702,7 @@ _PLAIN = (
     quality_checks, late_day_reload,
     star_kpi, star_trend, star_histogram, star_correlations, star_drill_range, star_drill_known_hours,
     star_features, star_latest, serve_hours, serve_summary, serve_advice,
+    rf_scored, rf_serve_hours, rf_serve_quality, rf_serve_summary, rf_serve_advice,
     fact_correction, star_before_correction, profile_kpi, profile_trend, profile_histogram, profile_drill_day,
     profile_drill_range, profile_correlations, place_extreme_days, region_extreme_days, redelivered_days,
 )

@@ -7,7 +7,8 @@ import pytest
 from explained import plan_of
 
 import __spark_entry__ as contract
-from hourgrid.plans import registry
+from hourgrid.operators import decide, series
+from hourgrid.plans import daily, registry
 from hourgrid.sources import streams
 
 TABLES = (
@@ -16,8 +17,10 @@ TABLES = (
 WRITING = {"backfill_scan", "batched_sink", "star_load", "late_day_reload", "stream_ingest", "write_clean"}
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 NOT_IN_SQL = {
-    "op1_toxicity", "op2_token_counts", "op3_secret_scan", "op7_quality_classifier", "op9_packing", "pipeline"
+    "op1_toxicity", "op2_token_counts", "op3_secret_scan", "op7_quality_classifier", "op9_packing", "op12_bpe", "op13_periodic_runs",
+    "pipeline",
 } & set(QUERIES)  # those of the corpus operators, which can be left out
+FOREST = {"rf_scored", "rf_serve_hours", "rf_serve_summary", "rf_serve_advice"}  # predictions of the trained forest
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +41,7 @@ def ordered(names, rows):
 
 
 def test_all_queries_but_trained_ones_and_tokenizers_have_sql():
-    assert set(QUERIES) - set(SQL) == NOT_IN_SQL and set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - set(SQL) == NOT_IN_SQL | FOREST and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -50,6 +53,38 @@ def test_query_equals_sql(spark, db, sf_dir, name):
     assert ordered(got.columns, [tuple(r) for r in got.collect()]) == ordered(names, found.fetchall())
 
 
+def test_served_forest_equals_the_fitted_one(spark, sf_dir, monkeypatch):
+    """What is served from the saved forest is what the forest in memory gives for the same frame."""
+    kept, train = [], registry.model.train
+    monkeypatch.setattr(registry.model, "train", lambda df: kept.append(train(df, trees=12, depth=6)) or kept[-1])
+    monkeypatch.setattr(registry, "_made", {})
+    served = {n: QUERIES[n](spark, sf_dir).collect() for n in sorted(FOREST | {"rf_serve_quality"})}
+    frame = series.forecast_frame(daily.latest_window(spark, registry._loaded(spark, sf_dir)["root"]))
+    features = registry._stored_features(spark, sf_dir)
+    assert len(kept) == 1
+    want = {r["step"]: r for r in series.with_band(kept[0].transform(frame)).collect()}
+    assert len(served["rf_serve_hours"]) == len(want) > 100
+    for r in served["rf_serve_hours"]:
+        for c in ("prediction", "upper", "lower"):
+            assert math.isclose(r[c], want[r["step"]][c], abs_tol=2e-6)
+        assert r["forecast_time"] == want[r["step"]]["forecast_time"]
+    assert all(r["within_range"] for r in served["rf_serve_quality"])
+    predictions = [r["prediction"] for r in want.values()]
+    assert len(set(predictions)) > 12  # not a constant
+    (summary,) = served["rf_serve_summary"]
+    assert math.isclose(summary["min_temp"], min(predictions), abs_tol=2e-6)
+    assert math.isclose(summary["max_temp"], max(predictions), abs_tol=2e-6)
+    assert math.isclose(summary["avg_temp"], sum(predictions) / len(predictions), abs_tol=2e-6)
+    exact = series.with_band(kept[0].transform(frame))
+    assert [tuple(r) for r in served["rf_serve_advice"]] == [tuple(r) for r in decide.recommendations(decide.forecast_summary(exact)).collect()]
+    later = series.chrono_split(features).where("is_test")
+    scored = {tuple(r[c] for c in series.ORDER): r for r in kept[0].transform(later).collect()}
+    assert len(served["rf_scored"]) == len(scored)
+    for r in served["rf_scored"]:
+        other = scored[tuple(r[c] for c in series.ORDER)]
+        assert r["temperature_c"] == other["temperature_c"] and math.isclose(r["prediction"], other["prediction"], abs_tol=1e-9)
+
+
 def test_entry_has_one_row(spark):
     assert contract.entry(spark).count() == 1
 
