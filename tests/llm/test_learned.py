@@ -105,7 +105,7 @@ def test_held_out_quality(spark):
 
 def test_held_out_toxicity(spark):
     right = judged(spark, MID, "op1_toxicity", "toxic", 5, 0)
-    assert right[0] >= 0.9 and right[1] >= 0.9
+    assert right[0] >= 0.97 and right[1] >= 0.9
 
 
 def brute_neighbours(index, rows, counts, k, without=None):
