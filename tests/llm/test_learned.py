@@ -108,6 +108,22 @@ def test_held_out_toxicity(spark):
     assert right[0] >= 0.97 and right[1] >= 0.9
 
 
+def test_held_out_toxicity_of_many(spark):
+    right = judged(spark, "/root/testdata/sf0.1", "op1_toxicity", "toxic", 5, 0)
+    assert right[0] >= 0.99 and right[1] >= 0.9
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 40])
+def test_votes_do_not_know_their_own_label(n):
+    """A word of one example alone tells nothing about another, however its label is set."""
+    rows = [(i, i % 2, Counter({f"own{i}": 3, "same": 1})) for i in range(2 * n)]
+    words = sorted({w for _, _, c in rows for w in c})
+    got = toxicity.votes_across(words, np.ones(len(words)), rows, 10_000)
+    assert len(got) == 2 * n and np.isfinite(got).all() and (got < 0.6).all()
+    other = [(i, 1 - y if i == 0 else y, c) for i, y, c in rows] if n > 2 else rows
+    assert np.isclose(toxicity.votes_across(words, np.ones(len(words)), other, 10_000)[0], got[0], atol=0.2)
+
+
 def brute_neighbours(index, rows, counts, k, without=None):
     """The k greatest cosines of a text's counts with examples, from whole vectors in dictionaries."""
 
