@@ -24,6 +24,23 @@ def join_streams(streams: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, list(fv.JOIN_KEYS), "inner"), [streams[s] for s in fv.STREAMS])
 
 
+def join_buckets(streams: Mapping[str, DataFrame]) -> DataFrame:
+    """``join_streams`` of streams that lie in buckets: the same rows, by merging bucket with bucket.
+
+    The sorts are those of one bucket each. Coordinates are compared as well, as ranges, since an equality would
+    become a key that the buckets do not have; so two places with one key stay apart.
+    """
+    first, *rest = fv.STREAMS
+    joined = streams[first].alias(first)
+    for s in rest:
+        same = [F.col(f"{first}.{k}") == F.col(f"{s}.{k}") for k in ("time", "location_id")]
+        for c in ("latitude", "longitude"):
+            same += [F.col(f"{first}.{c}") <= F.col(f"{s}.{c}"), F.col(f"{first}.{c}") >= F.col(f"{s}.{c}")]
+        joined = joined.join(streams[s].alias(s).hint("merge"), reduce(lambda a, b: a & b, same), "inner")
+    measured = [F.col(f"{s}.{m}") for s in fv.STREAMS for m in schemas.stream_measures(s)]
+    return joined.select(*[F.col(f"{first}.{k}") for k in fv.JOIN_KEYS], *measured)
+
+
 def convert_units(df: DataFrame) -> DataFrame:
     """Raw measures to Celsius, hectopascal, millimetre and wind speed, with the star's keys."""
     time, lat, lon = (F.col(k) for k in fv.JOIN_KEYS)

@@ -230,6 +230,7 @@ from conformed""",
         "hash_sample": """select event_id, user_id, value from events
 where ('0x' || substr(md5(event_id::varchar || '|' || user_id::varchar), 1, 8))::bigint % 20 = 0""",
         "stream_join4": f"with {JOINED} select * from joined",
+        "bucketed_join4": f"with {JOINED} select * from joined",
         "fact_time_join": f"""with {W},
 dim as (select distinct time, {time_key('time')} as time_id from w)
 select d.time_id, d.time as timestamp, year(d.time) as year, month(d.time) as month, day(d.time) as day,

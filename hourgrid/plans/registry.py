@@ -14,7 +14,7 @@ from hourgrid import session
 from hourgrid.functions import calendar, measures
 from hourgrid.operators import analytics, checks, clean, conform, decide, load, model, profiles, series, star
 from hourgrid.plans import daily
-from hourgrid.sources import binding, streams, tables, versions
+from hourgrid.sources import binding, buckets, streams, tables, versions
 from hourgrid.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,16 @@ def conform_units(spark, sf):
     return _conformed(spark, sf).drop("location_id")
 
 
+def bucketed_join4(spark, sf):
+    """The streams kept in buckets, in two deliveries of the odd and the even days, and joined without a shuffle."""
+    root = session.scratch_path(spark, "buckets")
+    cells = session.stored(binding.cells(spark, sf), "cells")
+    buckets.create(spark, root, spark.sparkContext.defaultParallelism)
+    for part in (0, 1):
+        buckets.add(spark, root, binding.streams_of(cells.where(F.dayofyear("time") % 2 == part)))
+    return conform.join_buckets(buckets.read(spark, root))
+
+
 def join_coverage(spark, sf):
     return conform.join_coverage(binding.raw_streams(spark, sf))
 
@@ -694,7 +704,7 @@ _PLAIN = (
     write_clean, dim_upsert, fact_append_antijoin, batched_sink, load_audit, pending_days,
     grid_flatten, version_merge, clean_stream, conform_units,
     fact_build, ml_features, hash_sample,
-    stream_join4, fact_time_join, weather_full, join_coverage, dim_time, dim_location,
+    stream_join4, bucketed_join4, fact_time_join, weather_full, join_coverage, dim_time, dim_location,
     kpi, extreme_days, yearly_trend, temp_histogram, correlations, correlation_ranking,
     forecast_summary, eval_metrics, eval_extents, chrono_split, latest_168_rows,
     latest_168h_per_location, eval_slice, calendar_parts, drill_labels, time_key,
