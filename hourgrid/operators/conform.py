@@ -60,17 +60,20 @@ def convert_units(df: DataFrame) -> DataFrame:
     )
 
 
+def cell_hash(*columns: str) -> tuple[Column, Column]:
+    """The lower and the upper 31 bits of a hash of a row, to be summed."""
+    row = F.xxhash64(*columns)
+    return row.bitwiseAND(F.lit((1 << 31) - 1)), F.shiftrightunsigned(row, 33)
+
+
 def content_print(*columns: str) -> list[Column]:
     """Two sums over the rows' hashes: a print of a multiset of rows, whatever their order.
 
     A changed value changes the print, and a copy adds its hash again where an exclusive or would cancel it. Each sum is over
     31 bits of a row, so that four billion rows of a day and stream stay inside 64 bits.
     """
-    row = F.xxhash64(*columns)
-    return [
-        F.sum(row.bitwiseAND(F.lit((1 << 31) - 1))).alias("low"),
-        F.sum(F.shiftrightunsigned(row, 33)).alias("high"),
-    ]
+    low, high = cell_hash(*columns)
+    return [F.sum(low).alias("low"), F.sum(high).alias("high")]
 
 
 def deliveries(streams: Mapping[str, DataFrame]) -> DataFrame:

@@ -30,6 +30,7 @@ def load_folders(
     max_lost: int | None = 0,
     may_wait: bool = False,
     revision: int | None = None,
+    only: DataFrame | None = None,
 ) -> dict:
     """Load folders of raw streams into the star below ``root``; returns rows written per table.
 
@@ -38,7 +39,7 @@ def load_folders(
     it lists is passed over before anything is joined, and a day for which other rows or values arrive is
     loaded again, which adds what it lacks and corrects what differs: a later load replaces values of an earlier one,
     or, with ``revision``, one of a greater revision those of a smaller. The joined rows are written once to the shared
-    folder for as long as the load runs.
+    folder for as long as the load runs. ``only`` (day) names the days to look at; the rows of others are left alone.
 
     A day may lose ``max_lost`` cells of a stream in the join, none by default and any number with
     None, and may hold no key twice. Days that fail stay pending and do not keep the others from being
@@ -47,9 +48,17 @@ def load_folders(
     """
     with session.job_scratch(spark):
         raw = cleaned(streams.scan_folders(spark, raw_root, folders), versions)
+        if only is not None:
+            raw = {s: of_days(df, only) for s, df in raw.items()}
         return _load(spark, raw, root, max_lost, may_wait, revision)
 
 
+def of_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows of some ``days``, which are one row each and counted all the same before they are broadcast."""
+    day = F.broadcast(days) if days.count() <= star.BROADCAST_ROWS else days
+    return rows.join(day, F.to_date(rows["time"]) == day["day"], "left_semi")
+
+
 def _load(
     spark: SparkSession, raw: Mapping[str, DataFrame], root: str, max_lost: int | None, may_wait: bool, revision: int | None
 ) -> dict:
@@ -62,11 +71,6 @@ def _load(
         return nothing
     days = delivered.where("day is not null").select("day")
 
-    # One row for each day of the folders: a calendar, counted all the same before it is broadcast.
-    def of_days(rows: DataFrame, some: DataFrame) -> DataFrame:
-        day = F.broadcast(some) if some.count() <= star.BROADCAST_ROWS else some
-        return rows.join(day, F.to_date(rows["time"]) == day["day"], "left_semi")
-
     joined = conform.join_streams({s: of_days(df, days) for s, df in raw.items()})
     staged = session.stored(conform.convert_units(joined), "staged")
     state = session.stored(day_state(staged, delivered), "days")

@@ -70,6 +70,10 @@ extreme as (
   select {AT}, q * 1.25::double - 25 + 274.15::double as mx2t, q * 1.25::double - 25 + 272.15::double as mn2t
   from g where pk % 103 <> 0)"""
 )
+AGREES = """select time::date as day, count(*) filter (pk % 89 <> 0) as instant, count(*) filter (pk % 97 <> 0) as accum,
+       count(*) filter (pk % 101 <> 0) as avg, count(*) filter (pk % 103 <> 0) as max,
+       bool_and((pk % 89 <> 0) = (pk % 97 <> 0) and (pk % 97 <> 0) = (pk % 101 <> 0) and (pk % 101 <> 0) = (pk % 103 <> 0)) as agrees
+from g group by 1"""
 JOINED = (
     STREAMS
     + f""",
@@ -406,6 +410,9 @@ def _star_sql(sql: dict[str, str]) -> dict[str, str]:
     """The queries over the stored star, and those of the forest."""
     return {
         "late_day_reload": sql["star_load"],
+        "agreed_day_ingest": f"with days as (with {G} {AGREES}), loaded as ({sql['star_load']}) "
+        "select loaded.* from loaded join days on days.day = loaded.timestamp::date where agrees",
+        "waiting_days": f"with days as (with {G} {AGREES}) select strftime(day, '%Y-%m-%d') as day, instant, accum, avg, max from days where not agrees",
         "star_kpi": sql["kpi"],
         "star_trend": sql["yearly_trend"],
         "star_histogram": sql["temp_histogram"],

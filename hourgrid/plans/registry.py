@@ -15,7 +15,7 @@ from hourgrid.functions import calendar, measures
 from hourgrid.operators import analytics, checks, clean, conform, decide, load, model, profiles, series, star
 from hourgrid.plans import daily
 from hourgrid.sources import binding, buckets, streams, tables, versions
-from hourgrid.streaming import ingest
+from hourgrid.streaming import complete, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -469,6 +469,41 @@ def stream_ingest(spark, sf):
     return spark.read.schema(EVENT_FACTS).parquet(f"{path}/facts")
 
 
+def _agreed(spark, sf) -> dict:
+    """A star fed by files of the streams that arrive out of step, in folders by year: its ``root`` and the ``log`` of days.
+
+    The first start finds two streams of all folders and the others of one; the second finds the rest.
+    """
+
+    def make() -> dict:
+        path = session.scratch_path(spark, "agreed")
+        arriving = {s: session.stored(df, s) for s, df in binding.streams_of(session.stored(binding.cells(spark, sf), "cells")).items()}
+        load.create_star(spark, f"{path}/tables")
+        first = [(2, "max"), (0, "accum"), (2, "instant"), (1, "accum"), (0, "instant"), (2, "avg"), (1, "instant"), (2, "accum")]
+        rest = [(1, "max"), (0, "avg"), (1, "avg"), (0, "max")]
+        for files in (first, rest):
+            for part, s in files:
+                rows = arriving[s].where(F.year("time") % 3 == part)
+                rows = rows.select([c if c in fv.JOIN_KEYS else F.col(c).cast("float").alias(c) for c in rows.columns])
+                rows.withColumnRenamed("time", "valid_time").write.parquet(f"{path}/raw/part{part}/{fv.STREAM_FILE.format(stream=s)}")
+            # years arrive in no order, so no day is ever too late here
+            complete.start_agreed_ingest(spark, f"{path}/raw", f"{path}/tables", f"{path}/state", wait="36500 days").awaitTermination()
+        return {"root": f"{path}/tables", "log": f"{path}/state"}
+
+    return _once(spark, sf, "agreed", make)
+
+
+def agreed_day_ingest(spark, sf):
+    """The star of the days whose streams came to agree, as a load of those days alone would give it."""
+    facts, times, places = daily.open_star(spark, _agreed(spark, sf)["root"])
+    return star.weather_full(facts.drop("year"), times, places).drop("location_id")
+
+
+def waiting_days(spark, sf):
+    """The days that still wait, with the cells of each stream."""
+    return complete.day_log(spark, _agreed(spark, sf)["log"]).where(~F.col("agrees")).drop("agrees")
+
+
 # --- analytics ----------------------------------------------------------------------------
 
 
@@ -708,7 +743,7 @@ _PLAIN = (
     kpi, extreme_days, yearly_trend, temp_histogram, correlations, correlation_ranking,
     forecast_summary, eval_metrics, eval_extents, chrono_split, latest_168_rows,
     latest_168h_per_location, eval_slice, calendar_parts, drill_labels, time_key,
-    star_load, stream_ingest, rf_predictions, rf_quality, forecast_frame, forecast_per_location, forecast_band, recommendations, kpi_status,
+    star_load, stream_ingest, agreed_day_ingest, waiting_days, rf_predictions, rf_quality, forecast_frame, forecast_per_location, forecast_band, recommendations, kpi_status,
     quality_checks, late_day_reload,
     star_kpi, star_trend, star_histogram, star_correlations, star_drill_range, star_drill_known_hours,
     star_features, star_latest, serve_hours, serve_summary, serve_advice,

@@ -1,0 +1,102 @@
+"""Days that are loaded when their streams agree, from files that arrive in any order."""
+
+import datetime as dt
+import itertools
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from test_load import write_day
+
+from hourgrid import fixed_values as fv
+from hourgrid.operators import load
+from hourgrid.plans import daily
+from hourgrid.streaming import complete
+
+DAYS = [dt.date(2024, 1, d) for d in (1, 2, 3, 4)]
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    """Takes files to arrive, (day, stream, options of ``write_day``), starts the ingest, and returns the loaded days."""
+    load.create_star(spark, f"{tmp_path}/star")
+
+    def go(*files, name=None, **options):
+        for day, stream, how in files:
+            others = [s for s in fv.STREAMS if s != stream]
+            write_day(spark, f"{tmp_path}/raw/{name or day}", day, **{"hours": 3, "skip": others} | how)
+        query = complete.start_agreed_ingest(spark, f"{tmp_path}/raw", f"{tmp_path}/star", f"{tmp_path}/state", **options)
+        query.awaitTermination()
+        go.progress = query.recentProgress
+        return sorted(r["day"] for r in load.read_table(spark, f"{tmp_path}/star", "ledger").select("day").distinct().collect())
+
+    return go
+
+
+def facts(spark, root):
+    rows = load.read_table(spark, root, "fact_weather").drop("revision").collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def test_shuffled_arrivals_equal_the_batch_load(spark, tmp_path, feed):
+    files = [(d, s, {}) for d, s in itertools.product(DAYS, fv.STREAMS)]
+    random.Random(4).shuffle(files)
+    for at in range(0, len(files), 6):
+        seen = files[: at + 6]
+        whole = [d for d in DAYS if sum(f[0] == d for f in seen) == 4]
+        assert feed(*files[at : at + 6], files_per_batch=2) == whole
+    load.create_star(spark, f"{tmp_path}/batch")
+    daily.load_folders(spark, f"{tmp_path}/raw", [str(d) for d in DAYS], f"{tmp_path}/batch")
+    assert facts(spark, f"{tmp_path}/star") == facts(spark, f"{tmp_path}/batch") and len(facts(spark, f"{tmp_path}/star")) == 36
+
+
+def test_no_load_before_a_day_agrees(spark, monkeypatch, feed, tmp_path):
+    calls, load_folders = [], daily.load_folders
+    monkeypatch.setattr(daily, "load_folders", lambda *a, **k: calls.append(a[2]) or load_folders(*a, **k))
+    assert feed((DAYS[0], "instant", {}), (DAYS[0], "avg", {}), (DAYS[1], "max", {})) == [] and calls == []
+    assert feed((DAYS[0], "accum", {}), (DAYS[0], "max", {})) == DAYS[:1] and calls == [[str(DAYS[0])]]
+    (waiting,) = complete.day_log(spark, f"{tmp_path}/state").where(~F.col("agrees")).collect()
+    assert (waiting["day"], waiting["max"], waiting["accum"]) == (DAYS[1], 9, 0)
+    assert feed() == DAYS[:1] and len(calls) == 1
+
+
+def test_equal_numbers_of_other_cells_do_not_agree(spark, feed, tmp_path):
+    files = [(DAYS[0], s, {"first": int(s == "avg"), "hours": 3 + int(s == "avg")}) for s in fv.STREAMS]
+    assert feed(*files) == []
+    (day,) = complete.day_log(spark, f"{tmp_path}/state").collect()
+    assert [day[s] for s in fv.STREAMS] == [9] * 4 and not day["agrees"]
+
+
+def test_a_day_that_comes_in_two_folders(spark, feed, tmp_path):
+    """It agrees by the cells of both, and the load reads both."""
+    morning = [(DAYS[0], s, {"hours": 2}) for s in fv.STREAMS]
+    evening = [(DAYS[0], s, {"first": 2, "hours": 4}) for s in fv.STREAMS]
+    assert feed(*morning[:3], name="am") == [] and feed(*evening, name="pm") == []
+    assert feed(morning[3], name="am") == DAYS[:1]
+    assert len(facts(spark, f"{tmp_path}/star")) == 12
+
+
+def test_days_that_do_not_agree_stay_out_of_a_shared_folder(spark, feed, tmp_path):
+    for s in fv.STREAMS:  # one file with two days, of which one has more cells in another stream
+        write_day(spark, f"{tmp_path}/a", DAYS[0], hours=3, skip=[o for o in fv.STREAMS if o != s])
+        write_day(spark, f"{tmp_path}/b", DAYS[1], hours=2 + (s == "max"), skip=[o for o in fv.STREAMS if o != s])
+        name = fv.STREAM_FILE.format(stream=s)
+        spark.read.parquet(f"{tmp_path}/a/{name}", f"{tmp_path}/b/{name}").coalesce(1).write.parquet(f"{tmp_path}/raw/both/{name}")
+    assert feed() == DAYS[:1] and len(facts(spark, f"{tmp_path}/star")) == 9
+
+
+def test_copies_do_not_stop_other_days(spark, feed, tmp_path):
+    for name in ("am", "pm"):  # the same cells in two folders
+        assert feed(*[(DAYS[0], s, {}) for s in fv.STREAMS[:3]], name=name) == []
+    assert feed(*[(DAYS[0], "max", {})], name="am") == []
+    assert feed((DAYS[0], "max", {}), name="pm") == []
+    assert feed(*[(DAYS[1], s, {}) for s in fv.STREAMS]) == DAYS[1:2]
+
+
+def test_late_days_are_reported_and_not_loaded(spark, feed):
+    assert feed(*[(dt.date(2024, 3, 1), s, {}) for s in fv.STREAMS], wait="5 days") == [dt.date(2024, 3, 1)]
+    assert complete.late_groups(feed.progress) == 0
+    late = [(dt.date(2024, 1, 1), s, {}) for s in fv.STREAMS]
+    in_time = [(dt.date(2024, 2, 27), s, {}) for s in fv.STREAMS]
+    assert feed(*late, *in_time, wait="5 days") == [dt.date(2024, 2, 27), dt.date(2024, 3, 1)]
+    assert complete.late_groups(feed.progress) > 0
