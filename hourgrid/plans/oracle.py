@@ -203,6 +203,8 @@ where not exists (select 1 from first where first.time = second.time
                   and first.latitude = second.latitude and first.longitude = second.longitude)""",
         "batched_sink": f"""with {W}
 select count(*) as rows, sum(temperature_c) as sum_temp, true as within_batch from w""",
+        "delivered_batches": f"""with {W}
+select count(*) as rows, sum(temperature_c) as sum_temp, count(*) as counted, true as within_batch from w""",
         "load_audit": f"""with {G}
 select 'dim_location' as "table", count(*) as written, count(*) as rows from (select distinct latitude, longitude from g)
 union all select 'dim_time', count(*), count(*) from (select distinct time from g)

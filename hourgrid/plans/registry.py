@@ -14,7 +14,7 @@ from hourgrid import session
 from hourgrid.functions import calendar, measures
 from hourgrid.operators import analytics, checks, clean, conform, decide, load, model, profiles, series, star
 from hourgrid.plans import daily
-from hourgrid.sources import binding, buckets, streams, tables, versions
+from hourgrid.sources import batch_sink, binding, buckets, streams, tables, versions
 from hourgrid.streaming import complete, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -426,6 +426,16 @@ def batched_sink(spark, sf):
     )
 
 
+def delivered_batches(spark, sf):
+    """The same by a sink that delivers each batch once, with the rows that its tasks counted."""
+    path = session.scratch_path(spark, "delivered")
+    obs = binding.observations(spark, sf)
+    batch_sink.deliver(obs, path)
+    audit = batch_sink.delivered(spark, path).agg(F.sum("rows").alias("counted"), (F.max("rows") <= fv.INSERT_BATCH).alias("within_batch"))
+    held = batch_sink.read(spark, path, obs.schema).agg(F.count(F.lit(1)).alias("rows"), F.sum("temperature_c").alias("sum_temp"))
+    return held.select("rows", "sum_temp", audit.select("counted").scalar().alias("counted"), audit.select("within_batch").scalar().alias("within_batch"))
+
+
 def load_audit(spark, sf):
     """Rows that the load of the star wrote, beside the rows that its tables hold."""
     loaded = _loaded(spark, sf)
@@ -736,7 +746,7 @@ def rf_serve_advice(spark, sf):
 
 _PLAIN = (
     scan_stream, backfill_scan, bbox_subset, lagged_day, last_year,
-    write_clean, dim_upsert, fact_append_antijoin, batched_sink, load_audit, pending_days,
+    write_clean, dim_upsert, fact_append_antijoin, batched_sink, delivered_batches, load_audit, pending_days,
     grid_flatten, version_merge, clean_stream, conform_units,
     fact_build, ml_features, hash_sample,
     stream_join4, bucketed_join4, fact_time_join, weather_full, join_coverage, dim_time, dim_location,

@@ -14,7 +14,7 @@ from hourgrid.sources import streams
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-WRITING = {"agreed_day_ingest", "waiting_days", "backfill_scan", "batched_sink", "bucketed_join4", "star_load", "late_day_reload", "stream_ingest", "write_clean"}
+WRITING = {"delivered_batches", "agreed_day_ingest", "waiting_days", "backfill_scan", "batched_sink", "bucketed_join4", "star_load", "late_day_reload", "stream_ingest", "write_clean"}
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 NOT_IN_SQL = {
     "op1_toxicity", "op2_token_counts", "op3_secret_scan", "op7_quality_classifier", "op9_packing", "op12_bpe", "op13_periodic_runs",
