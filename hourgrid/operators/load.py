@@ -107,6 +107,25 @@ def merge_facts(stored: DataFrame, new: DataFrame, always: bool = False) -> Data
     return found.where(F.col("_old").isNull() | corrected).drop("_old")
 
 
+def _changes(commit: versions.Commit, new: DataFrame, low: int, high: int, always: bool) -> DataFrame:
+    """``merge_facts`` of ``new`` with the stored facts, by joining only the hours that stored files may hold.
+
+    Facts of other hours are new, so they are neither shuffled nor copied: a load into an empty star joins nothing, and the
+    next month meets what overlaps it.
+    """
+    files = commit.overlap("fact_weather", low, high)
+    if not files:
+        return new.withColumn("file", F.lit(None).cast("long"))
+    stored = versions.read_files(commit.spark, commit.root, "fact_weather", schemas.FACT_WEATHER_STORED, [f[1] for f in files])
+    stored = stored.withColumn("file", F.xxhash64(F.substring_index(F.col("_metadata.file_path"), "/data/fact_weather/", -1)))
+    first = max(low, min(f[2] for f in files)) if all(f[2] is not None for f in files) else low
+    last = min(high, max(f[3] for f in files)) if all(f[3] is not None for f in files) else high
+    shared = F.col("time_id").between(first, last)
+    met = session.stored(merge_facts(stored.where(shared), new.where(shared), always), "delta")
+    apart = new.where(~F.coalesce(shared, F.lit(False))).withColumn("file", F.lit(None).cast("long"))
+    return met.unionByName(apart)
+
+
 def _laid_out(facts: DataFrame) -> DataFrame:
     """Facts as they are stored: ranges of hour and place, in order, with their year."""
     order = list(checks.FACT_KEYS)
@@ -182,7 +201,7 @@ def load_star(
     The inputs should be stored or cheap: they are read more than once. Ids determine a dimension row, so an unseen id is an
     insert and a known one needs no change. A fact whose key is stored replaces it if its revision is greater and a measure
     differs; the revision is the number of the load unless it is given, as a number that ranks versions of the data whatever
-    the order they arrive in. Of the stored facts only files that overlap the new ones' hours are read. The profiles are
+    the order they arrive in. Of the stored facts only files that overlap the new ones' hours are read, and only hours of both are joined. The profiles are
     brought up to date, and the deliveries ``done`` entered into the ledger. ``gate`` may look at the version before it is
     committed and raise; a load that fails at any point leaves readers with the version before it.
     """
@@ -195,10 +214,7 @@ def load_star(
     low, high = facts.agg(F.min("time_id"), F.max("time_id")).first()
     if low is not None:
         new = facts.withColumn("revision", F.lit(commit.version if revision is None else revision).cast("long"))
-        stored = versions.read_files(spark, commit.root, "fact_weather", schemas.FACT_WEATHER_STORED, commit.paths("fact_weather", low, high))
-        file = F.xxhash64(F.substring_index(F.col("_metadata.file_path"), "/data/fact_weather/", -1)) if stored.inputFiles() else F.lit(0).cast("long")
-        stored = stored.withColumn("file", file).where(F.col("time_id").between(low, high))
-        delta = session.stored(merge_facts(stored, new, always=revision is not None), "delta")
+        delta = _changes(commit, new, low, high, always=revision is not None)
         if not delta.isEmpty():
             added, corrected = _change_facts(commit, delta, low, high)
             written |= {"fact_weather": added, "fact_corrected": corrected}

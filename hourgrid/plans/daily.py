@@ -81,8 +81,9 @@ def _load(
     bounds = done.agg(F.min("day"), F.max("day")).first()
     written = nothing
     if bounds[0] is not None:
-        # Read several times: facts, both dimensions, and the range of hours.
-        facts = session.stored(of_days(staged, done.select("day")), "todo")
+        # Read several times: facts, both dimensions, and the range of hours. Without a failed day it is all that was staged.
+        failed = state.where(~good & (F.col("rows") > 0))
+        facts = staged if failed.isEmpty() else session.stored(of_days(staged, done.select("day")), "todo")
         written = load.load_star(
             spark, root, star.fact(facts), star.time_dimension(facts), star.location_dimension(facts), revision, done,
             lambda version: checks.require(stored_checks(version, *bounds)),

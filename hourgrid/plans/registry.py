@@ -189,6 +189,9 @@ def quality_checks(spark, sf):
     return checks.quality_checks(facts, times, places)
 
 
+#: Of the observations, what the star and the features are made of.
+_KEPT = (*series.ORDER, "month", "hour", "day_of_week", *_FACT_COLUMNS, "max_temp_c", "min_temp_c")
+
 _made: dict[tuple, dict] = {}
 
 
@@ -206,15 +209,18 @@ def forget() -> None:
 
 
 def _loaded(spark, sf) -> dict:
-    """A stored star of all observations: its ``root``, and the rows ``written`` to each table."""
+    """A stored star of all observations: its ``root``, the rows ``written`` to each table, and where the ``observed`` rows are."""
 
     def make() -> dict:
         root = session.scratch_path(spark, "star")
         load.create_star(spark, root)
         keyed = _observed(spark, sf).withColumns({"max_temp_c": F.col("temperature_c"), "min_temp_c": F.col("temperature_c")})
-        keyed = session.stored(keyed, "observed")
+        observed = session.scratch_path(spark, "observed")
+        keyed.select(*_KEPT).write.parquet(observed)
+        keyed = spark.read.parquet(observed)
         return {
             "root": root,
+            "observed": observed,
             "written": load.load_star(spark, root, star.fact(keyed), star.time_dimension(keyed), star.location_dimension(keyed)),
         }
 
@@ -295,7 +301,7 @@ def _corrected(spark, sf) -> dict:
         root = session.scratch_path(spark, "corrected")
         load.create_star(spark, root)
         keyed = _observed(spark, sf).withColumns({"max_temp_c": F.col("temperature_c"), "min_temp_c": F.col("temperature_c")})
-        keyed = session.stored(keyed, "observed")
+        keyed = session.stored(keyed.select(*_KEPT), "observed")
         too_high = F.col("temperature_c") + F.when(F.hour("time") % 7 == 0, 10.0).otherwise(0.0)
         first = keyed.where(F.col("time_id") < 2000010100).withColumn("temperature_c", too_high)
         before = None
@@ -699,9 +705,11 @@ def rf_quality(spark, sf):
 
 
 def _served(spark, sf) -> dict:
-    """The serving plan with the climatology of the earlier part as the model, on the stored star."""
-    split = series.chrono_split(_stored_features(spark, sf))
-    frame = series.forecast_frame(daily.latest_window(spark, _loaded(spark, sf)["root"]))
+    """The serving plan with the climatology of the earlier part as the model, on the stored star and the observations it was
+    loaded from, which need not be made again."""
+    loaded = _loaded(spark, sf)
+    split = series.chrono_split(series.ml_features(spark.read.parquet(loaded["observed"]), keep=["time"]))
+    frame = series.forecast_frame(daily.latest_window(spark, loaded["root"]))
     return daily.serve(model.climatology(split.where(~F.col("is_test")), frame))
 
 

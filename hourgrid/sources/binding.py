@@ -20,12 +20,12 @@ def _time() -> Column:
     return F.col("l_shipdate") + calendar.hours((F.col("l_partkey") % 24))
 
 
-def _latitude() -> Column:
-    return F.lit(38.0) + (F.col("l_suppkey") % 27) * F.lit(0.25)
+def _latitude(row: Column | None = None) -> Column:
+    return F.lit(38.0) + (F.col("l_suppkey") % 27 if row is None else row) * F.lit(0.25)
 
 
-def _longitude() -> Column:
-    return F.lit(68.0) + (F.col("l_suppkey") % 57) * F.lit(0.25)
+def _longitude(column: Column | None = None) -> Column:
+    return F.lit(68.0) + (F.col("l_suppkey") % 57 if column is None else column) * F.lit(0.25)
 
 
 def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,20 +36,21 @@ def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per time and place."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(_time().alias("time"), _latitude().alias("latitude"), _longitude().alias("longitude"))
-        .agg(
-            F.max("l_quantity").alias("q"),
-            F.max("l_partkey").alias("pk"),
-            F.max("l_tax").alias("tax"),
-            F.max("l_discount").alias("disc"),
-            F.max("l_extendedprice").alias("ep"),
-            F.max("l_linenumber").alias("ln"),
-            F.max("l_suppkey").alias("sk"),
-        )
+    """One row per time and place.
+
+    The rows are dealt out by cell before they are grouped. Few rows of one task share a cell, so that grouping them first
+    would shuffle as many, after a hash table of a task's whole input that spills when the input is large. Whole numbers
+    stand for the place: Spark groups doubles by another expression than it deals them out by, and would shuffle twice.
+    """
+    named = {"q": "l_quantity", "pk": "l_partkey", "tax": "l_tax", "disc": "l_discount", "ep": "l_extendedprice", "ln": "l_linenumber", "sk": "l_suppkey"}
+    rows = table(spark, sf_dir, "lineitem").select(
+        _time().alias("time"), (F.col("l_suppkey") % 27).alias("_row"), (F.col("l_suppkey") % 57).alias("_column"),
+        *[F.col(c).alias(n) for n, c in named.items()],
     )
+    at = ["time", "_row", "_column"]
+    found = rows.repartition(*at).groupBy(*at).agg(*[F.max(n).alias(n) for n in named])
+    place = _latitude(F.col("_row")).alias("latitude"), _longitude(F.col("_column")).alias("longitude")
+    return found.select("time", *place, *named)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
