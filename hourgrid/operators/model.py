@@ -20,14 +20,15 @@ def train(
     trees: int = fv.TREES,
     depth: int = fv.TREE_DEPTH,
     seed: int = fv.SEED,
-    histogram_mb: int = 256,
+    histogram_mb: int = 64,
 ) -> PipelineModel:
     """Fit the forest on all rows of ``df``. No rows is an error.
 
     ``histogram_mb`` bounds the statistics that each task of a pass may hold: an executor holds as much for each
     of its cores, and again while it shuffles them. More memory means that more tree nodes are split per pass over the
-    data, hence fewer passes, and the same forest. Rows do not remember their nodes, one for each tree, of which Spark
-    would keep a copy for several passes; the few trees of a pass are walked instead.
+    data, hence fewer passes, and the same forest; small passes also send each task the few trees they split, not most of
+    the forest. Rows do not remember their nodes, one for each tree, of which Spark would keep a copy for several passes;
+    the few trees of a pass are walked instead.
     """
     if df.isEmpty():
         raise ValueError("no rows to train on")
