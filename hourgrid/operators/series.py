@@ -54,8 +54,10 @@ def _split_point(df: DataFrame, order: Sequence[str], test_share: float) -> Data
     near = [min(max(1 - test_share + side * 2 / SKETCH, 0.0), 1.0) for side in (-1, 1)]
     bracket = F.percentile_approx("_at", near, SKETCH).alias("between")
     total = F.count(F.lit(1))
-    sketch = rows.agg(F.struct(bracket, (total - F.ceil(F.lit(test_share) * total)).alias("take")).alias("s")).scalar()
-    low, high = sketch["between"][0], sketch["between"][1]
+    # The bracket is wider than a row, to which the cut is rounded, only if there are enough rows.
+    first_time = F.when(total < SKETCH, F.min("_at")).alias("first")
+    sketch = rows.agg(F.struct(bracket, first_time, (total - F.ceil(F.lit(test_share) * total)).alias("take")).alias("s")).scalar()
+    low, high = F.coalesce(sketch["first"], sketch["between"][0]), sketch["between"][1]
 
     def cut(counts: DataFrame, keys: list[str], take: Column) -> DataFrame:
         """The key at which ``take`` rows are reached, and how many of its rows belong to them."""

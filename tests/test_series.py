@@ -139,3 +139,12 @@ def test_split_of_a_hot_hour_and_of_rows_without_time(spark, tmp_path):
         ordered = sorted(rows, key=lambda r: (r[0] is not None, r))
         n = len(rows) - math.ceil(share * len(rows))
         assert [got[r] for r in ordered] == [False] * n + [True] * (len(rows) - n)
+
+
+@pytest.mark.parametrize("hours,places", [(24, 3), (14, 2)])
+def test_split_of_few_rows_whose_cut_ends_an_hour(spark, hours, places):
+    """The bracket of the sketch is narrower than a row here, and began behind the cut: all rows became test rows."""
+    rows = [(h, 38.0 + p, 68.0 + p) for h in range(hours) for p in range(places)]
+    got = series.chrono_split(points(spark, rows)).orderBy(*series.ORDER).collect()
+    n_test = math.ceil(0.2 * len(rows))
+    assert [r["is_test"] for r in got] == [i >= len(rows) - n_test for i in range(len(rows))]
