@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from hourgrid import fixed_values as fv
 from hourgrid.functions import measures
 
+#: Rows for each task of the fit: with 100 trees they take some 120 MB, more than the statistics that the task makes.
+ROWS_A_TASK = 200_000
+
 
 def train(
     df: DataFrame,
@@ -29,9 +32,15 @@ def train(
     data, hence fewer passes, and the same forest; small passes also send each task the few trees they split, not most of
     the forest. Rows do not remember their nodes, one for each tree, of which Spark would keep a copy for several passes;
     the few trees of a pass are walked instead.
+
+    Each partition makes and sends its own statistics of all nodes of a pass, however few its rows, and reads the trees
+    again. So small partitions are put together, to one for ``ROWS_A_TASK`` rows; those of more rows stay as they are. Spark
+    draws the samples of the trees by partition, so the trees depend on this.
     """
-    if df.isEmpty():
+    rows = df.count()
+    if not rows:
         raise ValueError("no rows to train on")
+    df = df.coalesce(-(-rows // ROWS_A_TASK))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     forest = RandomForestRegressor(
         featuresCol="features",
