@@ -8,6 +8,8 @@ are cut by the tasks that read them, so nothing is shuffled.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -21,6 +23,8 @@ from hourgrid.llm import pretokens
 END_ID = 1
 #: Pre-tokens that a task remembers, documents cut at a time, and new pre-tokens encoded at a time.
 MEMO_ENTRIES, DOCS, TOGETHER = 700_000, 256, 20_000
+#: Pre-tokens that a worker remembers from task to task, some 25 MB.
+KEPT_ENTRIES = 150_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PIECES_IDS = PIECES + ", ids array<int>"
 
@@ -51,31 +55,49 @@ class _Memo(dict):
             some = new[a : a + TOGETHER]
             self.update(zip(some, self.cut.encode_words(some), strict=True))
 
+    def shrink(self) -> None:
+        """Forget all but the ``KEPT_ENTRIES`` that came first, among them most of the frequent ones."""
+        kept = list(itertools.islice(self.items(), KEPT_ENTRIES))
+        self.clear()
+        self.update(self.special)
+        self.update(kept)
+
+
+@functools.cache
+def _memo(path: str) -> _Memo:
+    """One memo for each worker process and vocabulary."""
+    return _Memo(pretokens.cutter(path))
+
 
 def _pack(path: str, size: int, end_id: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
     names = [f.split(" ")[0] for f in (PIECES_IDS if with_ids else PIECES).split(", ")]
     kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
 
+    def packed(batch: pa.RecordBatch, memo: _Memo) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for a in range(0, batch.num_rows, DOCS):
+            part = batch.slice(a, DOCS)
+            texts = [memo.cut.in_order(t.as_py() or "") for t in part.column(1)]
+            memo.learn(set().union(*texts))
+            for doc_id, pieces in zip(part.column(0).to_pylist(), texts, strict=True):
+                ids = b"".join(map(memo.__getitem__, pieces)) + end
+                start, n = 0, len(ids) // 4
+                for length in binary_lengths(n, size):
+                    piece = ids[4 * start : 4 * (start + length)]
+                    row = (doc_id, start, length, zlib.crc32(piece), n)
+                    out.append((*row, np.frombuffer(piece, "<u4").astype("i4")) if with_ids else row)
+                    start += length
+        columns = list(zip(*out, strict=True)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = pretokens.cutter(path)
-        memo = _Memo(cut)
-        for batch in batches:
-            out: list[tuple] = []
-            for a in range(0, batch.num_rows, DOCS):
-                part = batch.slice(a, DOCS)
-                texts = [cut.in_order(t.as_py() or "") for t in part.column(1)]
-                memo.learn(set().union(*texts))
-                for doc_id, pieces in zip(part.column(0).to_pylist(), texts, strict=True):
-                    ids = b"".join(map(memo.__getitem__, pieces)) + end
-                    start, n = 0, len(ids) // 4
-                    for length in binary_lengths(n, size):
-                        piece = ids[4 * start : 4 * (start + length)]
-                        row = (doc_id, start, length, zlib.crc32(piece), n)
-                        out.append((*row, np.frombuffer(piece, "<u4").astype("i4")) if with_ids else row)
-                        start += length
-            columns = list(zip(*out, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        memo = _memo(path)
+        try:
+            for batch in batches:
+                yield packed(batch, memo)
+        finally:
+            memo.shrink()
 
     return run
 

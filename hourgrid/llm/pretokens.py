@@ -13,7 +13,7 @@ import unicodedata
 from collections.abc import Callable
 
 import numpy as np
-from tokenizers import Tokenizer, normalizers
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 # Characters below the combining marks, and general punctuation: classes, lower case and NFC form of
 # these are the same in both libraries (a test compares all of them).
@@ -33,6 +33,9 @@ SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 WORD_PATTERN = f"{SHORT}|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+"
 BYTE_PATTERN = f"{SHORT}| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 
+# What ends the last token of a pre-token, in the vocabulary that marks it.
+LAST = "</w>"
+
 
 class Cutter:
     """Cuts texts into (special strings, pre-tokens) for one vocabulary file."""
@@ -43,8 +46,14 @@ class Cutter:
         self.at_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         self.normalizer = self.tokenizer.normalizer
         self.pattern = re.compile(WORD_PATTERN if self.normalizer else BYTE_PATTERN)
-        if self.normalizer:  # pre-tokens are normalised already, and would not always stay the same
+        self.pre_tokenizer = self.tokenizer.pre_tokenizer
+        if self.normalizer:  # pre-tokens are normalised already, and would not always stay the same; nor are they cut again
             self.tokenizer.normalizer = normalizers.Sequence([])
+            as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), as_bytes])
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_last = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        self.is_last[[i for t, i in vocabulary.items() if t.endswith(LAST)]] = True
 
     def pieces(self, segment: str) -> list[str]:
         """Pre-tokens of a text that holds no special string."""
@@ -53,7 +62,7 @@ class Cutter:
             return self.pattern.findall(plain)
         if self.normalizer:
             segment = self.normalizer.normalize_str(segment)
-        return [segment[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(segment)]
+        return [segment[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(segment)]
 
     def cut(self, text: str) -> tuple[list[str], list[str]]:
         """Special strings and pre-tokens, each in order."""
@@ -83,11 +92,21 @@ class Cutter:
 
     def encode_words(self, pieces: list[str]) -> list[bytes]:
         """Ids of each pre-token as little-endian unsigned 32-bit numbers, for a vocabulary whose pre-tokens hold no
-        white space: they are encoded as one text."""
-        encoded = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4").tobytes()
-        ends = (4 * np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(1, len(pieces) + 1))).tolist()
-        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if pieces else []
+        white space: they are encoded as one text.
+
+        Where no text holds ``LAST`` itself, an id that ends in it is the last of its pre-token; if each has one, that
+        tells them apart. Otherwise the library does, which takes longer.
+        """
+        text = " ".join(pieces)
+        if LAST not in text:
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.is_last[ids]) + 1
+        if LAST in text or len(ends) != len(pieces):
+            encoded = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(1, len(pieces) + 1))
+        packed, ends = ids.tobytes(), (4 * ends).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if pieces else []
 
 
 @functools.cache

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -45,6 +46,29 @@ def test_words_are_encoded_together():
     assert [np.frombuffer(x, "<u4").tolist() for x in cut.encode_words(pieces)] == cut.encode(pieces) and cut.encode_words([]) == []
 
 
+def test_words_are_told_apart_without_the_library(monkeypatch):
+    """op9_packing: 403 CPU seconds a GB, of which the library's offsets and its second cut of the words were a large part."""
+    cut = pretokens.Cutter(WORDS)
+    pieces = list(dict.fromkeys(p for t in ODD for p in cut.pieces(t or ""))) + ["</", "w", ">", "w>", "</"]
+    want = [np.array(ids, "<u4").tobytes() for ids in cut.encode(pieces)]
+    literal = [*pieces, "</w>", "a</w>b"]
+    assert cut.encode_words(literal)[: len(pieces)] == want and cut.encode_words(literal)[-2:] == [
+        np.array(ids, "<u4").tobytes() for ids in cut.encode(literal[-2:])
+    ]
+    cut.is_last[:] = False
+    assert cut.encode_words(pieces) == want  # no token says that it is the last one
+    cut = pretokens.Cutter(WORDS)
+    monkeypatch.setattr(cut, "tokenizer", Only(cut.tokenizer))
+    assert cut.encode_words(pieces) == want and cut.encode_words([]) == []
+
+
+class Only:
+    """A tokenizer that does nothing but encode without offsets."""
+
+    def __init__(self, tokenizer):
+        self.encode_batch_fast = tokenizer.encode_batch_fast
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_characters_held_to_be_safe_are_cut_alike(path):
     cut = pretokens.cutter(path)
@@ -142,6 +166,22 @@ def test_memo_is_emptied_when_full(monkeypatch):
         assert b"".join(memo[p] for p in pieces) == np.array(whole(WORDS, text), "<u4").tobytes()
 
 
+def test_a_worker_remembers_the_first_words(monkeypatch):
+    """op9_packing: each task encoded the frequent words again."""
+    monkeypatch.setattr(packing, "KEPT_ENTRIES", 4)
+    packing._memo.cache_clear()
+    run = packing._pack(WORDS, 64, 1, True)
+    encoded, encode = [], pretokens.Cutter.encode_words
+    monkeypatch.setattr(pretokens.Cutter, "encode_words", lambda self, some: encoded.extend(some) or encode(self, some))
+    for text in ("the the cat", "the cat sat on a mat <|endoftext|>", "mat sat cat the", ""):
+        batch = pa.RecordBatch.from_arrays([pa.array([7], pa.int64()), pa.array([text])], ["doc_id", "text"])
+        (out,) = run(iter([batch]))
+        assert [i for ids in out.column(5).to_pylist() for i in ids] == [*whole(WORDS, text), 1]
+        assert len(packing._memo(WORDS)) <= 4 and packing._memo(WORDS).keys() >= packing._memo(WORDS).special.keys()
+    assert encoded.count("the") == encoded.count("cat") == 1
+    packing._memo.cache_clear()
+
+
 def test_pieces_of_the_documents(spark, sf_dir, read, tmp_path):
     pieces = queries.queries()["op9_packing"](spark, sf_dir)
     check_pieces(pieces.collect(), {r["doc_id"]: r["text"] for r in read("documents").collect()})
