@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm import decontaminate, ngram_join, packing, quality_crf, secret_scan
-from hourgrid.llm.ship import ship_package
+from hourgrid.llm.ship import bound_batches, ship_package
 from hourgrid.session import delete, job_scratch, scratch_path, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,6 +23,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     ship_package(spark)
+    bound_batches(spark)
     labels = quality_crf.clear_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
     labels = labels.where(~quality_crf.held_out(F.col("doc_id"), 3, 1))
     model = quality_crf.fit(docs, labels)
@@ -46,6 +47,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The one with the least doc_id stays, null last; of several rows with one doc_id any one. Rows without a word stay.
     """
     ship_package(spark)
+    bound_batches(spark)
     rows, key = with_rows(docs)
     groups = ngram_join.near_groups(rows.select(F.col(key).alias("doc_id"), "text"), words=5, num=80, den=100)
     groups = groups.select(F.col("doc_id").alias(key), F.col("component_id").alias("group"))
@@ -66,12 +68,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose secrets are replaced by a mark."""
     ship_package(spark)
+    bound_batches(spark)
     return secret_scan.redact(docs, secret_scan.scan(docs)).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, each a sequence."""
     ship_package(spark)
+    bound_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

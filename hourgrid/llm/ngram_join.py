@@ -29,12 +29,15 @@ from pyspark.sql import functions as F
 
 from hourgrid.llm.components import components
 from hourgrid.llm.shingle_sets import shingle_set
+from hourgrid.llm.ship import bound_batches
 from hourgrid.llm.signature_tree import Join, bitmap, exact
 from hourgrid.session import stored
 
 #: Shingles counted at a time, documents that make one frequent, and how many frequent ones are kept at most:
 #: they only set the order of the prefix filter, which finds every link in any order.
 COUNTED, FREQUENT, MOST_FREQUENT = 4_000_000, 4, 1_000_000
+#: Room for the document that completes ``COUNTED``, grown for a longer one, and counts passed on at a time.
+ROOM, PASSED_ON = 300_000, 100_000
 LIST, CHUNK = 256, 2000
 #: Lists longer than this are merged with those that begin alike.
 MERGED = 8
@@ -58,25 +61,31 @@ def _texts(batch: pa.RecordBatch, column: str) -> Iterator[str]:
     return (x.as_py() or "" for x in batch.column(column))
 
 
-def _count(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
+def _repeated(tokens: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What occurs twice or more in ``tokens``, and how often; sorts them where they are."""
+    tokens.sort()
+    same = np.zeros(len(tokens) + 1, np.int8)
+    np.equal(tokens[1:], tokens[:-1], out=same[1:-1].view(bool))
+    ends = np.flatnonzero(same[1:] != same[:-1])  # the first and the last place of each run of equal ones
+    for a in range(0, len(ends), 2 * PASSED_ON):
+        first, last = ends[a : a + 2 * PASSED_ON : 2], ends[a + 1 : a + 2 * PASSED_ON : 2]
+        yield pa.RecordBatch.from_arrays([pa.array(tokens[first]), pa.array(last - first + 1)], ["token", "times"])
 
-        def repeated() -> pa.RecordBatch:
-            tokens, times = np.unique(np.concatenate(held), return_counts=True)
-            more = times > 1
-            return pa.RecordBatch.from_arrays([pa.array(tokens[more]), pa.array(times[more])], ["token", "times"])
 
+def _count(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = np.empty(COUNTED + ROOM, np.int64), 0
         for batch in batches:
             for text in _texts(batch, "text"):
-                held.append(shingle_set(text, words))
-                size += len(held[-1])
+                tokens = shingle_set(text, words)
+                if size + len(tokens) > len(held):
+                    held = np.concatenate((held[:size], np.empty(len(tokens) + ROOM, np.int64)))
+                held[size : size + len(tokens)] = tokens
+                size += len(tokens)
                 if size >= COUNTED:
-                    yield repeated()
-                    held, size = [], 0
-        if held:
-            yield repeated()
+                    yield from _repeated(held[:size])
+                    size = 0
+        yield from _repeated(held[:size])
 
     return run
 
@@ -294,6 +303,7 @@ def near_groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     Texts that are null, empty or blank have no shingle and no link, and are their own component. Rows with a null
     or repeated doc_id are kept and linked by their texts; a null is never the least. Other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     frequent = frequent_shingles(docs, words)

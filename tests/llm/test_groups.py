@@ -2,8 +2,11 @@
 
 import random
 import re
+import tracemalloc
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hourgrid.llm import components, decontaminate, ngram_join, queries, shingle_sets, signature_tree
@@ -159,6 +162,42 @@ def test_groups_of_the_documents(spark, sf_dir, read):
     assert sorted(map(tuple, got), key=repr) == brute_groups(rows, 4, 85, 100)
 
 
+def counted(monkeypatch, sets, least):
+    """What the count of shingles passes on for documents of these sets, as batches."""
+    monkeypatch.setattr(ngram_join, "COUNTED", least)
+    monkeypatch.setattr(ngram_join, "shingle_set", lambda text, words: sets[int(text)])
+    rows = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(len(sets))])], ["text"])
+    return ngram_join._count(5)(iter([rows]))
+
+
+def test_repeated_shingles_are_passed_on(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(-300, 300, n)) for n in (0, 5, 400, 0, 90, 2000, 7, 1)]
+    monkeypatch.setattr(ngram_join, "ROOM", 3)
+    monkeypatch.setattr(ngram_join, "PASSED_ON", 50)
+    got, want, held = Counter(), Counter(), []
+    for batch in counted(monkeypatch, sets, 200):
+        assert 0 < batch.num_rows <= 50
+        got.update(dict(zip(*(c.to_pylist() for c in batch.columns), strict=True)))
+    for i, s in enumerate(sets):
+        held += s.tolist()
+        if len(held) >= 200 or i == len(sets) - 1:
+            want.update({t: n for t, n in Counter(held).items() if n > 1})
+            held = []
+    assert got == want and len(got) > 50
+
+
+def test_shingles_are_counted_in_the_room_they_take(monkeypatch):
+    sets = [np.arange(10_000 * i, 10_000 * (i + 1)) for i in range(200)]
+    tracemalloc.start()
+    try:
+        assert list(counted(monkeypatch, sets, 2_000_000)) == []
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 1.6 * 8 * 2_000_000
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 101), (7, 7), (200, 200)]
     got = dict(map(tuple, components.components(spark.createDataFrame(path, "a long, b long")).collect()))

@@ -6,12 +6,13 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from test_groups import brute_groups, brute_held
 from tokenizers import Tokenizer
 
 from hourgrid import session
-from hourgrid.llm import queries, secret_scan
+from hourgrid.llm import queries, secret_scan, ship
 
 STAGES = dict(corpus_pipeline.STAGES)
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -121,6 +122,22 @@ def test_odd_documents_pass_all_stages(spark, sf_dir, documents, clashing):
             assert sorted(texts(after), key=repr) == sorted(odd, key=repr), name
 
 
+def test_python_workers_get_bounded_batches(spark, sf_dir, documents):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', 4000) text")
+    for name in set(STAGES) - {"benchmark decontamination"}:  # which has no Python
+        spark.conf.unset(ship.BATCH_KEY)
+        STAGES[name](spark, documents([(1, "a b c")]), sf_dir)
+        assert max(r["size"] for r in rows.mapInArrow(sizes, "size long").collect()) < 5_000_000, name
+    spark.conf.set(ship.BATCH_KEY, "2m")
+    ship.bound_batches(spark)
+    assert spark.conf.get(ship.BATCH_KEY) == "2m"
+    spark.conf.unset(ship.BATCH_KEY)
+
+
 def test_the_run_deletes_what_it_stored(spark, sf_dir):
     below = f"{session.shared_folder(spark).removeprefix('file:')}/hourgrid/{spark.sparkContext.applicationId}"
     before = set(os.listdir(below)) if os.path.isdir(below) else set()
