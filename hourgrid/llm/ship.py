@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-
-import hourgrid
 from pyspark.sql import SparkSession
 
-_sent: set[str] = set()
+from hourgrid.session import ship_package
+
+__all__ = ["BATCH_BYTES", "BATCH_KEY", "bound_batches", "ship_package"]
 
 #: Bytes of a batch that goes to a Python worker. An executor holds several copies of one for each running task, outside its heap.
 BATCH_BYTES, BATCH_KEY = "4m", "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -23,15 +20,3 @@ def bound_batches(spark: SparkSession) -> None:
     """
     if spark.conf.get(BATCH_KEY, None) is None:
         spark.conf.set(BATCH_KEY, BATCH_BYTES)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Adds this package to the files of the session's application, once for each application."""
-    app = spark.sparkContext.applicationId
-    if app in _sent:
-        return
-    here = os.path.dirname(os.path.abspath(hourgrid.__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="hourgrid-package-"), "hourgrid")
-    shutil.make_archive(archive, "zip", os.path.dirname(here), os.path.basename(here))
-    spark.sparkContext.addPyFile(f"{archive}.zip")
-    _sent.add(app)

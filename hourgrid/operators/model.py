@@ -1,4 +1,4 @@
-"""Temperature model: a random forest by Spark ML, its evaluation and a climatology baseline."""
+"""Temperature model: a random forest, its evaluation and a climatology baseline."""
 
 from __future__ import annotations
 
@@ -6,15 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid import fixed_values as fv
 from hourgrid.functions import measures
+from hourgrid.operators.forest import Forest
 
-#: Rows for each task of the fit: with 100 trees they take some 120 MB, more than the statistics that the task makes.
-ROWS_A_TASK = 200_000
+#: Rows for each task that cuts the rows into bins.
+ROWS_A_TASK = 50_000
 
 
 def train(
@@ -27,28 +27,23 @@ def train(
 ) -> PipelineModel:
     """Fit the forest on all rows of ``df``. No rows is an error.
 
-    ``histogram_mb`` bounds the statistics that each task of a pass may hold: an executor holds as much for each
-    of its cores, and again while it shuffles them. More memory means that more tree nodes are split per pass over the
-    data, hence fewer passes, and the same forest; small passes also send each task the few trees they split, not most of
-    the forest. Rows do not remember their nodes, one for each tree, of which Spark would keep a copy for several passes;
-    the few trees of a pass are walked instead.
+    ``histogram_mb`` bounds the counts and sums that each task of a pass holds for nodes of too many rows for one task. More
+    memory means fewer passes over the data and the same forest.
 
-    Each partition makes and sends its own statistics of all nodes of a pass, however few its rows, and reads the trees
-    again. So small partitions are put together, to one for ``ROWS_A_TASK`` rows; those of more rows stay as they are. Spark
-    draws the samples of the trees by partition, so the trees depend on this.
+    Small partitions are put together, to one for ``ROWS_A_TASK`` rows; those of more rows stay as they are. The bags of the
+    trees are drawn by place in a partition, so the trees depend on this.
     """
     rows = df.count()
     if not rows:
         raise ValueError("no rows to train on")
     df = df.coalesce(-(-rows // ROWS_A_TASK))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    forest = RandomForestRegressor(
+    forest = Forest(
         featuresCol="features",
         labelCol=fv.TARGET,
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
-        featureSubsetStrategy="all",
         maxMemoryInMB=histogram_mb,
     )
     return Pipeline(stages=[assembler, forest]).fit(df)

@@ -202,9 +202,12 @@ def latest_window(spark: SparkSession, root: str, rows: int = fv.WINDOW_ROWS) ->
 
 
 def forecast(spark: SparkSession, root: str, model_path: str) -> dict[str, DataFrame]:
-    """The saved model applied to the latest window: hours with their band, their summary, and the advice."""
+    """The saved model applied to the latest window: hours with their band, their summary, and the advice.
+
+    The predictions are stored once, since all three read them.
+    """
     frame = series.forecast_frame(latest_window(spark, root))
-    return serve(model.predict(model.load(model_path), frame))
+    return serve(session.stored(model.predict(model.load(model_path), frame), "forecast"))
 
 
 def serve(predicted: DataFrame) -> dict[str, DataFrame]:

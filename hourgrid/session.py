@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import contextlib
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+import hourgrid
+
 
 def local_session(cores: int | str = 8, app: str = "hourgrid", **conf: str) -> SparkSession:
     """A local session. On a cluster the session comes from the cluster."""
@@ -80,3 +85,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_sent: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Adds this package to the files of the session's application, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _sent:
+        return
+    here = os.path.dirname(os.path.abspath(hourgrid.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="hourgrid-package-"), "hourgrid")
+    shutil.make_archive(archive, "zip", os.path.dirname(here), os.path.basename(here))
+    spark.sparkContext.addPyFile(f"{archive}.zip")
+    _sent.add(app)
