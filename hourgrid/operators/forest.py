@@ -10,6 +10,7 @@ tried at each node, the cut that lowers the variance most, the mean as predictio
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid import session
@@ -31,6 +32,8 @@ LOCAL_ROWS = 4_000_000
 MOVED_ROWS = 100_000_000
 #: Accuracy of the sketch that bins are cut by: one part of all rows in so many.
 SKETCH = 10_000
+#: With this set, Spark deletes what a query shuffled as soon as it ends, not when the driver happens to collect its garbage.
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: The cut of a leaf, beyond all bins.
 LEAF = 255
 
@@ -178,6 +181,16 @@ def _tree(row: dict) -> Tree:
     return tuple(np.frombuffer(row[c], t) for c, t in (("feature", np.uint8), ("cut", np.uint8), ("left", np.int32), ("value", np.float64)))
 
 
+@contextlib.contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP_KEY, "false")
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP_KEY, before)
+
+
 class _Growth:
     """Grows the trees over stored blocks of binned rows."""
 
@@ -358,7 +371,7 @@ class Forest(_ForestParams, Estimator):
                 y = batch.column("y").to_numpy(zero_copy_only=False) - near
                 yield _batch(BLOCK, [(part, chunk, len(y), binned(batch.column("x"), ends).tobytes(), y.tobytes())])
 
-        with session.job_scratch(spark):
+        with session.job_scratch(spark), _shuffles_deleted(spark):
             stored = session.stored(rows.mapInArrow(blocks, BLOCK), "bins")
             names = "numTrees", "maxDepth", "seed", "maxMemoryInMB"
             trees, depth, seed, memory = (self.getOrDefault(n) for n in names)

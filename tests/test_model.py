@@ -179,7 +179,9 @@ def test_trees_are_the_same_however_their_rows_are_dealt_out(quarters, monkeypat
     want = trees_of(model.train(quarters, trees=5, depth=7))
     monkeypatch.setattr(forest, "LOCAL_ROWS", local)
     monkeypatch.setattr(forest, "MOVED_ROWS", moved)
+    before = quarters.sparkSession.conf.get(forest.CLEANUP_KEY)
     assert trees_of(model.train(quarters, trees=5, depth=7, histogram_mb=mb)) == want
+    assert quarters.sparkSession.conf.get(forest.CLEANUP_KEY) == before
 
 
 def test_each_node_has_its_best_cut():
